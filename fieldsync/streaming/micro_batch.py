@@ -1,0 +1,68 @@
+"""Feeding the same jobs from streams, one micro-batch at a time."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.utils import AnalysisException
+
+from fieldsync.plans.stock import stock_sync
+from fieldsync.schemas import schema
+from fieldsync.sources.outbox import append_run, read_outbox
+from fieldsync.sources.snapshots import read_snapshot, write_snapshot
+from fieldsync.sources.tables import empty
+
+STATE = ("stock", "stock_serials", "device_current")
+LOGS = {"receipt_log": "crvid", "return_log": "criid", "device_history": "history_id"}
+
+
+def read_events(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Stream of event files with the declared schema."""
+    return spark.readStream.schema(schema(table)).parquet(path)
+
+
+def read_log(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All runs of a log with their run id; empty before the first run."""
+    try:
+        return read_outbox(spark, path, table)
+    except AnalysisException:
+        return empty(spark, table)
+
+
+def run_per_batch(
+    events: DataFrame, job: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Run the job on each micro-batch. The checkpoint remembers how far the stream was read."""
+    writer = events.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def receipts_into_state(spark: SparkSession, state_root: str, dimensions: dict[str, DataFrame]):
+    """A micro-batch job that folds receipts into the versioned stock state and its logs.
+
+    A batch that is replayed after a failure writes its logs under the same run
+    id, and starts from the state version that its number tells.
+    """
+
+    def job(batch: DataFrame, batch_id: int) -> None:
+        inputs = {table: read_snapshot(spark, f"{state_root}/{table}", table, batch_id) for table in STATE}
+        run_id = f"batch-{batch_id:09d}"
+        logs = {table: read_log(spark, f"{state_root}/{table}", table) for table in LOGS}
+        inputs.update(dimensions)
+        inputs.update({k: earlier_runs(v, run_id) for k, v in logs.items()})
+        out = stock_sync(inputs, batch, empty(spark, "return_events"))
+        for table, id_column in LOGS.items():
+            append_run(out[table], table, f"{state_root}/{table}", run_id, id_column, inputs[table])
+        for table in STATE:
+            write_snapshot(out[table], f"{state_root}/{table}", batch_id + 1)
+
+    return job
+
+
+def earlier_runs(log: DataFrame, run_id: str) -> DataFrame:
+    """Rows of the other runs, so that a replay does not see its own first attempt."""
+    return log.where(log["run_id"] != run_id) if "run_id" in log.columns else log
