@@ -1,0 +1 @@
+"""The jobs run over the given tables: what they read is derived here, row by row."""

@@ -12,6 +12,7 @@ SETTINGS = {
     # Rerunning a job replaces the partitions of its own run only.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
