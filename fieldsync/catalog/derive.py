@@ -16,6 +16,16 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when the input has fewer splits than there are cores.
+
+    Reading documents is heavy on the processor; a table of many files is
+    spread already and stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def text(*parts: Column | str) -> Column:
     """Concatenation where plain strings are literals and columns become text."""
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
@@ -147,7 +157,7 @@ def responses(spark, sf_dir) -> DataFrame:
     cut_off = F.expr("substring(_document, 1, length(_document) - 2)")
     activities = {"1-URGENT": 72, "2-HIGH": 3, "3-MEDIUM": 44, "4-NOT SPECIFIED": 10, "5-LOW": 99}
     return (
-        given(spark, sf_dir, "orders")
+        spread(given(spark, sf_dir, "orders"))
         .withColumn("_document", document)
         .select(
             order.alias("responselogid"),
@@ -276,7 +286,7 @@ def slot() -> Column:
 
 
 def _stock_events(spark, sf_dir, serial: Callable[[], Column]) -> DataFrame:
-    return given(spark, sf_dir, "events").select(
+    return spread(given(spark, sf_dir, "events")).select(
         (F.col("event_id") + 1).alias("seq"),
         F.col("user_id").cast("int").alias("doc_number"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"),

@@ -62,7 +62,7 @@ def install_attributes(spark, sf_dir):
 @query
 def install_explode(spark, sf_dir):
     """Property rows of all surveys, counted per id."""
-    surveys = d.responses(spark, sf_dir).select(F.explode(doc.property_list(F.col("response"))).alias("p"))
+    surveys = doc.read_documents(d.responses(spark, sf_dir), "response").select(F.explode("properties").alias("p"))
     return surveys.groupBy(F.col("p.categorypropertyallocationid").alias("property_id")).agg(
         F.count(F.lit(1)).alias("n"), F.max("p.value").alias("max_value"), F.count_distinct("p.value").alias("n_values")
     )

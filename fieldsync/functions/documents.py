@@ -7,26 +7,45 @@ is NULL. A struct read never fails, so validity is a separate test.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Only what the JSON standard allows.
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
-_END = "␞ end"
-_VALUE_STRUCT = "struct<meter_Id:string,value:string,seal_number:string>"
-_PROPERTY_STRUCT = "struct<categorypropertyallocationid:string,value:string>"
+# What a JSON value can start with.
+_START = r"^[ \t\r\n]*[\[{\"0-9tfn-]"
+
+_END = "\u241e end"
+_PROPERTY = "struct<categorypropertyallocationid:string,value:string>"
+
+
+def _closed_list(text: Column) -> Column:
+    closed = F.concat(F.lit("["), text, F.lit(f',"{_END}"]'))
+    return F.from_json(F.when(text.rlike(_START), closed), "array<string>", STRICT)
+
+
+def _is_closed_list(found: Column) -> Column:
+    return F.coalesce((F.size(found) == 2) & (F.get(found, F.lit(1)) == _END), F.lit(False))
 
 
 def is_json(text: Column) -> Column:
     """The whole text is one JSON value. NULL and blank texts are not.
 
-    The readers stop after the first value, so the text is placed as a member
-    in front of a closing one: it is valid when exactly these two come back.
+    The readers stop after the first value, so the text is placed in a list in
+    front of a closing element: it is valid when exactly these two come back.
+    Texts that cannot be JSON by their first character are not read at all.
     """
-    wrapped = F.concat(F.lit('{"v":'), text, F.lit(f',"{_END}":0}}'))
-    keys = F.map_keys(F.from_json(wrapped, "map<string,string>", STRICT))
-    return F.coalesce(keys == F.array(F.lit("v"), F.lit(_END)), F.lit(False))
+    return _is_closed_list(_closed_list(text))
+
+
+def _closed_objects(text: Column, fields: str) -> Column:
+    closed = F.concat(F.lit("["), F.when(is_object(text), text), F.lit(f',{{"{_END}":"0"}}]'))
+    return F.from_json(closed, f"array<struct<{fields},`{_END}`:string>>", STRICT)
+
+
+def _is_closed_objects(found: Column) -> Column:
+    return F.coalesce((F.size(found) == 2) & F.get(found, F.lit(1))[_END].isNotNull(), F.lit(False))
 
 
 def is_object(text: Column) -> Column:
@@ -45,23 +64,66 @@ def member(text: Column, name: str) -> Column:
     return parsed[name]
 
 
-def property_list(document: Column) -> Column:
-    """`propertiesBean` as array of (id text, value text); NULL when there is no such array."""
-    elements = F.from_json(F.when(is_object(document), document), "struct<propertiesBean:array<string>>", STRICT)[
-        "propertiesBean"
-    ]
-    return F.transform(elements, lambda e: F.from_json(F.when(is_object(e), e), _PROPERTY_STRUCT, STRICT))
+def read_documents(rows: DataFrame, column: str) -> DataFrame:
+    """Add `document_ok` and `properties`, the array (id text, value text) under `propertiesBean`.
 
-
-def property_list_is_broken(document: Column) -> Column:
-    """The member is there but holds something else than an array."""
+    `properties` is NULL when there is no such array. The text is read once,
+    for its validity and its list. A list with elements that are no objects
+    does not fit that read; such a document is read again element by element.
+    """
+    document = F.col(column)
+    found, direct = F.col("_found"), F.col("_direct")
+    return (
+        rows.withColumn("_found", _closed_objects(document, f"propertiesBean:array<{_PROPERTY}>"))
+        .withColumn("_direct", _is_closed_objects(found))
+        .withColumn("document_ok", F.when(direct, F.lit(True)).otherwise(is_json(document)))
+        .withColumn(
+            "properties",
+            F.when(direct & F.get(found, F.lit(0))["propertiesBean"].isNotNull(), F.get(found, F.lit(0))["propertiesBean"])
+            .when(F.col("document_ok"), _one_by_one(document)),
+        )
+        .drop("_found", "_direct")
+    )
+
+
+def _one_by_one(document: Column) -> Column:
+    text = F.when(is_object(document), document)
+    elements = F.from_json(text, "struct<propertiesBean:array<string>>", STRICT)["propertiesBean"]
+    return F.transform(elements, lambda e: F.from_json(F.when(is_object(e), e), _PROPERTY, STRICT))
+
+
+def broken_document(column: str) -> Column:
+    """Why a document cannot be used, after `read_documents`; NULL when it can."""
+    document = F.col(column)
     keys = F.json_object_keys(F.when(is_object(document), document))
-    return F.coalesce(F.array_contains(keys, "propertiesBean") & property_list(document).isNull(), F.lit(False))
+    names_list = F.coalesce(F.array_contains(keys, "propertiesBean"), F.lit(False))
+    return F.when(document.isNotNull() & ~F.col("document_ok"), F.lit("document does not parse")).when(
+        F.col("properties").isNull() & names_list, F.lit("properties are not a list")
+    )
+
+
+def open_value(text: Column) -> Column:
+    """A value as read, for `value_ok` and `value_member`.
+
+    Inside a lambda every mention of an expression is worked out again, so the
+    read is kept in a field and everything else is taken from that field.
+    """
+    return F.struct(
+        _closed_objects(text, "meter_Id:string,value:string,seal_number:string").alias("object"),
+        _closed_list(F.when(~is_object(text), text)).alias("other"),
+    )
+
+
+def value_ok(opened: Column) -> Column:
+    """The value was JSON."""
+    return F.when(opened["object"].isNotNull(), _is_closed_objects(opened["object"])).otherwise(
+        _is_closed_list(opened["other"])
+    )
 
 
-def value_members(text: Column) -> Column:
-    """Members of a value that is itself a JSON object."""
-    return F.from_json(F.when(is_object(text), text), _VALUE_STRUCT, STRICT)
+def value_member(opened: Column, name: str) -> Column:
+    """Member of a value that was an object."""
+    return F.get(opened["object"], F.lit(0))[name]
 
 
 def payload(columns: list[Column]) -> Column:

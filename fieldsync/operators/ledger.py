@@ -15,22 +15,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldsync.operators.running import BLOCK_ROWS, Measure, plan_blocks
+from fieldsync.operators.running import BLOCK_ROWS, Blocks, Measure, plan_blocks
 from fieldsync.sources.staging import stage
 
 _EFFECT = ["cell", "stock_id", "seq", "kind", "delta", "effective"]
 
 
-def serial_effects(moves: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def serial_effects(moves: DataFrame, blocks: Blocks) -> DataFrame:
     """Change in copies for every movement of (cell, stock_id, seq, kind).
 
     The returns cut the movements of a serial into spans that each start with
     no copy. Within a span there are as many copies as `L` rows, plus one if an
     `R` row came first of all.
     """
-    blocks = plan_blocks(moves, ["stock_id", "cell"], "seq", block_rows)
     is_return = F.when(F.col("kind") == "T", 1).otherwise(0)
-    spans = blocks.running(moves, {"span": Measure("sum", is_return)}, before=True)
+    spans = blocks.running(moves, {"span": Measure("sum", is_return)}, also_by=("stock_id",), before=True)
     spans = spans.withColumn("span", F.coalesce("span", F.lit(0)))
     if blocks.hashes:
         spans = stage(spans, "serial-spans")
@@ -41,7 +40,7 @@ def serial_effects(moves: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
             "first_always": Measure("min", F.when(F.col("kind") == "L", F.col("seq"))),
             "first_once": Measure("min", F.when(F.col("kind") == "R", F.col("seq"))),
         },
-        also_by=("span",),
+        also_by=("stock_id", "span"),
         before=True,
     )
     once_came_first = F.col("first_once").isNotNull() & (
@@ -71,6 +70,8 @@ def fold_serials(
     `inert` (cell, inert_id, inert_seq) names the lowest holder that never gives
     the serial back: returns after `inert_seq` get no further than to it.
     """
+    named = inserts.select("cell", "seq").unionByName(returns.select("cell", "seq"))
+    blocks = plan_blocks(named, ["cell"], "seq", block_rows)
     asked = returns.select("cell").distinct()
     holders = inserts.groupBy("cell", "stock_id").agg(F.min("seq").alias("first_seq"))
     by_stock = Window.partitionBy("cell").orderBy("stock_id")
@@ -87,7 +88,7 @@ def fold_serials(
 
     added = inserts.select("cell", "stock_id", "seq", "kind")
     if depth <= 1:
-        return serial_effects(added.unionByName(reaching(returns, 1)), block_rows).select(*_EFFECT)
+        return serial_effects(added.unionByName(reaching(returns, 1)), blocks).select(*_EFFECT)
 
     ranks = ranked.select("cell", "stock_id", "rank")
     added = stage(
@@ -104,10 +105,10 @@ def fold_serials(
         )
         if waiting.isEmpty():
             rest = added.where(F.col("rank") >= rank).drop("rank")
-            parts.append(serial_effects(rest, block_rows))
+            parts.append(serial_effects(rest, blocks))
             break
         moves = added.where(F.col("rank") == rank).drop("rank").unionByName(reaching(waiting, rank))
-        effects = stage(serial_effects(stage(moves, "serial-moves"), block_rows), "serial-effects")
+        effects = stage(serial_effects(moves, blocks), "serial-effects")
         parts.append(effects)
         waiting = waiting.join(effects.where("effective").select("seq"), "seq", "left_anti")
     out = parts[0]

@@ -52,8 +52,7 @@ class Blocks:
     ) -> DataFrame:
         """Add each measure over the rows of the key up to, or strictly before, a row.
 
-        `also_by` narrows the key further and must itself follow from running
-        values of the same keys. Key columns must not be NULL.
+        `also_by` narrows the key further. Key columns must not be NULL.
         """
         by = [*self.keys, *also_by]
         last = -1 if before else 0

@@ -18,22 +18,21 @@ def _open_requests(inputs: Inputs, remark: str) -> DataFrame:
     return inputs["swap_requests"].where((F.col("status") == False) & (F.col("remarks") == remark))  # noqa: E712
 
 
-def removal_meters(document: Column, ids: tuple[int, ...]) -> tuple[Column, Column]:
-    """Distinct meters of a removal survey, and whether one of its values does not parse.
+def removal_meters(properties: Column, ids: tuple[int, ...]) -> Column:
+    """(meter, broken) of the properties that name a meter: a document with `meter_Id`, or plain text."""
+    wanted = F.filter(properties, lambda p: p["categorypropertyallocationid"].try_cast("int").isin(*ids))
 
-    A meter may be a document with `meter_Id` or plain text.
-    """
-    wanted = F.filter(
-        doc.property_list(document), lambda p: p["categorypropertyallocationid"].try_cast("int").isin(*ids)
-    )
-    meter = F.transform(
-        wanted,
-        lambda p: F.when(
-            p["value"].startswith("{"), doc.value_members(F.when(doc.is_json(p["value"]), p["value"]))["meter_Id"]
-        ).otherwise(p["value"]),
-    )
-    broken = F.exists(wanted, lambda p: p["value"].startswith("{") & ~doc.is_json(p["value"]))
-    return F.array_distinct(F.filter(meter, lambda m: m.isNotNull())), F.coalesce(broken, F.lit(False))
+    def read(p: Column) -> Column:
+        nested = p["value"].startswith("{")
+        return F.struct(p["value"].alias("text"), nested.alias("nested"), doc.open_value(F.when(nested, p["value"])).alias("opened"))
+
+    def pick(v: Column) -> Column:
+        return F.struct(
+            F.when(v["nested"], doc.value_member(v["opened"], "meter_Id")).otherwise(v["text"]).alias("meter"),
+            (v["nested"] & ~doc.value_ok(v["opened"])).alias("broken"),
+        )
+
+    return F.transform(F.transform(wanted, read), pick)
 
 
 def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[str, DataFrame]:
@@ -47,18 +46,17 @@ def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[
     surveys = inputs["responses"].where(
         (F.col("projectid") == cfg.removal_project) & (F.col("responsestatusid") >= 0)
     )
-    meters, broken = removal_meters(F.col("response"), cfg.meter_properties)
-    document = F.col("response")
-    reason = (
-        F.when(document.isNotNull() & ~doc.is_json(document), F.lit("document does not parse"))
-        .when(doc.property_list_is_broken(document), F.lit("properties are not a list"))
-        .when(broken, F.lit("a property value does not parse"))
+    meters = F.array_distinct(F.filter(F.transform("_meters", lambda m: m["meter"]), lambda m: m.isNotNull()))
+    reason = F.coalesce(
+        doc.broken_document("response"),
+        F.when(F.exists("_meters", lambda m: m["broken"]), F.lit("a property value does not parse")),
     )
     # Only surveys of requested nodes are parsed, and only once.
+    of_requests = surveys.join(requests.select("distnid"), "distnid", "left_semi")
     read = stage(
-        surveys.join(requests.select("distnid"), "distnid", "left_semi").select(
-            "responselogid", "distnid", "distcode", meters.alias("meters"), reason.alias("reject_reason")
-        ),
+        doc.read_documents(of_requests, "response")
+        .withColumn("_meters", removal_meters(F.col("properties"), cfg.meter_properties))
+        .select("responselogid", "distnid", "distcode", meters.alias("meters"), reason.alias("reject_reason")),
         "removal-meters",
     )
     rejected = read.where(F.col("reject_reason").isNotNull()).select("responselogid", "reject_reason")

@@ -27,57 +27,71 @@ PAYLOAD = [
 _HEADER = ["responselogid", "distnid", "distcode", "serveyorid", "surveydate", "responsetime", "nodetype", "activityid"]
 
 
-def strict_properties(document: Column) -> Column:
-    """(id text, meter_Id, value, seal_number) per property; a value with a leading brace is a document."""
+def strict_properties(properties: Column) -> Column:
+    """(id text, meter_Id, value, seal_number) per property; a value with a leading brace is a document.
 
-    def one(p: Column) -> Column:
-        text = p["value"]
-        nested = text.startswith("{")
-        members = doc.value_members(F.when(nested, text))
+    Two steps, so that a value is read once however many members are taken.
+    """
+
+    def read(p: Column) -> Column:
+        nested = p["value"].startswith("{")
         return F.struct(
             p["categorypropertyallocationid"].alias("id"),
-            members["meter_Id"].alias("meter_Id"),
-            F.when(nested, members["value"]).otherwise(text).alias("value"),
-            members["seal_number"].alias("seal_number"),
-            F.when(nested, ~doc.is_json(text)).otherwise(F.lit(False)).alias("broken"),
+            p["value"].alias("text"),
+            nested.alias("nested"),
+            doc.open_value(F.when(nested, p["value"])).alias("opened"),
+        )
+
+    def pick(v: Column) -> Column:
+        return F.struct(
+            v["id"].alias("id"),
+            doc.value_member(v["opened"], "meter_Id").alias("meter_Id"),
+            F.when(v["nested"], doc.value_member(v["opened"], "value")).otherwise(v["text"]).alias("value"),
+            doc.value_member(v["opened"], "seal_number").alias("seal_number"),
+            (v["nested"] & ~doc.value_ok(v["opened"])).alias("broken"),
         )
 
-    return F.transform(doc.property_list(document), one)
+    return F.transform(F.transform(properties, read), pick)
 
 
-def tolerant_properties(document: Column) -> Column:
+def tolerant_properties(properties: Column) -> Column:
     """As above, but a value is a document when it parses at all, and ids are numbers.
 
     A plain `123` or `true` parses, as a scalar without members: such values
     are lost here, and kept in the strict form.
     """
 
-    def one(p: Column) -> Column:
-        text = p["value"]
-        parses = doc.is_json(text)
-        members = doc.value_members(F.when(parses, text))
-        id_text = F.nullif(p["categorypropertyallocationid"], F.lit(""))
+    def read(p: Column) -> Column:
         return F.struct(
-            id_text.try_cast("int").alias("id"),
-            members["meter_Id"].alias("meter_Id"),
-            F.when(parses, members["value"]).otherwise(text).alias("value"),
-            members["seal_number"].alias("seal_number"),
-            F.when(parses, members["meter_Id"]).otherwise(text).alias("any_meter"),
-            (id_text.isNotNull() & id_text.try_cast("int").isNull()).alias("broken"),
+            F.nullif(p["categorypropertyallocationid"], F.lit("")).alias("id"),
+            p["value"].alias("text"),
+            doc.open_value(p["value"]).alias("opened"),
         )
 
-    return F.transform(doc.property_list(document), one)
+    def pick(v: Column) -> Column:
+        number = v["id"].try_cast("int")
+        parses = doc.value_ok(v["opened"])
+        return F.struct(
+            number.alias("id"),
+            F.when(parses, doc.value_member(v["opened"], "meter_Id")).alias("meter_Id"),
+            F.when(parses, doc.value_member(v["opened"], "value")).otherwise(v["text"]).alias("value"),
+            F.when(parses, doc.value_member(v["opened"], "seal_number")).alias("seal_number"),
+            F.when(parses, doc.value_member(v["opened"], "meter_Id")).otherwise(v["text"]).alias("any_meter"),
+            (v["id"].isNotNull() & number.isNull()).alias("broken"),
+        )
+
+    return F.transform(F.transform(properties, read), pick)
 
 
 def install_attributes(responses: DataFrame, cfg: InstallConfig = InstallConfig()) -> DataFrame:
     """One row per response with its ten attributes and, if unusable, the reason."""
     text_ids = {name: (m, tuple(str(i) for i in ids)) for name, (m, ids) in cfg.properties.items()}
-    document = F.col("response")
-    read = responses.withColumn("_properties", strict_properties(document))
-    reason = (
-        F.when(document.isNotNull() & ~doc.is_json(document), F.lit("document does not parse"))
-        .when(doc.property_list_is_broken(document), F.lit("properties are not a list"))
-        .when(F.exists("_properties", lambda p: p["broken"]), F.lit("a property value does not parse"))
+    read = doc.read_documents(responses, "response").withColumn(
+        "_properties", strict_properties(F.col("properties"))
+    )
+    reason = F.coalesce(
+        doc.broken_document("response"),
+        F.when(F.exists("_properties", lambda p: p["broken"]), F.lit("a property value does not parse")),
     )
     return read.select(
         *responses.columns, *wide(F.col("_properties"), text_ids), reason.alias("reject_reason")
@@ -239,10 +253,15 @@ def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict
     )
 
     # Texts that do not parse have no properties here, without being rejected.
-    usable_text = doc.json_or_null(F.col("response"))
-    read = backlog.withColumn("_properties", tolerant_properties(usable_text))
-    reason = F.when(doc.property_list_is_broken(usable_text), F.lit("properties are not a list")).when(
-        F.exists("_properties", lambda p: p["broken"]), F.lit("a property id is not a number")
+    read = doc.read_documents(backlog, "response").withColumn(
+        "_properties", tolerant_properties(F.col("properties"))
+    )
+    reason = F.when(
+        F.col("document_ok"),
+        F.coalesce(
+            doc.broken_document("response"),
+            F.when(F.exists("_properties", lambda p: p["broken"]), F.lit("a property id is not a number")),
+        ),
     )
     meters = F.array_distinct(
         F.filter(F.transform("_properties", lambda p: p["any_meter"]), lambda m: m.isNotNull() & (m != ""))

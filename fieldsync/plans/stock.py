@@ -139,7 +139,24 @@ def device_attributes_replace(
     return replace_current(current, events, "serial_number", "seq", [*DEVICE_ATTRIBUTES.values(), "type_source"])
 
 
-def _resolve(inputs: Inputs, receipts: DataFrame, returns: DataFrame, cfg: StockConfig) -> DataFrame:
+def _movements(receipts: DataFrame, returns: DataFrame) -> DataFrame:
+    """Both kinds of event as rows of the same few columns, with the reason why one is rejected."""
+    serial = F.col("type") == SERIALISED
+    columns = ["seq", "materialname", "materialcode", "vendor_code", "quantity", "serialno", "kind", "reject_reason"]
+    received = (
+        check_receipts(receipts.where(F.col("type").isin(SERIALISED, BULK)))
+        .withColumn("vendor_code", F.col("contractorcode"))
+        .withColumn("kind", F.when(serial, "R").otherwise("BR"))
+    )
+    given_back = (
+        check_returns(returns.where(F.col("type").isin(SERIALISED, BULK)))
+        .withColumn("vendor_code", F.col("fromcontractorcode"))
+        .withColumn("kind", F.when(serial, "T").otherwise("BT"))
+    )
+    return received.select(*columns).unionByName(given_back.select(*columns))
+
+
+def _resolve(inputs: Inputs, moves: DataFrame, cfg: StockConfig) -> DataFrame:
     """Movements that name a stock by material and contractor, with the id of that stock.
 
     A receipt makes the stock that is missing. When material or contractor is
@@ -147,25 +164,7 @@ def _resolve(inputs: Inputs, receipts: DataFrame, returns: DataFrame, cfg: Stock
     stock of its own (`alone`).
     """
     named = ["materialname", "materialcode", "vendor_code"]
-    received = receipts.where(F.col("type").isin(SERIALISED, BULK)).select(
-        "seq",
-        "materialname",
-        "materialcode",
-        F.col("contractorcode").alias("vendor_code"),
-        "quantity",
-        "serialno",
-        F.when(F.col("type") == SERIALISED, "R").otherwise("BR").alias("kind"),
-    )
-    given_back = returns.where(F.col("type") == BULK).select(
-        "seq",
-        "materialname",
-        "materialcode",
-        F.col("fromcontractorcode").alias("vendor_code"),
-        "quantity",
-        "serialno",
-        F.lit("BT").alias("kind"),
-    )
-    moves = received.unionByName(given_back)
+    moves = moves.where(F.col("kind") != "T")
     materials = lowest_id(inputs["materials"], ["name", "code"], "mm_rid").select(
         F.col("name").alias("materialname"), F.col("code").alias("materialcode"), F.col("mm_rid").alias("mat_rid")
     )
@@ -218,13 +217,13 @@ def _resolve(inputs: Inputs, receipts: DataFrame, returns: DataFrame, cfg: Stock
 
 
 def _serial_effects(
-    inputs: Inputs, moves: DataFrame, returns: DataFrame, cfg: StockConfig, block_rows: int
+    inputs: Inputs, moves: DataFrame, resolved: DataFrame, cfg: StockConfig, block_rows: int
 ) -> DataFrame:
     """What every serialised receipt and return does to the serials of which stock."""
-    asked = returns.where((F.col("type") == SERIALISED) & F.col("serialno").isNotNull()).select(
+    asked = moves.where((F.col("kind") == "T") & F.col("serialno").isNotNull()).select(
         F.col("serialno").alias("cell"), "seq"
     )
-    received = moves.where((F.col("kind") == "R") & F.col("serial").isNotNull())
+    received = resolved.where((F.col("kind") == "R") & F.col("serial").isNotNull())
     inserts = received.where(~F.col("alone")).select(
         F.col("upper_serial").alias("cell"),
         "stock_id",
@@ -304,17 +303,13 @@ def stock_ledger(
     Gives the new `stock` and `stock_serials` snapshots, every movement with
     the quantity after it, the plain `balance`, and the rejected events.
     """
-    checked_in, checked_out = check_receipts(receipts), check_returns(returns)
-    good_in = checked_in.where(F.col("reject_reason").isNull())
-    good_out = checked_out.where(F.col("reject_reason").isNull())
-    rejected = (
-        checked_in.where(F.col("reject_reason").isNotNull())
-        .select("seq", "reject_reason")
-        .unionByName(checked_out.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason"))
-    )
+    # The events, which may be wide, are read and checked once; all else works on a few columns.
+    checked = stage(_movements(receipts, returns), "stock-events")
+    rejected = checked.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
+    moves = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
-    resolved = stage(_resolve(inputs, good_in, good_out, cfg), "stock-moves")
-    effects = stage(_serial_effects(inputs, resolved, good_out, cfg, block_rows), "serial-effects")
+    resolved = stage(_resolve(inputs, moves, cfg), "stock-moves")
+    effects = stage(_serial_effects(inputs, moves, resolved, cfg, block_rows), "serial-effects")
     shared = resolved.where(~F.col("alone"))
 
     # Serialised receipts count even if they add no serial; one without serial always adds one.
