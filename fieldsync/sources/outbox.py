@@ -76,15 +76,10 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
                 F.raise_error(F.lit("request is longer than the outbox takes")),
             ).otherwise(F.col("request")),
         )
-    (
-        checked.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
-    spark = rows.sparkSession
-    return spark.read.schema(checked.schema).parquet(f"{path}/run_id={run_id}")
+    # The run's folder is written whole, so an empty delta leaves a readable run too.
+    folder = f"{path}/run_id={run_id}"
+    checked.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(checked.schema).parquet(folder)
 
 
 def read_outbox(spark, path: str, table: str) -> DataFrame:

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_roots: dict[str, str] = {}
+
+
 def staging_root(spark: SparkSession) -> str:
     """`spark.checkpoint.dir` of the session. Only a local session may go without."""
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +18,10 @@ def staging_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="fieldsync-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="fieldsync-")
+    return _local_roots[application]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
