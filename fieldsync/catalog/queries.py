@@ -16,6 +16,7 @@ from fieldsync.operators.previous import previous_flagged
 from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
 from fieldsync.sources.outbox import land_raw, with_defaults
+from fieldsync.sources.staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -233,7 +234,7 @@ def return_log_once(spark, sf_dir):
 
 def _devices(spark, sf_dir) -> dict[str, DataFrame]:
     receipts = d.receipt_events(spark, sf_dir)
-    logged = stock.receipt_log_delta(receipts, d.stock_logs(spark, sf_dir)["receipt_log"])
+    logged = stage(stock.receipt_log_delta(receipts, d.stock_logs(spark, sf_dir)["receipt_log"]).select("seq"), "logged")
     return stock.device_attributes_replace(d.device_current(spark, sf_dir), receipts, logged)
 
 

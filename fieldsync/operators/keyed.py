@@ -17,21 +17,28 @@ def all_known(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
+def first_orders(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The lowest `order` per key, as one column; every row with a NULL key is a key of its own."""
+    alone = F.when(~all_known(keys), F.col(order)).alias("_alone")
+    return rows.groupBy(*keys, alone).agg(F.min(order).alias(order)).select(order)
+
+
 def first_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Row with the lowest `order` per key; a row with a NULL key always stays.
 
     `order` must be unique: the chosen rows are found again by it, so the join
     spreads evenly however the keys are distributed.
     """
-    alone = F.when(~all_known(keys), F.col(order)).alias("_alone")
-    chosen = rows.groupBy(*keys, alone).agg(F.min(order).alias(order)).select(order)
-    return rows.join(chosen, order, "left_semi")
+    return rows.join(first_orders(rows, keys, order), order, "left_semi")
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: str, columns: list[str]) -> DataFrame:
-    """The columns of the row with the highest `order` per key."""
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), order).alias("_newest"))
-    return newest.select(*keys, "_newest.*")
+    """The columns of the row with the highest `order` per key.
+
+    One aggregate per column keeps the state in fixed-width buffers, so that it
+    is a hash aggregate; a struct as state would make it a sort.
+    """
+    return rows.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in columns])
 
 
 def lowest_id(rows: DataFrame, keys: list[str], id_column: str) -> DataFrame:
@@ -40,8 +47,17 @@ def lowest_id(rows: DataFrame, keys: list[str], id_column: str) -> DataFrame:
 
 
 def absent(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose key is not known. A NULL key matches nothing, so it is absent."""
-    return rows.join(known.select(*keys), keys, "left_anti")
+    """Rows whose key is not known. A NULL key matches nothing, so it is absent.
+
+    The known keys are made distinct first: a key that is known a great many
+    times is then one row per task before it is shuffled.
+    """
+    return rows.join(known.select(*keys).distinct(), keys, "left_anti")
+
+
+def present(rows: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key is known, without copies."""
+    return rows.join(known.select(*keys).distinct(), keys, "left_semi")
 
 
 def new_first_per_key(rows: DataFrame, known: DataFrame, keys: list[str], order: str) -> DataFrame:

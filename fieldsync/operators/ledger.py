@@ -165,8 +165,9 @@ def fold_quantities(
 
 def closing(movements: DataFrame) -> DataFrame:
     """Count and quantity of each stock after its last movement."""
-    last = movements.groupBy("stock_id").agg(F.max_by(F.struct("count_after", "qty_after"), "seq").alias("_last"))
-    return last.select("stock_id", F.col("_last.count_after").alias("serials"), F.col("_last.qty_after").alias("qty"))
+    return movements.groupBy("stock_id").agg(
+        F.max_by("count_after", "seq").alias("serials"), F.max_by("qty_after", "seq").alias("qty")
+    )
 
 
 def counted_balance(effects: DataFrame, bulk: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldsync.sources.staging import stage
+
 
 def replace_current(
     current: DataFrame, events: DataFrame, key: str, order: str, attributes: list[str]
@@ -16,7 +18,7 @@ def replace_current(
     spreads evenly. Events with a NULL key displace nothing and stay current.
     """
     keyed = events.where(F.col(key).isNotNull())
-    newest = keyed.groupBy(key).agg(F.max(order).alias(order))
+    newest = stage(keyed.select(key, order).groupBy(key).agg(F.max(order).alias(order)), "newest-events")
 
     columns = [key, *attributes]
     replacing = keyed.join(newest.select(order), order, "left_semi").select(*columns)

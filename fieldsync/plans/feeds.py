@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldsync.config import METER_DELETE, METER_SWAP, FeedConfig
 from fieldsync.functions import documents as doc
-from fieldsync.operators.keyed import absent
+from fieldsync.operators.keyed import absent, present
 from fieldsync.sources.outbox import with_serial
 from fieldsync.sources.staging import stage
 
@@ -40,9 +40,7 @@ def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[
 
     A request with several such meters takes the lowest serial.
     """
-    requests = _open_requests(inputs, cfg.delete_remark).select(
-        F.col("swapid").alias("pushlog_id"), "distnid", "remarks"
-    )
+    requests = _open_requests(inputs, cfg.delete_remark).select(F.col("swapid").alias("pushlog_id"), "distnid")
     surveys = inputs["responses"].where(
         (F.col("projectid") == cfg.removal_project) & (F.col("responsestatusid") >= 0)
     )
@@ -52,7 +50,7 @@ def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[
         F.when(F.exists("_meters", lambda m: m["broken"]), F.lit("a property value does not parse")),
     )
     # Only surveys of requested nodes are parsed, and only once.
-    of_requests = surveys.join(requests.select("distnid"), "distnid", "left_semi")
+    of_requests = present(surveys, requests, ["distnid"])
     read = stage(
         doc.read_documents(of_requests, "response")
         .withColumn("_meters", removal_meters(F.col("properties"), cfg.meter_properties))
@@ -69,25 +67,29 @@ def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[
     pushed = with_serial(inputs["install_outbox"]).where(F.col("status")).select("serial_number")
     log = with_serial(inputs["swap_outbox"])
     open_deletes = log.where((F.col("description") == cfg.delete_remark) & (F.col("status") == False))  # noqa: E712
-    candidates = absent(
-        found.join(pushed, "serial_number", "left_semi"), open_deletes, ["serial_number", "distnid"]
-    ).join(requests, "distnid")
-    fresh = absent(candidates, log.where(F.col("pushlog_id").isNotNull()), ["pushlog_id"])
-
-    # One row per request; requests without an id never clash, so each of their rows stays.
-    row = F.struct("serial_number", "distnid", "distcode", "remarks")
-    alone = F.when(F.col("pushlog_id").isNull(), row)
-    kept = fresh.groupBy("pushlog_id", alone.alias("_alone")).agg(F.min(row).alias("_row"))
-    delta = kept.select(
-        "_row.distnid",
-        F.col("_row.distcode").alias("distributionnodecode"),
-        doc.payload([F.col("_row.serial_number").alias("serialNumber"), F.lit(True).alias("miDeleteFlag")]).alias(
-            "request"
-        ),
-        F.col("_row.remarks").alias("description"),
+    candidates = absent(present(found, pushed, ["serial_number"]), open_deletes, ["serial_number", "distnid"])
+
+    # Every request of a node asks for the same meters, so the lowest one is
+    # found per node, before the requests come in. Requests without an id never
+    # clash with each other, and get all meters of their node.
+    lowest = candidates.groupBy("distnid").agg(F.min(F.struct("serial_number", "distcode")).alias("_lowest"))
+    with_id = absent(
+        requests.where(F.col("pushlog_id").isNotNull()), log.where(F.col("pushlog_id").isNotNull()), ["pushlog_id"]
+    )
+    chosen = with_id.join(lowest, "distnid").select(
+        "pushlog_id", "distnid", F.col("_lowest.distcode").alias("distcode"), F.col("_lowest.serial_number").alias("serial_number")
+    )
+    without_id = present(candidates, requests.where(F.col("pushlog_id").isNull()), ["distnid"]).select(
+        F.lit(None).cast("long").alias("pushlog_id"), "distnid", "distcode", "serial_number"
+    )
+    delta = chosen.unionByName(without_id).select(
+        "distnid",
+        F.col("distcode").alias("distributionnodecode"),
+        doc.payload([F.col("serial_number").alias("serialNumber"), F.lit(True).alias("miDeleteFlag")]).alias("request"),
+        F.lit(cfg.delete_remark).alias("description"),
         F.lit(METER_DELETE).alias("type_id"),
         "pushlog_id",
-        F.col("_row.serial_number").alias("serial_number"),
+        "serial_number",
     )
     return {"delta": delta, "rejected": rejected}
 

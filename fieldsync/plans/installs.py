@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldsync.config import METER_INSTALL, InstallConfig
 from fieldsync.functions import documents as doc
 from fieldsync.functions.text import concat_skip_null, date_of_text, decode, or_blank
-from fieldsync.operators.keyed import absent, first_per_key
+from fieldsync.operators.keyed import absent, first_per_key, present
 from fieldsync.operators.pivot import wide
 from fieldsync.operators.previous import previous_flagged
 from fieldsync.sources.outbox import with_serial
@@ -114,8 +114,7 @@ def _remarks(rows: DataFrame, inputs: Inputs) -> DataFrame:
     Any earlier response of the node counts, so the whole history of the nodes
     at hand is looked at, and of those nodes only.
     """
-    nodes = rows.select("distnid").distinct()
-    history = inputs["responses"].select("distnid", "responselogid").join(nodes, "distnid", "left_semi")
+    history = present(inputs["responses"].select("distnid", "responselogid"), rows, ["distnid"])
     flagged = inputs["resurvey_flags"].where(F.col("resurvey") == 1).select(F.col("responseid").alias("responselogid"))
     marks = previous_flagged(history, flagged, "distnid", "responselogid").where("previous_flagged")
     marked = rows.join(marks.select("responselogid", "previous_flagged"), "responselogid", "left")
@@ -283,7 +282,7 @@ def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict
     candidates = usable.where(F.col("meternum").isNotNull()).select(
         "responselogid", "distnid", F.explode("meters").alias("serial_number")
     )
-    unsent = absent(candidates.join(received, "serial_number", "left_semi"), outbox, ["distnid", "serial_number"])
+    unsent = absent(present(candidates, received, ["serial_number"]), outbox, ["distnid", "serial_number"])
     eligible = usable.join(unsent.select("responselogid"), "responselogid", "left_semi")
     eligible = absent(eligible, outbox.where(is_open), ["distnid"])
 

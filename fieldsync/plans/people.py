@@ -14,7 +14,7 @@ from fieldsync.config import (
 )
 from fieldsync.functions.documents import payload
 from fieldsync.functions.text import differs, spaced_name, true_false
-from fieldsync.operators.keyed import absent, latest_per_key
+from fieldsync.operators.keyed import absent, latest_per_key, present
 
 Inputs = dict[str, DataFrame]
 
@@ -36,13 +36,9 @@ def contractor_candidates(inputs: Inputs, cfg: PeopleConfig = PeopleConfig()) ->
         .join(inputs["roles"].select("roleid", "discription"), "roleid")
         .withColumnRenamed("userid", "incharge_user_rid")
     )
-    return (
-        inputs["contractors"]
-        .select("contact_rid", "vendor_code", "incharge_user_rid")
-        .join(categories.select("contact_rid"), "contact_rid", "left_semi")
-        .join(mapped, "incharge_user_rid", "left_semi")
-        .join(logins, "incharge_user_rid")
-    )
+    contractors = inputs["contractors"].select("contact_rid", "vendor_code", "incharge_user_rid")
+    wanted = present(present(contractors, categories, ["contact_rid"]), mapped, ["incharge_user_rid"])
+    return wanted.join(logins, "incharge_user_rid")
 
 
 def _contractor_fields(cfg: PeopleConfig, division: bool) -> list[Column]:

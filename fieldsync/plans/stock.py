@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldsync.config import BULK, DEVICE_ATTRIBUTES, SERIALISED, StockConfig
 from fieldsync.functions import documents as doc
 from fieldsync.functions.text import quantity
-from fieldsync.operators.keyed import absent, first_per_key, highest, lowest_id
+from fieldsync.operators.keyed import absent, first_orders, highest, lowest_id
 from fieldsync.operators.ledger import closing, counted_balance, fold_quantities, fold_serials
 from fieldsync.operators.running import BLOCK_ROWS
 from fieldsync.operators.scd import replace_current
@@ -49,25 +49,27 @@ def receipt_log_delta(receipts: DataFrame, log: DataFrame) -> DataFrame:
     came: a serial that is not in upper case is never found, so it is logged
     each time, and it makes a later upper-case one known.
     """
+    # Which rows are logged is settled on the keys alone; the rows are fetched by `seq`.
+    keys = receipts.select(
+        "seq",
+        "serialno",
+        F.upper("serialno").alias("upper_serial"),
+        F.col("doc_number").alias("documentnumber"),
+        "materialcode",
+        "type",
+    )
     serial = absent(
-        receipts.where(F.col("type") == SERIALISED)
-        .withColumn("documentnumber", F.col("doc_number"))
-        .withColumn("upper_serial", F.upper("serialno")),
-        log.where(F.col("serialno").isNotNull()),
-        ["serialno", "documentnumber"],
+        keys.where(F.col("type") == SERIALISED), log.where(F.col("serialno").isNotNull()), ["serialno", "documentnumber"]
     )
-    exact = F.coalesce(F.col("serialno") == F.col("upper_serial"), F.lit(False)) & F.col("documentnumber").isNotNull()
-    first = serial.groupBy("upper_serial", "documentnumber").agg(F.min("seq").alias("seq"))
-    marked = serial.join(first.select("seq", F.lit(True).alias("is_first")), "seq", "left")
-    serial_kept = marked.where(~exact | F.coalesce("is_first", F.lit(False))).select("seq")
+    # An exact serial is logged if it comes first of its document; any other one always is.
+    exact = F.coalesce(F.col("serialno") == F.col("upper_serial"), F.lit(False))
+    always = serial.where(~exact).select("seq")
+    first = first_orders(serial, ["upper_serial", "documentnumber"], "seq")
 
     bulk_keys = ["documentnumber", "materialcode", "type"]
-    bulk = absent(
-        receipts.where(F.col("type") == BULK).withColumn("documentnumber", F.col("doc_number")), log, bulk_keys
-    )
-    bulk_kept = first_per_key(bulk.select("seq", *bulk_keys), bulk_keys, "seq").select("seq")
+    bulk = first_orders(absent(keys.where(F.col("type") == BULK), log, bulk_keys), bulk_keys, "seq")
 
-    kept = receipts.join(serial_kept.unionByName(bulk_kept), "seq", "left_semi")
+    kept = receipts.join(always.unionByName(first).unionByName(bulk), "seq", "left_semi")
     return kept.select(
         "seq",
         F.col("doc_number").alias("documentnumber"),
@@ -92,8 +94,7 @@ def return_log_delta(returns: DataFrame, log: DataFrame) -> DataFrame:
     named = returns.withColumn("serial_num", F.col("serialno")).withColumn("doc_num", F.col("doc_number"))
 
     def once(kind: str, keys: list[str]) -> DataFrame:
-        new = absent(named.where(F.col("type") == kind).select("seq", *keys), log, keys)
-        return first_per_key(new, keys, "seq").select("seq")
+        return first_orders(absent(named.where(F.col("type") == kind).select("seq", *keys), log, keys), keys, "seq")
 
     kept = named.join(
         once(SERIALISED, ["serial_num", "doc_num"]).unionByName(once(BULK, ["doc_num", "materialcode", "type"])),
@@ -128,7 +129,10 @@ def attribute_columns(document: str) -> list:
 def device_attributes_replace(
     current: DataFrame, receipts: DataFrame, logged: DataFrame, cfg: StockConfig = StockConfig()
 ) -> dict[str, DataFrame]:
-    """Newly logged serialised receipts replace the attributes of their device."""
+    """Newly logged serialised receipts replace the attributes of their device.
+
+    `logged` is read more than once, so it should be a staged table.
+    """
     fresh = receipts.where(F.col("type") == SERIALISED).join(logged.select("seq"), "seq", "left_semi")
     events = fresh.select(
         "seq",
