@@ -56,3 +56,23 @@ def test_library_has_no_hints_or_local_cuts():
     for word in ("localCheckpoint", "crossJoin", "broadcast(", "toPandas", ".rdd.map", "toLocalIterator"):
         assert word not in source
     assert set(ORACLES) <= set(REGISTERED)
+
+
+def shared_serials_by_fold(spark, sf_dir):
+    """The stock rows after all events of the given tables, folded one by one."""
+    from fieldsync.catalog import derive as d
+    from tests.fold import Book
+
+    state = {name: [r.asDict() for r in df.collect()] for name, df in d.stock_state(spark, sf_dir).items()}
+    book = Book(state["stock"], state["stock_serials"], state["materials"], state["contractors"])
+    received = [r.asDict() for r in d.receipt_events(spark, sf_dir, d.shared_serial).collect()]
+    returned = [r.asDict() for r in d.return_events(spark, sf_dir, d.shared_serial).collect()]
+    for event in sorted(received + returned, key=lambda e: e["seq"]):
+        book.receipt(event) if "contractorcode" in event else book.give_back(event)
+    return sorted((i, None if s["qty"] is None else int(s["qty"])) for i, s in book.stock.items())
+
+
+def test_shared_serials_equal_plain_fold(spark):
+    rows = REGISTERED["stock_shared_serials"](spark, SF_DIR).collect()
+    got = sorted((r["stock_rid"], None if r["qty"] is None else int(r["qty"])) for r in rows)
+    assert got == shared_serials_by_fold(spark, SF_DIR)
