@@ -440,8 +440,9 @@ def stock_sync(
 ) -> dict[str, DataFrame]:
     """The whole stock job: state, logs and device attributes from one batch."""
     out = stock_ledger(inputs, receipts, returns, cfg, block_rows)
-    good_in = check_receipts(receipts).where(F.col("reject_reason").isNull()).drop("reject_reason")
-    good_out = check_returns(returns).where(F.col("reject_reason").isNull()).drop("reject_reason")
+    # The documents were checked above; the rejected events are taken out by `seq`.
+    good_in = absent(receipts, out["rejected"], ["seq"])
+    good_out = absent(returns, out["rejected"], ["seq"])
     logged = stage(receipt_log_delta(good_in, inputs["receipt_log"]), "receipt-log")
     devices = device_attributes_replace(inputs["device_current"], good_in, logged, cfg)
     return {
