@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, superkmers
+from fieldsync.llm import bpe, runindex, superkmers
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -35,9 +35,15 @@ def op8_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "removal.n_words", "removal.n_removed", F.sha2("removal.kept", 256).alias("kept_sha256"))
 
 
+def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = runindex.remove_matches(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "removal.n_bytes", "removal.n_removed", "removal.n_spans", F.sha2("removal.kept", 256).alias("kept_sha256"))
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op8_superkmers": op8_superkmers,
+    "op10_runindex": op10_runindex,
 }
 
 ORACLES: dict[str, str] = {}
