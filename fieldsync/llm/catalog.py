@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, runindex, superkmers
+from fieldsync.llm import bpe, runindex, superkmers, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -30,6 +30,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vptree.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", vptree.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
 def op8_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = superkmers.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
     return cut.select("doc_id", "removal.n_words", "removal.n_removed", F.sha2("removal.kept", 256).alias("kept_sha256"))
@@ -42,6 +47,7 @@ def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op6_vptree": op6_vptree,
     "op8_superkmers": op8_superkmers,
     "op10_runindex": op10_runindex,
 }
