@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import texts_of
+from fieldsync.llm.batches import ship_code, texts_of
 
 #: How byte-level vocabularies cut a text, as published with them. A fixed value.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -35,12 +35,9 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 UNKNOWN = regex.compile(r"\p{Cn}")
 #: A space before white space, or at the end: only there may a piece hold more than a leading space.
 LOOSE = re.compile(r" (?:\s|\Z)")
-#: Bits of a place in a piece, and of an id.
-PLACES = 32
-PLACE = (1 << PLACES) - 1
-#: Pieces and words remembered per Python worker, twice: those since the last clearing and those before it.
-REMEMBERED = 300_000
-#: Longer pieces are coded but not remembered.
+#: Words remembered per Python worker, twice: those since the last clearing and those before it.
+REMEMBERED = 400_000
+#: Longer words are coded but not remembered.
 REMEMBERED_LENGTH = 64
 
 
@@ -80,12 +77,14 @@ class Coder:
         self.first = [0] * 256
         for character, byte in bytes_of.items():
             self.first[byte] = vocabulary[character]
-        #: Rank by pair of ids, held as one number; what a rank makes.
-        self.ranks, self.makes = {}, []
+        #: By left id the ranks of its merges by right id; what a rank makes.
+        self.ranks: list[dict[int, int]] = [{} for _ in range(max(vocabulary.values()) + 1)]
+        self.makes = []
         for rank, merge in enumerate(tokenizer["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
-            self.ranks[vocabulary[left] << PLACES | vocabulary[right]] = rank
+            self.ranks[vocabulary[left]][vocabulary[right]] = rank
             self.makes.append(vocabulary[left + right])
+        self.byte_ranks = [[self.ranks[a].get(b) for b in self.first] for a in self.first]
         self.strings = [b""] * (1 + max([*vocabulary.values(), *(x["id"] for x in tokenizer["added_tokens"])]))
         for string, i in vocabulary.items():
             self.strings[i] = bytes(bytes_of[c] for c in string)
@@ -93,40 +92,42 @@ class Coder:
         for content, i in self.added.items():
             self.strings[i] = content.encode()
         self.cut_at = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.pieces = Memory(lambda piece: array("i", self.merged(piece.encode())).tobytes())
         self.words = Memory(lambda word: self.cut(" " + word))
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of one piece."""
-        symbols = [*map(self.first.__getitem__, piece)]
-        n, rank_of, makes = len(symbols), self.ranks.get, self.makes
-        ranks = [rank_of(a << PLACES | b) for a, b in zip(symbols, symbols[1:])]  # noqa: B905
-        queue = [r << PLACES | i for i, r in enumerate(ranks) if r is not None]
+        first, byte_ranks, makes, rank_by = self.first, self.byte_ranks, self.makes, self.ranks
+        symbols = [first[b] for b in piece]
+        ranks = [byte_ranks[a][b] for a, b in zip(piece, piece[1:])]  # noqa: B905
+        n = len(symbols)
+        places = n.bit_length()
+        queue = [r << places | i for i, r in enumerate(ranks) if r is not None]
         if not queue:
             return symbols
         ranks.append(None)
         heapq.heapify(queue)
-        after, before = [*range(1, n), -1], [*range(-1, n - 1)]
+        mask = (1 << places) - 1
+        after, before = [*range(1, n + 1)], [*range(-1, n - 1)]
         while queue:
             entry = heapq.heappop(queue)
-            i = entry & PLACE
-            if ranks[i] != entry >> PLACES:
+            i, rank = entry & mask, entry >> places
+            if ranks[i] != rank:
                 continue  # stale: the pair at this place is another by now
-            symbols[i] = made = makes[ranks[i]]
+            symbols[i] = made = makes[rank]
             j = after[i]
             after[i] = k = after[j]
-            symbols[j] = ranks[j] = ranks[i] = None
-            if k >= 0:
+            symbols[j] = -1
+            ranks[j] = ranks[i] = None
+            if k < n:
                 before[k] = i
-                if (r := rank_of(made << PLACES | symbols[k])) is not None:
-                    ranks[i] = r
-                    heapq.heappush(queue, r << PLACES | i)
-            h = before[i]
-            if h >= 0:
-                ranks[h] = r = rank_of(symbols[h] << PLACES | made)
-                if r is not None:
-                    heapq.heappush(queue, r << PLACES | h)
-        return [x for x in symbols if x is not None]
+                if (rank := rank_by[made].get(symbols[k])) is not None:
+                    ranks[i] = rank
+                    heapq.heappush(queue, rank << places | i)
+            if (h := before[i]) >= 0:
+                ranks[h] = rank = rank_by[symbols[h]].get(made)
+                if rank is not None:
+                    heapq.heappush(queue, rank << places | h)
+        return [x for x in symbols if x >= 0]
 
     def cut(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers, cut into pieces."""
@@ -136,7 +137,7 @@ class Coder:
             cuts = [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
         else:
             cuts = PIECE.findall(text)
-        return b"".join(map(self.pieces.__getitem__, cuts))
+        return array("i", [i for c in cuts for i in self.merged(c.encode())]).tobytes()
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without added tokens. A piece begins at each space that no white space follows."""
@@ -171,18 +172,19 @@ def vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Path(path).read_bytes())
 
 
-def encoded(text: Column, described) -> Column:
-    """array<int> of the ids of a text."""
+def coded(text: Column, described) -> Column:
+    """Ids of a text, and the text they decode to."""
 
-    @F.arrow_udf("array<int>")
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("ids array<int>, decoded string")
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = coder_of(described)
         for texts in batches:
             ids = [coder.encode(t) for t in texts_of(texts)]
             ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+            yield pa.StructArray.from_arrays([lists, pa.array(map(coder.decode, ids), pa.string())], names=["ids", "decoded"])
 
-    return encode(text)
+    return code(text)
 
 
 def decoded(ids: Column, described) -> Column:
@@ -192,14 +194,12 @@ def decoded(ids: Column, described) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = coder_of(described)
         for lists in batches:
-            values, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            yield pa.array([coder.decode(values[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+            yield pa.array([coder.decode(np.array(x, np.int32)) if x is not None else None for x in lists.to_pylist()], pa.string())
 
     return decode(ids)
 
 
-def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", back: str = "decoded") -> DataFrame:
-    """`docs` with the ids of each whole text and what they decode to."""
-    described = vocabulary(docs.sparkSession, path)
-    coded = docs.withColumn(ids, encoded(F.coalesce(F.col(text), F.lit("")), described))
-    return coded.withColumn(back, decoded(F.col(ids), described))
+def encode_decode(docs: DataFrame, path: str, text: str = "text", out: str = "coded") -> DataFrame:
+    """`docs` with a column `out` of the ids of each whole text and the text they decode to."""
+    ship_code(docs.sparkSession)
+    return docs.withColumn(out, coded(F.coalesce(F.col(text), F.lit("")), vocabulary(docs.sparkSession, path)))
