@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, runindex, superkmers, vptree
+from fieldsync.llm import bpe, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -21,12 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
-    return coded.select(
+    made = bpe.encode_decode(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER)
+    return made.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("coded.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    lexicon = toxicity.learned(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    scored = toxicity.scored(docs, lexicon)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
 
 
@@ -47,6 +59,7 @@ def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_toxicity": op2_toxicity,
     "op6_vptree": op6_vptree,
     "op8_superkmers": op8_superkmers,
     "op10_runindex": op10_runindex,
