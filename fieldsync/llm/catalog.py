@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import bpe, quality, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -42,6 +42,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judged(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vptree.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", vptree.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -60,9 +65,54 @@ def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_line_frequency": op3_line_frequency,
     "op6_vptree": op6_vptree,
     "op8_superkmers": op8_superkmers,
     "op10_runindex": op10_runindex,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_frequency": f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + {quality.WINDOW - 1}], ' ') AS run
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - {quality.WINDOW - 2})) AS i FROM docs WHERE len(words) >= {quality.WINDOW})
+), again AS (
+    SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, run) > 1
+), covered AS (
+    SELECT doc_id, sum(least({quality.WINDOW}, coalesce(following - i, {quality.WINDOW}))) AS n
+    FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS following FROM again) GROUP BY 1
+), lines AS (
+    SELECT doc_id, host, raw, regexp_extract_all(raw, '[^\\x20\\x09-\\x0D]+') AS words
+    FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS raw FROM docs)
+    WHERE regexp_matches(raw, '[^\\x20\\x09-\\x0D]')
+), hashed AS (
+    SELECT doc_id, host, raw, len(words) AS n, substr(md5(lower(array_to_string(words, ' '))), 1, 16) AS line FROM lines
+), held AS (
+    SELECT doc_id, any_value(host) AS host, list_sort(list(DISTINCT line)) AS ordered, count(*) - count(DISTINCT raw) AS n_dup FROM hashed GROUP BY doc_id
+), told AS (
+    SELECT DISTINCT host, line, CASE WHEN line = ordered[1] THEN ordered[2] ELSE ordered[1] END AS a,
+        CASE WHEN line = ordered[-1] THEN CASE WHEN len(ordered) > 1 THEN ordered[-2] END ELSE ordered[-1] END AS b
+    FROM (SELECT host, ordered, unnest(ordered) AS line FROM held)
+), frequent AS (
+    SELECT host, line FROM (SELECT host, line, count(*) AS n FROM told GROUP BY 1, 2)
+    JOIN (SELECT host, count(*) AS n_host FROM docs GROUP BY 1) USING (host)
+    WHERE n >= {quality.LINE_DOCUMENTS} AND 100 * n >= {quality.LINE_SHARE} * n_host
+), removed AS (
+    SELECT doc_id, sum(n) AS n FROM hashed JOIN frequent USING (host, line) GROUP BY 1
+), counted AS (
+    SELECT d.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(h.n_dup, 0) AS n_dup_lines,
+        coalesce(c.n, 0)::BIGINT AS n_repeat_words, coalesce(r.n, 0) AS gone
+    FROM docs d LEFT JOIN held h USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN removed r USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEATED} * n_words AS base_failed,
+    NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEATED} * n_words)
+        AND 100 * (n_words - gone) >= {quality.LEFT} * n_words AS kept
+FROM counted
+""",
+}
