@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, quality, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import bpe, html_text, mixing, quality, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -47,6 +47,11 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.scheduled(docs, mixing.tempered_weights(docs)).select("doc_id", "source", "mix.*")
+
+
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vptree.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", vptree.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -57,6 +62,11 @@ def op8_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "removal.n_words", "removal.n_removed", F.sha2("removal.kept", 256).alias("kept_sha256"))
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_text.with_main_text(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = runindex.remove_matches(table(spark, sf_dir, "documents", "doc_id", "text"))
     return cut.select("doc_id", "removal.n_bytes", "removal.n_removed", "removal.n_spans", F.sha2("removal.kept", 256).alias("kept_sha256"))
@@ -66,8 +76,10 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
     "op3_line_frequency": op3_line_frequency,
+    "op4_pfair": op4_pfair,
     "op6_vptree": op6_vptree,
     "op8_superkmers": op8_superkmers,
+    "op9_html_text": op9_html_text,
     "op10_runindex": op10_runindex,
 }
 
@@ -114,5 +126,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     NOT (n_words < {quality.LEAST_WORDS} OR 100 * n_repeat_words > {quality.REPEATED} * n_words)
         AND 100 * (n_words - gone) >= {quality.LEFT} * n_words AS kept
 FROM counted
+""",
+    "op4_pfair": f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, coalesce(source, '') AS s, greatest(1, coalesce(strlen(text), 0)) AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h, md5(text) AS m
+    FROM documents
+), sized AS (
+    SELECT s, floor(sqrt(sum(size)::DOUBLE))::BIGINT AS weight FROM docs GROUP BY 1
+), shared AS (
+    SELECT s, weight * (period - m) // total AS base, weight * (period - m) % total AS rest, period, m
+    FROM sized, (SELECT sum(weight)::BIGINT AS total, count(*) AS m, greatest({mixing.PERIOD}, 4 * count(*)) AS period FROM sized)
+), weighed AS (
+    SELECT s, base + 1 + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= period - m - sum(base) OVER () THEN 1 ELSE 0 END AS weight, period FROM shared
+), listed AS (
+    SELECT list(weight::BIGINT ORDER BY s) AS w, max(period) AS period FROM weighed
+), ran AS (
+    SELECT -1::BIGINT AS t, list_transform(w, lambda x: 0::BIGINT) AS following, NULL::BIGINT AS source FROM listed
+    UNION ALL
+    SELECT t + 1, list_transform(following, lambda n, i: CASE WHEN i = chosen THEN n + 1 ELSE n END), chosen
+    FROM (
+        SELECT t, following, period, list_min(list_filter(list_transform(w, lambda x, i:
+            CASE WHEN following[i] * period // x <= t + 1 THEN ((following[i] + 1) * period + x - 1) // x * 100000 + i END), lambda x: x IS NOT NULL)) % 100000 AS chosen
+        FROM ran, listed WHERE t + 1 < period
+    )
+), numbered AS (
+    SELECT t, source, row_number() OVER (PARTITION BY source ORDER BY t) - 1 AS k FROM ran WHERE t >= 0
+), sources AS (
+    SELECT s, weight, period, row_number() OVER (ORDER BY s) AS i FROM weighed
+), placed AS (
+    SELECT doc_id, source, s, coalesce(sum(size) OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST, m NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM docs
+)
+SELECT doc_id, p.source, begins // {mixing.BLOCK} AS block, begins // {mixing.BLOCK} * period // weight AS release,
+    ((begins // {mixing.BLOCK} + 1) * period + weight - 1) // weight AS deadline,
+    begins // {mixing.BLOCK} // weight * period + t AS slot, begins % {mixing.BLOCK} AS place
+FROM placed p JOIN sources USING (s) JOIN numbered n ON n.source = i AND k = begins // {mixing.BLOCK} % weight
 """,
 }
