@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, html_text, mixing, quality, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import bpe, html_text, kmeans_tree, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -52,11 +52,51 @@ def op4_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scheduled(docs, mixing.tempered_weights(docs)).select("doc_id", "source", "mix.*")
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as captures of the indexes they lie in: every third one a revisit, the others responses."""
+    i = F.col("page_id")
+    revisit = i % 3 == 0
+    version = F.expr("page_id div 50").cast("string")
+    headers = F.when(
+        revisit,
+        F.map_concat(
+            F.create_map(F.lit("Date"), i.cast("string"), F.lit("Content-Length"), F.lit("0")),
+            F.when(i % 4 == 0, F.create_map(F.lit("ETag"), F.concat(F.lit('W/"'), version, F.lit('"'))))
+            .when(i % 4 == 1, F.create_map(F.lit("last-modified"), version))
+            .otherwise(F.create_map().cast("map<string,string>")),
+        ),
+    ).otherwise(
+        F.create_map(
+            F.lit("date"), i.cast("string"), F.lit("etag"), F.concat(F.lit('"'), version, F.lit('"')), F.lit("Last-Modified"), version,
+            F.lit("content-length"), F.octet_length("html").cast("string"),
+        )
+    )
+    return table(spark, sf_dir, "pages", "page_id", "url", "html").select(
+        i.alias("record_id"),
+        F.when(revisit, "revisit").otherwise("response").alias("kind"),
+        F.regexp_replace("url", "/[0-9]+", "/index").alias("url"),
+        (i * 60).alias("at"),
+        F.when(revisit, 304).when(i % 11 == 0, 404).otherwise(200).alias("status"),
+        headers.alias("headers"),
+        F.when(~revisit | (i % 4 == 2), F.md5("html")).alias("digest"),
+    )
+
+
+def op5_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolved(captures(spark, sf_dir))
+    return found.select("record_id", "url", "outcome", "target_id", "digest", revisits.header_text(F.col("headers")).alias("headers"))
+
+
 def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vptree.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
     return found.select("doc_id", vptree.hexadecimal(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return kmeans_tree.neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op8_superkmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = superkmers.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
     return cut.select("doc_id", "removal.n_words", "removal.n_removed", F.sha2("removal.kept", 256).alias("kept_sha256"))
@@ -77,7 +117,9 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_line_frequency": op3_line_frequency,
     "op4_pfair": op4_pfair,
+    "op5_revisits": op5_revisits,
     "op6_vptree": op6_vptree,
+    "op7_kmeans_tree": op7_kmeans_tree,
     "op8_superkmers": op8_superkmers,
     "op9_html_text": op9_html_text,
     "op10_runindex": op10_runindex,
@@ -160,5 +202,29 @@ SELECT doc_id, p.source, begins // {mixing.BLOCK} AS block, begins // {mixing.BL
     ((begins // {mixing.BLOCK} + 1) * period + weight - 1) // weight AS deadline,
     begins // {mixing.BLOCK} // weight * period + t AS slot, begins % {mixing.BLOCK} AS place
 FROM placed p JOIN sources USING (s) JOIN numbered n ON n.source = i AND k = begins // {mixing.BLOCK} % weight
+""",
+    "op5_revisits": r"""
+WITH captures AS (
+    SELECT page_id AS i, page_id % 3 = 0 AS revisit, (page_id // 50)::VARCHAR AS v, md5(html) AS digest, strlen(html) AS size,
+        regexp_replace(regexp_replace(regexp_replace(url, '/[0-9]+', '/index', 'g'), '#.*$', ''), '^[A-Za-z]+://', '') AS u
+    FROM pages
+), parts AS (
+    SELECT *, regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www\d*\.', '') AS host, regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+        list_sort(list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|fbclid|gclid)(=|$)'))) AS q
+    FROM captures
+), named AS (
+    SELECT *, host || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS url FROM parts
+), joined AS (
+    SELECT r.*, f.i AS target, f.v AS fv, f.digest AS fdigest, f.size AS fsize
+    FROM (SELECT * FROM named WHERE revisit) r ASOF LEFT JOIN (SELECT * FROM named WHERE NOT revisit AND i % 11 <> 0) f ON r.url = f.url AND r.i > f.i
+), judged AS (
+    SELECT *, CASE WHEN target IS NULL THEN 'no_response' WHEN i % 4 = 3 THEN 'no_validator'
+        WHEN CASE WHEN i % 4 = 2 THEN digest = fdigest ELSE v = fv END THEN 'resolved' ELSE 'differs' END AS outcome
+    FROM joined
+)
+SELECT i AS record_id, url, outcome, CASE WHEN outcome = 'resolved' THEN target END AS target_id, CASE WHEN outcome = 'resolved' THEN fdigest END AS digest,
+    CASE WHEN outcome = 'resolved' THEN 'content-length: ' || fsize || chr(10) || 'date: ' || i || chr(10) || 'etag: '
+        || CASE WHEN i % 4 = 0 THEN 'W/' ELSE '' END || '"' || fv || '"' || chr(10) || 'last-modified: ' || fv END AS headers
+FROM judged
 """,
 }
