@@ -274,9 +274,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """doc_id, fingerprint (signed) and component_id (the least doc_id reachable) of each row."""
+    """doc_id, a hash of the text, fingerprint (signed) and component_id (the least doc_id reachable) of each row."""
     ship_code(docs.sparkSession)
-    rows = stage(docs.select(F.col(doc_id).cast("long").alias("doc_id"), fingerprints(F.col(text), shingle).alias("fingerprint")), "fingerprints")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.hash(F.col(text)).alias("text_hash"), fingerprints(F.col(text), shingle).alias("fingerprint"))
+    rows = stage(rows, "fingerprints")
     # one point per fingerprint; those of rows without any doc_id get names below all ids
     points = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     points = stage(points, "points")
@@ -293,4 +294,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     else:
         named = named.withColumn("component", F.coalesce("component", "least"))
     classes = named.select(F.col("fingerprint"), F.col("component").alias("component_id"))
-    return rows.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return rows.join(classes, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """`docs` with one row of each component: that of the least doc_id. Rows without any id stay once per fingerprint."""
+    found = near_duplicates(docs, doc_id, text, shingle, distance)
+    component = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("f"), F.col("fingerprint").cast("string")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
+    kept = found.groupBy(component).agg(first.alias("first")).select("first.__id", "first.__hash")
+    rows = docs.withColumns({"__id2": F.col(doc_id).cast("long"), "__hash2": F.hash(F.col(text))})
+    rows = rows.join(kept, F.col("__id2").eqNullSafe(F.col("__id")) & (F.col("__hash2") == F.col("__hash")), "left_semi")
+    # of rows that repeat an id and its text, one
+    once = Window.partitionBy("__id2", "__hash2").orderBy(F.lit(0))
+    return rows.withColumn("__row", F.row_number().over(once)).where("__row = 1").select(*docs.columns)
