@@ -45,6 +45,8 @@ DISTINCT = 7
 SUPPORT = 3
 #: Counted hits from which a text holds a stem once, twice, or more often.
 LEVELS = (0.75, 1.5, 2.5)
+#: What a misspelling tells of what the stem does, if the sample has none.
+MISSPELT = 0.8
 #: Words on each side of a hit that are its context; what quotation and address do to it.
 CONTEXT, QUOTED, ADDRESSED = 6, 0.25, 1.25
 #: Score from which a document is taken to be toxic.
@@ -204,9 +206,10 @@ def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     # about TOXIC_ROWS + CLEAN_ROWS short rows, whatever the size of the tables
     some = known.where(place < share).limit(2 * (TOXIC_ROWS + CLEAN_ROWS))
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id")
-    # of copies, and nearly all near copies, one: those that share the least hash of their long words
+    # of copies, and of most near copies, one: those that share the least and the greatest hash of their long words
     words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^\p{L}]+"), lambda w: F.length(w) >= DISTINCT)
-    rows = rows.withColumn("same", F.coalesce(F.array_min(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64("text")))
+    rows = rows.withColumn("hashes", F.transform(words, lambda w: F.xxhash64(w)))
+    rows = rows.withColumn("same", F.when(F.size("hashes") > 0, F.xxhash64(F.array_min("hashes"), F.array_max("hashes"))).otherwise(F.xxhash64("text")))
     first = rows.groupBy("same", "toxic").agg(F.min_by("text", "doc_id").alias("text"), F.min("doc_id").alias("doc_id"))
     return first.select("text", "toxic", F.pmod(F.hash("doc_id"), F.lit(2)).alias("fold"))
 
@@ -266,11 +269,14 @@ def learned(docs: DataFrame, labels: DataFrame) -> Lexicon:
     seen = {(r["stem"], r["edits"], r["level"]): (r["toxic"], r["clean"]) for r in hit_counts(rows, blank).collect()}
     weights = {}
     for s in stems:
-        for level in range(1, len(LEVELS) + 1):
-            weights[s, 0, level] = exact = told_by(*seen.get((s, 0, level), (0, 0)), toxic, clean)
-            if len(s) >= EDITED:  # half of what the stem itself tells, if its misspellings were not seen
+        exact = edited = 0.0
+        for level in range(1, len(LEVELS) + 1):  # more of it never tells less
+            weights[s, 0, level] = exact = max(exact, told_by(*seen.get((s, 0, level), (0, 0)), toxic, clean))
+            if len(s) >= EDITED:
                 t, c = seen.get((s, 1, level), (0, 0))
-                weights[s, 1, level] = min(exact, told_by(t, c, toxic, clean)) if t + c else exact / 2
+                weights[s, 1, level] = edited = max(edited, min(exact, told_by(t, c, toxic, clean)) if t + c else MISSPELT * exact)
+                if c and not t:  # its misspellings are other words
+                    weights[s, 1, level] = edited = 0.0
     lexicon = Lexicon(weights)
     points = [(r["evidence"], r["toxic"]) for r in evidences(rows, lexicon).collect()]  # the bounded sample
     return Lexicon(weights, *curve(np.array([p[0] for p in points]), np.array([p[1] for p in points], float)))
@@ -323,14 +329,22 @@ def evidences(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
 
 def curve(evidence: np.ndarray, toxic: np.ndarray, penalty: float = 1.0) -> tuple[float, float]:
     """Slope and offset of a logistic curve, by Newton's method with a penalty on the slope."""
-    x = np.stack([evidence, np.ones(len(evidence))], axis=1)
-    at = np.array([0.0, math.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5))])
-    for _ in range(50):
+    x, weight = np.stack([evidence, np.ones(len(evidence))], axis=1), penalty * np.array([1, 0.01])
+
+    def loss(at: np.ndarray) -> float:
+        z = x @ at
+        return float((np.logaddexp(0, z) - toxic * z).sum() + (weight * at * at).sum() / 2)
+
+    at = np.zeros(2)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ at, -50, 50)))
-        gradient = x.T @ (toxic - p) - penalty * at * [1, 0.01]
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty * np.diag([1, 0.01]), gradient)
-        at = at + step * min(1.0, 4 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-9:
+        gradient = x.T @ (p - toxic) + weight * at
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(weight), gradient)
+        length = 1.0
+        while length > 1e-6 and loss(at - length * step) > loss(at):
+            length /= 2
+        at = at - length * step
+        if np.abs(length * step).max() < 1e-9:
             break
     return max(0.0, float(at[0])), float(at[1])
 
