@@ -23,12 +23,13 @@ def split_documents(rows: DataFrame, column: str, applies: Column | None = None)
     }
 
 
-def document_counts(rows: DataFrame, column: str, by: list[str]) -> DataFrame:
-    """Rows, valid and rejected documents per group."""
+def document_counts(rows: DataFrame, column: str, by: list[str], **also: Column) -> DataFrame:
+    """Rows, valid and rejected documents per group, and further aggregates by name, in one reading of the texts."""
     given = F.col(column).isNotNull()
     valid = is_json(F.col(column))
     return rows.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count(F.when(given & valid, 1)).alias("n_valid"),
         F.count(F.when(given & ~valid, 1)).alias("n_rejected"),
+        *[value.alias(name) for name, value in also.items()],
     )

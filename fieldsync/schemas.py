@@ -45,7 +45,7 @@ TABLES: dict[str, str] = {
         "createddatetime timestamp_ntz"
     ),
     "material_ids": (
-        "imm_id long, mat_rid int, smcbox_oemid string, smcbox_sapid string, "
+        "imm_id long, mat_rid long, smcbox_oemid string, smcbox_sapid string, "
         "createddatetime timestamp_ntz, mat_subcategory string"
     ),
     "device_history": (
@@ -58,6 +58,7 @@ TABLES: dict[str, str] = {
     ),
     "master_landing": "mcd_id long, details string, activity_type string, createddatetime timestamp_ntz",
     "audit": "fntext string, created timestamp",
+    "acknowledgement": "seq long, message_id long, status boolean, response string, push_datetime timestamp_ntz",
     # Operational tables.
     "responses": (
         "responselogid long, projectid int, activityid int, serveyorid int, response string, "
@@ -81,11 +82,11 @@ TABLES: dict[str, str] = {
     "user_contractors": "user_rid int, contact_rid int",
     "contractor_categories": "contact_rid int, contact_category_index int",
     "stock": (
-        "stock_rid long, mat_rid int, price decimal(18,4), stock_condition_index int, uom_rid int, "
-        "qty decimal(10,4), holder_rid int, holder_type int, bu_rid int, group_rid int, "
+        "stock_rid long, mat_rid long, price decimal(18,4), stock_condition_index int, uom_rid int, "
+        "qty decimal(38,4), holder_rid int, holder_type int, bu_rid int, group_rid int, "
         "created_datetime timestamp"
     ),
-    "stock_serials": "stock_rid long, mat_rid int, serial_no string, make_rid int",
+    "stock_serials": "stock_rid long, mat_rid long, serial_no string, make_rid int",
     "materials": (
         "mm_rid long, name string, code string, description string, uom_group_rid long, "
         "hsn_code string, mc_rid long, msc_rid long, group_rid int, is_set int, is_global int, "

@@ -16,6 +16,15 @@ SETTINGS = {
 }
 
 
+#: Without these a hot key on one side of a join stays in one task.
+NEEDED = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+
+
+def lacking(spark: SparkSession) -> dict[str, str]:
+    """Settings that hot keys depend on and the session has switched off."""
+    return {key: SETTINGS[key] for key in NEEDED if spark.conf.get(key, "true") != SETTINGS[key]}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (

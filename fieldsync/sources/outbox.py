@@ -1,13 +1,15 @@
-"""Outbox and landing sinks: defaults, ids, length rule, append per run."""
+"""Outbox and landing sinks: defaults, ids, length rule, append per run, acknowledgements."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldsync.functions.documents import member
-from fieldsync.operators.keyed import highest
+from fieldsync.operators.keyed import highest, latest_per_key
 from fieldsync.schemas import schema
+from fieldsync.sources.staging import stage
 
 # Fixed value: longest request or response the outbox tables take.
 MAX_DOCUMENT = 500_000
@@ -45,48 +47,75 @@ def with_defaults(rows: DataFrame, table: str, id_column: str | None = None) ->
 
 
 def with_serial(outbox: DataFrame) -> DataFrame:
-    """Outbox with the serial of the request as a column, read from the text where it is not kept."""
-    if "serial_number" in outbox.columns:
-        return outbox
-    return outbox.withColumn("serial_number", member(F.col("request"), "serialNumber"))
+    """Outbox with the serial of the request as a column, read from the text in rows that don't keep it."""
+    told = member(F.col("request"), "serialNumber")
+    kept = F.coalesce(F.col("serial_number"), told) if "serial_number" in outbox.columns else told
+    return outbox.withColumn("serial_number", kept)
 
 
 def too_long(rows: DataFrame) -> DataFrame:
-    """Rows the declared length of the outbox would refuse."""
+    """Rows the declared length of the outbox refuses: `append_run` leaves them out."""
     return rows.where(F.char_length("request") > MAX_DOCUMENT)
 
 
 def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: str, known: DataFrame) -> DataFrame:
     """Append a delta under its run id, give the rows ids above the known ones, return what was written.
 
-    Ids only have to be unique and to rise from run to run, as with a sequence,
-    so they need no sort. They exist in the written files alone: the returned
-    rows are read back, never computed again. A rerun replaces its own run.
+    Ids only have to be unique and to rise from run to run, as with a sequence:
+    above the highest known id, dense within each task's rows. They exist in
+    the written files alone: the returned rows are read back, never computed
+    again. A run that has written rows stays as it is, so that a rerun, whose
+    delta is blocked by its own messages, gives back what the first one sent.
+    Rows whose request is too long are left out (`too_long` tells them).
+    Rows lie in the order of their message type, and a job writes one type, so
+    that a reader of one type skips the other files by their statistics.
     """
-    start = highest(known, id_column) + 1
-    filled = with_defaults(rows, table, id_column).select(
-        (F.monotonically_increasing_id() + F.lit(start)).alias(id_column), "*"
-    )
-    checked = filled
-    if "request" in filled.columns:
-        checked = filled.withColumn(
-            "request",
-            F.when(
-                F.char_length("request") > MAX_DOCUMENT,
-                F.raise_error(F.lit("request is longer than the outbox takes")),
-            ).otherwise(F.col("request")),
-        )
-    # The run's folder is written whole, so an empty delta leaves a readable run too.
+    spark = rows.sparkSession
+    declared = schema(table)
     folder = f"{path}/run_id={run_id}"
-    checked.write.mode("overwrite").parquet(folder)
-    return rows.sparkSession.read.schema(checked.schema).parquet(folder)
+    try:
+        written = spark.read.schema(declared).parquet(folder)
+        if not written.isEmpty():
+            return written
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    filled = with_defaults(rows, table, id_column)
+    if "request" in filled.columns:
+        filled = filled.where(F.col("request").isNull() | (F.char_length("request") <= MAX_DOCUMENT))
+    # The delta may read the outbox: it is settled before the folder is touched.
+    at = F.monotonically_increasing_id()
+    settled = stage(filled.withColumns({"_task": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))}), "run")
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    before = settled.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    first = F.lit(highest(known, id_column) + 1).cast("long")
+    numbered = settled.join(before, "_task").select((first + F.col("_before") + F.col("_row")).alias(id_column), *filled.columns)
+    if "type_id" in numbered.columns:
+        numbered = numbered.sortWithinPartitions("type_id")
+    numbered.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(declared).parquet(folder)
 
 
 def read_outbox(spark, path: str, table: str) -> DataFrame:
+    """All runs, with their run id."""
     declared = schema(table).add("run_id", "string")
     return spark.read.schema(declared).parquet(path)
 
 
+def acknowledged(outbox: DataFrame, acknowledgements: DataFrame, id_column: str) -> DataFrame:
+    """Outbox rows with what their sender said of them last.
+
+    Runs are never changed: the sender appends to a log of its own
+    (`acknowledgement`: message id, status, response, push time, and `seq` of
+    the entry), and the newest entry of a message holds.
+    """
+    told = ("status", "response", "push_datetime")
+    newest = latest_per_key(acknowledgements, ["message_id"], "seq", list(told))
+    newest = newest.select(F.col("message_id").alias(id_column), *[F.col(c).alias(f"_{c}") for c in told])
+    joined = outbox.join(newest, id_column, "left")
+    return joined.select(*[F.coalesce(f"_{c}", c).alias(c) if c in told else F.col(c) for c in outbox.columns])
+
+
 def returned(written: DataFrame) -> DataFrame:
     """What the install jobs hand back for sending: (respid, url, json1, codepart)."""
     return written.select(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from fieldsync.schemas import schema
 
@@ -15,7 +15,9 @@ def current_version(spark: SparkSession, root: str) -> int:
     """Highest version that was pointed to, 0 when there is none."""
     try:
         pointers = spark.read.schema(_POINTER).parquet(f"{root}/pointer")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return 0
     return pointers.agg(F.max("version").alias("v")).first()["v"] or 0
 

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldsync.session import lacking
 
 _local_roots: dict[str, str] = {}
+_scopes: list[tuple[str, str]] = []
+_warned: set[str] = set()
 
 
 def staging_root(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir` of the session. Only a local session may go without."""
+    """`spark.checkpoint.dir` of the session. Only a local session may go without, as in tests."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _local_roots:
@@ -24,6 +30,26 @@ def staging_root(spark: SparkSession) -> str:
     return _local_roots[application]
 
 
+@contextmanager
+def staging(spark: SparkSession, root: str | None = None) -> Iterator[str]:
+    """Where jobs within stage their tables: a folder of its own, under `root` or the session's, that is deleted at the end.
+
+        with staging(spark):
+            append_run(install_push(inputs)["delta"], ...)
+
+    Results must be written before it ends. Scopes are of the driver's thread of work; they may nest.
+    """
+    folder = f"{root or staging_root(spark)}/{spark.sparkContext.applicationId}/scope-{uuid.uuid4().hex}"
+    scope = (spark.sparkContext.applicationId, folder)
+    _scopes.append(scope)
+    try:
+        yield folder
+    finally:
+        _scopes.remove(scope)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the rows and read them back.
 
@@ -31,6 +57,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     a result that is used more than once be computed once.
     """
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _warned:
+        _warned.add(application)
+        if missing := lacking(spark):
+            warnings.warn(f"jobs are tuned for {missing}: hot keys on a join's side may stay in one task", stacklevel=2)
+    folder = next((f for a, f in reversed(_scopes) if a == application), None) or f"{staging_root(spark)}/{application}"
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

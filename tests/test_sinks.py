@@ -13,33 +13,57 @@ def test_defaults(make):
     assert row["created_datetime"] is not None and "api_id" not in row.asDict()
 
 
-def test_append_gives_rising_unique_ids_and_reruns_replace(spark, make, tmp_path):
+def test_append_gives_dense_rising_ids(spark, make, tmp_path):
     path = str(tmp_path / "outbox")
     delta = spark.range(50).select(F.col("id").cast("int").alias("distnid"), F.lit('{"a":1}').alias("request"), F.lit(106).alias("type_id"))
     known = make("install_outbox", dict(id=100))
     first = outbox.append_run(delta.repartition(4), "install_outbox", path, "r1", "id", known)
-    ids = [r["id"] for r in first.collect()]
-    assert len(set(ids)) == 50 and min(ids) > 100
-    outbox.append_run(delta.limit(10), "install_outbox", path, "r1", "id", known)
+    assert sorted(r["id"] for r in first.collect()) == [*range(101, 151)]
     log = outbox.read_outbox(spark, path, "install_outbox")
-    assert log.count() == 10
     second = outbox.append_run(delta, "install_outbox", path, "r2", "id", log)
-    assert second.agg(F.min("id")).first()[0] > log.where("run_id = 'r1'").agg(F.max("id")).first()[0]
-    assert outbox.read_outbox(spark, path, "install_outbox").count() == 60
+    assert sorted(r["id"] for r in second.collect()) == [*range(151, 201)]
+    assert outbox.read_outbox(spark, path, "install_outbox").count() == 100
     sent = outbox.returned(second).first()
     assert (sent["url"], sent["json1"], sent["codepart"]) == ("", '{"a":1}', 106)
 
 
-def test_long_requests_are_refused(spark, make, tmp_path):
-    rows = spark.range(1).select(F.repeat(F.lit("x"), outbox.MAX_DOCUMENT + 1).alias("request"))
+def test_a_written_run_stays(spark, make, tmp_path):
+    path = str(tmp_path / "outbox")
+    delta = spark.range(50).select(F.col("id").cast("int").alias("distnid"), F.lit("{}").alias("request"))
+    first = outbox.append_run(delta, "install_outbox", path, "r1", "id", make("install_outbox"))
+    again = outbox.append_run(delta.limit(0), "install_outbox", path, "r1", "id", outbox.read_outbox(spark, path, "install_outbox"))
+    assert sorted(first.collect()) == sorted(again.collect()) and outbox.read_outbox(spark, path, "install_outbox").count() == 50
+    empty_run = outbox.append_run(delta.limit(0), "install_outbox", path, "r2", "id", outbox.read_outbox(spark, path, "install_outbox"))
+    assert empty_run.isEmpty()
+
+
+def test_types_are_skipped_by_statistics(spark, make, tmp_path):
+    path = str(tmp_path / "outbox")
+    delta = spark.range(9).select(F.col("id").cast("int").alias("contractorid"), (F.col("id").cast("int") % 3 + 101).alias("type_id"))
+    outbox.append_run(delta, "contractor_outbox", path, "r1", "api_id", make("contractor_outbox"))
+    changed = outbox.read_outbox(spark, path, "contractor_outbox").where("type_id = 103")
+    assert changed.count() == 3 and "EqualTo(type_id,103)" in changed._jdf.queryExecution().toString()
+
+
+def test_long_requests_are_left_out(spark, make, tmp_path):
+    rows = spark.range(2).select(F.when(F.col("id") == 0, F.repeat(F.lit("x"), outbox.MAX_DOCUMENT + 1)).otherwise("y").alias("request"))
     assert outbox.too_long(rows).count() == 1
-    with pytest.raises(Exception, match="longer than the outbox takes"):
-        outbox.append_run(rows, "install_outbox", str(tmp_path / "o"), "r", "id", make("install_outbox"))
+    written = outbox.append_run(rows, "install_outbox", str(tmp_path / "o"), "r", "id", make("install_outbox"))
+    assert [r["request"] for r in written.collect()] == ["y"]
+
+
+def test_acknowledgements(make):
+    log = make("install_outbox", dict(id=1, status=False), dict(id=2, status=False, response="old"), dict(id=3, status=False))
+    told = make("acknowledgement", dict(seq=1, message_id=1, status=False, response="busy"), dict(seq=2, message_id=1, status=True, response="done"), dict(seq=3, message_id=2, status=True))
+    got = {r["id"]: (r["status"], r["response"]) for r in outbox.acknowledged(log, told, "id").collect()}
+    assert got == {1: (True, "done"), 2: (True, "old"), 3: (False, None)}
 
 
 def test_serial_of_the_request(make):
     log = make("install_outbox", dict(id=1, request='{"serialNumber": "A"}')).drop("serial_number")
     assert outbox.with_serial(log).first()["serial_number"] == "A"
+    kept = make("install_outbox", dict(id=1, request='{"serialNumber": "A"}'), dict(id=2, request='{"serialNumber": "A"}', serial_number="B"))
+    assert {r["id"]: r["serial_number"] for r in outbox.with_serial(kept).collect()} == {1: "A", 2: "B"}
 
 
 def test_landings(spark):
@@ -75,6 +99,14 @@ def test_staging_uses_the_named_folder(spark):
     assert staged.count() == 3 and all(root in f for f in staged.inputFiles())
 
 
+def test_staging_scope(spark, tmp_path):
+    with staging.staging(spark, str(tmp_path)) as folder:
+        staged = staging.stage(spark.range(3), "numbers")
+        assert all(folder in f for f in staged.inputFiles())
+        assert staged.count() == 3
+    assert not list(tmp_path.glob("*/scope-*"))
+
+
 def test_every_schema_is_declared_and_read(spark, make, tmp_path):
     for table in TABLES:
         assert empty(spark, table).schema == schema(table)
