@@ -368,11 +368,11 @@ def stock_state(spark, sf_dir) -> dict[str, DataFrame]:
         ),
         "stock": region.select(
             (key + 1).cast("long").alias("stock_rid"),
-            (key + 100).cast("int").alias("mat_rid"),
+            (key + 100).cast("long").alias("mat_rid"),
             F.lit(0).cast("decimal(18,4)").alias("price"),
             F.lit(800).alias("stock_condition_index"),
             F.lit(1).alias("uom_rid"),
-            F.when(key != 2, key).cast("decimal(10,4)").alias("qty"),
+            F.when(key != 2, key).cast("decimal(38,4)").alias("qty"),
             F.lit(1).alias("holder_rid"),
             F.lit(2).alias("holder_type"),
             F.lit(20).alias("bu_rid"),
@@ -381,7 +381,7 @@ def stock_state(spark, sf_dir) -> dict[str, DataFrame]:
         ),
         "stock_serials": nation.select(
             (F.col("n_regionkey") + 1).cast("long").alias("stock_rid"),
-            (F.col("n_regionkey") + 100).cast("int").alias("mat_rid"),
+            (F.col("n_regionkey") + 100).cast("long").alias("mat_rid"),
             text("S", F.col("n_regionkey"), "-", F.col("n_nationkey")).alias("serial_no"),
             F.lit(0).alias("make_rid"),
         ),

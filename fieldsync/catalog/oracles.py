@@ -107,14 +107,16 @@ ev AS (
   FROM (SELECT *, {K} AS k FROM events))
 """
 
-LEDGER = (
-    STOCK_EVENTS
-    + """,
+SLOTS = """
 slots AS (
   SELECT r_regionkey AS slot, CAST(r_regionkey + 1 AS BIGINT) AS stock_id, 0 AS made FROM region
   UNION ALL
   SELECT slot, (SELECT max(r_regionkey) + 1 FROM region) + min(seq), min(seq) FROM ev
   WHERE slot >= 5 AND kind IN ('R', 'BR') GROUP BY slot),
+"""
+
+# Serials that lie in one stock: returns cut their movements into spans.
+OWN_EFFECTS = """
 m AS (
   SELECT slot, u, seq, kind, low FROM ev WHERE kind IN ('R', 'T')
   UNION ALL
@@ -129,6 +131,30 @@ effects AS (
   SELECT *, copies - lag(copies, 1, 0) OVER (PARTITION BY slot, u ORDER BY seq) AS delta,
          kind = 'T' AND lag(copies, 1, 0) OVER (PARTITION BY slot, u ORDER BY seq) > 0 AS eff
   FROM c),
+"""
+
+# Serials that lie in several stocks: all serials go from event to event together,
+# with the copies per stock, in the order of the stocks' ids, as state.
+SHARED_EFFECTS = """
+ranked AS (SELECT slot, row_number() OVER (ORDER BY stock_id) AS pos FROM slots),
+steps AS (SELECT 'S' || k AS u, seq, kind, low, pos, row_number() OVER (PARTITION BY k ORDER BY seq) AS i
+  FROM ev LEFT JOIN ranked USING (slot) WHERE kind IN ('R', 'T')),
+walk(u, i, copies, seq, kind, pos, delta) AS (
+  SELECT u, CAST(0 AS BIGINT), list_transform(range((SELECT count(*) FROM slots)), lambda x: CAST(0 AS BIGINT)),
+         CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM steps WHERE i = 1
+  UNION ALL
+  SELECT u, i, list_transform(copies, lambda c, p: CASE WHEN p = pos THEN c + delta ELSE c END), seq, kind, pos, delta
+  FROM (SELECT *, CASE WHEN kind = 'T' THEN -copies[pos] WHEN low OR copies[pos] = 0 THEN 1 ELSE 0 END AS delta
+    FROM (SELECT s.u, s.i, w.copies, s.seq, s.kind, s.low,
+            CASE WHEN s.kind = 'R' THEN s.pos ELSE list_position(list_transform(w.copies, lambda c: c > 0), true) END AS pos
+          FROM walk w JOIN steps s ON s.u = w.u AND s.i = w.i + 1))),
+effects AS (
+  SELECT slot, u, seq, kind, delta, kind = 'T' AS eff FROM walk JOIN ranked USING (pos)
+  UNION ALL
+  SELECT n_regionkey, 'S' || n_regionkey || '-' || n_nationkey, 0, 'INIT', 1, false FROM nation),
+"""
+
+BALANCES = """
 moves AS (
   SELECT slot, seq, 0 AS ord, kind, delta, eff, CAST(NULL AS INTEGER) AS q FROM effects
   UNION ALL
@@ -148,10 +174,13 @@ ledger AS (
                                           WHEN kind = 'BT' AND st > 0 THEN -q END)
          OVER (PARTITION BY slot, g ORDER BY seq, ord ROWS UNBOUNDED PRECEDING) END AS qty
   FROM started),
+"""
+
+LEDGER = STOCK_EVENTS + "," + SLOTS + OWN_EFFECTS + BALANCES + """
 held AS (
   SELECT slot, u, arg_max(copies, seq) AS copies FROM effects GROUP BY slot, u)
 """
-)
+SHARED_LEDGER = (STOCK_EVENTS + "," + SLOTS + SHARED_EFFECTS + BALANCES).rstrip().rstrip(",")
 
 RECEIPT_LOG = """
 base AS (SELECT 'S' || (p_partkey % 10) || '-' || p_size AS s, p_partkey AS docno, CAST(p_partkey % 5 AS VARCHAR) AS code,
@@ -312,8 +341,13 @@ WHERE event_type = 'click'
   AND user_id NOT IN (SELECT user_id FROM ev WHERE event_type IN ('view', 'click', 'purchase') AND k < 3)""",
     "stock_ledger": f"""
 WITH {LEDGER}
-SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS INTEGER) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
-       CAST(qty AS DECIMAL(10,4)) AS qty
+SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
+       CAST(qty AS DECIMAL(38,4)) AS qty
+FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)""",
+    "stock_shared_serials": f"""
+WITH RECURSIVE {SHARED_LEDGER}
+SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
+       CAST(qty AS DECIMAL(38,4)) AS qty
 FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)""",
     "stock_movements": f"""
 WITH {LEDGER}
@@ -321,7 +355,7 @@ SELECT stock_id, seq, CAST(cnt AS BIGINT) AS count_after, CAST(qty AS DECIMAL(18
 FROM ledger JOIN slots USING (slot) WHERE eff OR kind IN ('R', 'BR', 'BT')""",
     "stock_serials": f"""
 WITH {LEDGER}
-SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS INTEGER) AS mat_rid, u AS serial_no, CAST(copies AS BIGINT) AS copies
+SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, u AS serial_no, CAST(copies AS BIGINT) AS copies
 FROM held JOIN slots USING (slot) WHERE copies > 0""",
     "stock_balance": f"""
 WITH {LEDGER}
@@ -433,3 +467,13 @@ SELECT doc_id, lang, quality FROM documents LEFT JOIN labels USING (doc_id) WHER
 SELECT user_id, event_type, value, props FROM events WHERE event_type IN ('signup', 'purchase')
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
 }
+
+ORACLES["install_wanted"] = ORACLES["install_push"].replace(
+    "AND NOT plain\n", "AND NOT plain AND id IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')\n"
+)
+ORACLES["install_returned"] = f"""
+SELECT '' AS url, 106 AS codepart, * EXCLUDE (responselogid, distnid, distributionnodecode, description, type_id)
+FROM ({ORACLES["install_push"]})"""
+ORACLES["stock_movements_split"] = ORACLES["stock_movements"]
+ORACLES["api_landing"] = """
+SELECT text AS details, 'serialized' AS type, 'CRV' AS wh_activity, false AS status, true AS is_dated FROM conversations"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,8 @@ from fieldsync.operators.pivot import wide_by_key
 from fieldsync.operators.previous import previous_flagged
 from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
-from fieldsync.sources.outbox import land_raw, with_defaults
-from fieldsync.sources.staging import stage
+from fieldsync.sources.outbox import append_run, land_api, land_raw, returned, with_defaults
+from fieldsync.sources.staging import stage, staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -80,6 +81,25 @@ def install_rejects(spark, sf_dir):
     return installs.install_push(d.installs(spark, sf_dir))["rejected"]
 
 
+@query
+def install_wanted(spark, sf_dir):
+    """A push of named responses: those whose order had a line returned."""
+    returned = d.given(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("responselogid"))
+    inputs = d.installs(spark, sf_dir)
+    wanted = inputs["responses"].join(returned, "responselogid", "left_semi").select("responselogid", "projectid", "activityid")
+    delta = installs.install_push(inputs, wanted)["delta"]
+    return delta.select("responselogid", "distnid", "distributionnodecode", "description", "type_id", *members("request", installs.PAYLOAD))
+
+
+@query
+def install_returned(spark, sf_dir):
+    """What a push hands back for sending, once it is in the outbox."""
+    inputs = d.installs(spark, sf_dir)
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
+    written = append_run(installs.install_push(inputs)["delta"], "install_outbox", path, "first", "id", inputs["install_outbox"])
+    return returned(written).select("url", "codepart", *members("json1", installs.PAYLOAD))
+
+
 @query
 def install_repush(spark, sf_dir):
     delta = installs.install_repush(d.installs(spark, sf_dir))["delta"]
@@ -214,6 +234,13 @@ def stock_balance(spark, sf_dir):
     return _ledger(spark, sf_dir)["balance"].select("stock_id", "serials", F.col("qty").cast("decimal(18,4)").alias("qty"))
 
 
+@query
+def stock_movements_split(spark, sf_dir):
+    """As `stock_movements`, with stocks cut into blocks of a few hundred rows."""
+    out = stock.stock_ledger(d.stock_state(spark, sf_dir), d.receipt_events(spark, sf_dir), d.return_events(spark, sf_dir), block_rows=500)
+    return out["movements"].select("stock_id", "seq", "count_after", F.col("qty_after").cast("decimal(18,4)").alias("qty_after"))
+
+
 @query
 def stock_shared_serials(spark, sf_dir):
     """As `stock_ledger`, with serials that lie in several stocks at once, so that returns have to be located."""
@@ -306,8 +333,7 @@ def material_partner_ids(spark, sf_dir):
 def json_rejects(spark, sf_dir):
     """Per language: texts, those that look like a document, and those that are one."""
     rows = d.given(spark, sf_dir, "documents").select("lang", "text")
-    looks = rows.groupBy("lang").agg(F.count(F.when(F.col("text").startswith("{"), 1)).alias("n_looks"))
-    return document_counts(rows, "text", ["lang"]).join(looks, "lang")
+    return document_counts(rows, "text", ["lang"], n_looks=F.count(F.when(F.col("text").startswith("{"), 1)))
 
 
 @query
@@ -336,6 +362,12 @@ def raw_landing(spark, sf_dir):
     return landed.select("details", "activity_type", F.col("createddatetime").isNotNull().alias("is_dated"))
 
 
+@query
+def api_landing(spark, sf_dir):
+    landed = land_api(d.given(spark, sf_dir, "conversations"), "text", "serialized", "CRV")
+    return landed.select("details", "type", "wh_activity", "status", F.col("createddatetime").isNotNull().alias("is_dated"))
+
+
 @query
 def outbox_defaults(spark, sf_dir):
     """Outbox rows with what the sink fills in."""

@@ -7,7 +7,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-QUANTITY = "decimal(10,4)"
+#: Wide enough for any sum; what may be added at once is narrower.
+QUANTITY = "decimal(28,4)"
+#: A movement's quantity has six digits before the point at most. A fixed value.
+QUANTITY_LIMIT = 1_000_000
 
 
 def concat_skip_null(*parts: Column) -> Column:
@@ -41,6 +44,11 @@ def quantity(col: Column) -> Column:
     return col.cast(QUANTITY)
 
 
+def out_of_range(col: Column) -> Column:
+    """Whether a quantity is more than a movement may have; NULL is not."""
+    return F.coalesce(F.abs(col.cast("decimal(28,4)")) >= QUANTITY_LIMIT, F.lit(False))
+
+
 def differs(pairs: Iterable[tuple[Column, Column]]) -> Column:
     """Any pair is unequal. A NULL on either side is not a difference by itself."""
     out = None

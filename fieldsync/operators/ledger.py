@@ -2,7 +2,8 @@
 
 Movements of one serial in one stock, and then of one stock, depend on what
 went before. Both dependencies can be written as running sums, minima and
-maxima, which `operators.running` evaluates for keys of any size.
+maxima, which `operators.running` evaluates for keys of any size. Only returns
+of a serial that lies in several stocks need its events walked through in order.
 
 Kinds of serial movement: `L` always adds a copy, `R` adds one unless there is
 one, `T` removes all copies. Kinds of stock movement: `Q` opening quantity,
@@ -12,7 +13,7 @@ receipt and return.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldsync.operators.running import BLOCK_ROWS, Blocks, Measure, plan_blocks
@@ -31,7 +32,7 @@ def serial_effects(moves: DataFrame, blocks: Blocks) -> DataFrame:
     is_return = F.when(F.col("kind") == "T", 1).otherwise(0)
     spans = blocks.running(moves, {"span": Measure("sum", is_return)}, also_by=("stock_id",), before=True)
     spans = spans.withColumn("span", F.coalesce("span", F.lit(0)))
-    if blocks.hashes:
+    if blocks.huge is not None:
         spans = stage(spans, "serial-spans")
     seen = blocks.running(
         spans,
@@ -62,59 +63,76 @@ def fold_serials(
 ) -> DataFrame:
     """Effects of the inserts and of the returns, which name a serial but no stock.
 
-    A return goes to the lowest stock that holds the serial at that time. The
-    stocks of a serial are worked through from the lowest on; what a stock does
-    not take passes to the next. A serial that lies in one stock, as it should,
-    needs one pass, and further passes hold only what is still on its way.
+    A return goes to the lowest stock that holds the serial at that time. For
+    a serial that lies in one stock, as it should, that is a running value. The
+    events of a serial that has been in several stocks are walked through in
+    order, with the copies per stock as state: one pass over sorted rows,
+    however many stocks there are, that holds the state of one serial only.
 
     `inert` (cell, inert_id, inert_seq) names the lowest holder that never gives
     the serial back: returns after `inert_seq` get no further than to it.
     """
     named = inserts.select("cell", "seq").unionByName(returns.select("cell", "seq"))
     blocks = plan_blocks(named, ["cell"], "seq", block_rows)
-    asked = returns.select("cell").distinct()
-    holders = inserts.groupBy("cell", "stock_id").agg(F.min("seq").alias("first_seq"))
-    by_stock = Window.partitionBy("cell").orderBy("stock_id")
-    ranked = stage(
-        holders.join(asked, "cell", "left_semi").withColumn("rank", F.row_number().over(by_stock)), "serial-holders"
+    holders = stage(
+        inserts.groupBy("cell", "stock_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("cell")
+        .agg(F.count(F.lit(1)).alias("n_stocks"), F.min("stock_id").alias("stock_id"))
+        .join(returns.select("cell").distinct(), "cell", "left_semi"),
+        "serial-holders",
     )
-    depth = ranked.agg(F.max("rank").alias("d")).first()["d"] or 0
-
-    def reaching(waiting: DataFrame, rank: int) -> DataFrame:
-        there = waiting.join(ranked.where(F.col("rank") == rank), "cell").join(inert, "cell", "left")
-        stuck = (F.col("inert_seq") < F.col("seq")) & (F.col("inert_id") < F.col("stock_id"))
-        free = there.where(~F.coalesce(stuck, F.lit(False)))
-        return free.select("cell", "stock_id", "seq", F.lit("T").alias("kind"))
+    asked = returns.join(inert, "cell", "left").select("cell", "seq", "inert_id", "inert_seq")
+    one = asked.join(holders.where("n_stocks = 1").select("cell", "stock_id"), "cell")
+    stuck = (F.col("inert_seq") < F.col("seq")) & (F.col("inert_id") < F.col("stock_id"))
+    reaching = one.where(~F.coalesce(stuck, F.lit(False))).select("cell", "stock_id", "seq", F.lit("T").alias("kind"))
 
+    several = holders.where("n_stocks > 1").select("cell")
     added = inserts.select("cell", "stock_id", "seq", "kind")
-    if depth <= 1:
-        return serial_effects(added.unionByName(reaching(returns, 1)), blocks).select(*_EFFECT)
-
-    ranks = ranked.select("cell", "stock_id", "rank")
-    added = stage(
-        added.join(ranks, ["cell", "stock_id"], "left").withColumn("rank", F.coalesce("rank", F.lit(1))),
-        "serial-inserts",
+    if several.isEmpty():
+        return serial_effects(added.unionByName(reaching), blocks).select(*_EFFECT)
+    nothing = F.lit(None).cast("long")
+    walked = (
+        added.join(several, "cell", "left_semi")
+        .withColumns({"inert_id": nothing, "inert_seq": nothing})
+        .unionByName(asked.join(several, "cell", "left_semi").withColumns({"stock_id": nothing, "kind": F.lit("T")}))
     )
-    waiting = returns.select("cell", "seq")
-    parts = []
-    for rank in range(1, depth + 1):
-        # Only returns that a stock of this rank or later can still answer.
-        later = ranked.where(F.col("rank") >= rank).groupBy("cell").agg(F.min("first_seq").alias("_from"))
-        waiting = stage(
-            waiting.join(later, "cell").where(F.col("seq") > F.col("_from")).select("cell", "seq"), "serial-returns"
-        )
-        if waiting.isEmpty():
-            rest = added.where(F.col("rank") >= rank).drop("rank")
-            parts.append(serial_effects(rest, blocks))
-            break
-        moves = added.where(F.col("rank") == rank).drop("rank").unionByName(reaching(waiting, rank))
-        effects = stage(serial_effects(moves, blocks), "serial-effects")
-        parts.append(effects)
-        waiting = waiting.join(effects.where("effective").select("seq"), "seq", "left_anti")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(*_EFFECT)
+    rest = added.join(several, "cell", "left_anti").unionByName(reaching)
+    return serial_effects(rest, blocks).select(*_EFFECT).unionByName(located(walked))
+
+
+def located(moves: DataFrame) -> DataFrame:
+    """Effects of (cell, stock_id, seq, kind, inert_id, inert_seq) whose returns name no stock."""
+    names = ["cell", "stock_id", "seq", "kind", "delta", "effective"]
+
+    def walk(batches):
+        import heapq
+
+        import pyarrow as pa
+
+        cell, copies, lowest = None, {}, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("cell", "stock_id", "seq", "kind", "inert_id", "inert_seq")]
+            out = []
+            for this, stock, seq, kind, inert_id, inert_seq in zip(*columns, strict=True):
+                if this != cell:
+                    cell, copies, lowest = this, {}, []
+                if kind != "T":
+                    held = copies.get(stock, 0)
+                    delta = 1 if kind == "L" or not held else 0
+                    if not held:
+                        heapq.heappush(lowest, stock)
+                    copies[stock] = held + delta
+                    out.append((cell, stock, seq, kind, delta, False))
+                elif lowest and not (inert_id is not None and inert_seq < seq and inert_id < lowest[0]):
+                    stock = heapq.heappop(lowest)
+                    out.append((cell, stock, seq, kind, -copies.pop(stock), True))
+            types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
+
+    in_order = moves.select("cell", F.col("stock_id").cast("long"), F.col("seq").cast("long"), "kind", F.col("inert_id").cast("long"), F.col("inert_seq").cast("long"))
+    in_order = in_order.repartition("cell").sortWithinPartitions("cell", "seq")
+    return in_order.mapInArrow(walk, "cell string, stock_id long, seq long, kind string, delta long, effective boolean")
 
 
 def fold_quantities(
@@ -151,7 +169,7 @@ def fold_quantities(
     )
     changes = counted.withColumn("change", F.coalesce(change.cast("decimal(28,4)"), F.lit(0).cast("decimal(28,4)")))
     changes = changes.withColumn("is_known", is_known)
-    if blocks.hashes:
+    if blocks.huge is not None:
         changes = stage(changes, "quantity-changes")
     summed = blocks.running(changes, {"total": Measure("sum", F.col("change"))}, also_by=("part",))
     return summed.select(

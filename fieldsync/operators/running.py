@@ -1,10 +1,11 @@
-"""Running sums, minima and maxima per key that hold up when one key is huge.
-
-A window puts all rows of a key into one task. Here a key with very many rows
-is cut along the order column into blocks of bounded size. Each block is a
-window of its own; what the earlier blocks of the key add up to is worked out
-on one row per block and added. The result is the same as that of the plain
-window, and keys of usual size go through the plain window.
+"""Running sums, minima and maxima per key that hold up when keys are huge.
+
+A window puts all rows of a key into one task. Keys with more rows than a block
+may have are counted first; their rows, however many such keys there are, are
+put in the order of key and order column over range partitions, whose bounds
+follow the rows themselves and not the values. Each partition's part of a key is
+a window of its own; what the earlier parts of the key add up to is worked out
+on one row per part and added. The result is that of the plain window.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldsync.sources.staging import stage
+
 BLOCK_ROWS = 2_000_000
-_SKETCH_KEYS = 1_000
-_SKETCH_ITEMS = 50_000
 
 _AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -35,13 +36,18 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
 
 @dataclass(frozen=True)
 class Blocks:
-    """How the rows of the huge keys are cut. `hashes` names those keys."""
+    """Which keys are huge (none if None), and over how many range partitions their rows go."""
 
     keys: tuple[str, ...]
     order: str
-    hashes: tuple[int, ...]
-    low: int
-    width: int
+    huge: DataFrame | None
+    partitions: int
+
+    def cut(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Rows of usual keys, and those of huge keys with their block."""
+        huge = rows.join(self.huge, list(self.keys), "left_semi").repartitionByRange(self.partitions, *self.keys, self.order)
+        usual = rows.join(self.huge, list(self.keys), "left_anti")
+        return usual, stage(huge.withColumn("_block", F.spark_partition_id()), "blocks")
 
     def running(
         self,
@@ -52,53 +58,42 @@ class Blocks:
     ) -> DataFrame:
         """Add each measure over the rows of the key up to, or strictly before, a row.
 
-        `also_by` narrows the key further. Key columns must not be NULL.
+        `also_by` narrows the key further. Key columns must not be NULL. Rows
+        of equal order always lie in the same block.
         """
         by = [*self.keys, *also_by]
         last = -1 if before else 0
-        if not self.hashes:
-            frame = Window.partitionBy(*by).orderBy(self.order).rangeBetween(Window.unboundedPreceding, last)
-            return rows.select("*", *[_AGGREGATE[m.how](m.value).over(frame).alias(n) for n, m in measures.items()])
 
-        huge = F.xxhash64(*self.keys).isin(*self.hashes)
-        block = F.when(huge, F.floor((F.col(self.order) - self.low) / self.width)).otherwise(F.lit(-1))
-        cut = rows.withColumn("_block", block.cast("long"))
-
-        frame = (
-            Window.partitionBy(*by, "_block").orderBy(self.order).rangeBetween(Window.unboundedPreceding, last)
-        )
-        local = cut.select("*", *[_AGGREGATE[m.how](m.value).over(frame).alias(n) for n, m in measures.items()])
+        def window(*keys: str) -> list[Column]:
+            frame = Window.partitionBy(*keys).orderBy(self.order).rangeBetween(Window.unboundedPreceding, last)
+            return [_AGGREGATE[m.how](m.value).over(frame).alias(n) for n, m in measures.items()]
 
-        per_block = cut.where(huge).groupBy(*by, "_block").agg(
+        if self.huge is None:
+            return rows.select("*", *window(*by))
+        usual, huge = self.cut(rows)
+        local = huge.select("*", *window(*by, "_block"))
+        per_block = huge.groupBy(*by, "_block").agg(
             *[_AGGREGATE[m.how](m.value).alias(f"_{n}") for n, m in measures.items()]
         )
         earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
         carried = per_block.select(
             *by, "_block", *[_AGGREGATE[m.how](f"_{n}").over(earlier).alias(f"_{n}") for n, m in measures.items()]
         )
-        joined = local.join(carried, [*by, "_block"], "left")
         kept = [F.col(c) for c in rows.columns]
-        return joined.select(
+        joined = local.join(carried, [*by, "_block"], "left").select(
             *kept, *[_combine(m.how, F.col(f"_{n}"), F.col(n)).alias(n) for n, m in measures.items()]
         )
+        return usual.select("*", *window(*by)).unionByName(joined)
 
 
 def plan_blocks(rows: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Blocks:
-    """Find the keys with more than `block_rows` rows and set the block width.
+    """Count the rows of each key; two numbers come to the driver.
 
-    One narrow pass with a frequent-items sketch; one row comes to the driver,
-    holding at most `_SKETCH_KEYS` hashes. The sketch decides the layout only:
-    a key it misses, or one it names needlessly, changes no result.
+    Range partitions are about half a block, as their bounds are sampled.
     """
-    found = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(order).alias("low"),
-        F.max(order).alias("high"),
-        F.expr(
-            f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {_SKETCH_KEYS}, {_SKETCH_ITEMS})"
-        ).alias("top"),
-    ).first()
-    hashes = tuple(item["item"] for item in (found["top"] or []) if item["count"] > block_rows)
-    low, high = found["low"] or 0, found["high"] or 0
-    width = max(1, (high - low + 1) * block_rows // max(1, found["n"]))
-    return Blocks(tuple(keys), order, hashes, low, width)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    huge = stage(counted, "huge-keys")
+    total = huge.agg(F.sum("_n")).first()[0]
+    if total is None:
+        return Blocks(tuple(keys), order, None, 0)
+    return Blocks(tuple(keys), order, huge.select(*keys), -(-2 * total // block_rows))

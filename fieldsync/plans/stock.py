@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldsync.config import BULK, DEVICE_ATTRIBUTES, SERIALISED, StockConfig
 from fieldsync.functions import documents as doc
-from fieldsync.functions.text import quantity
+from fieldsync.functions.text import QUANTITY, out_of_range, quantity
 from fieldsync.operators.keyed import absent, first_orders, highest, lowest_id
 from fieldsync.operators.ledger import closing, counted_balance, fold_quantities, fold_serials
 from fieldsync.operators.running import BLOCK_ROWS
@@ -17,6 +17,9 @@ from fieldsync.sources.staging import stage
 Inputs = dict[str, DataFrame]
 
 
+TOO_MUCH = "quantity out of range"
+
+
 def check_receipts(receipts: DataFrame) -> DataFrame:
     """Add `reject_reason`: what makes a receipt fail as a whole."""
     file = F.col("factoryfile")
@@ -38,7 +41,10 @@ def check_receipts(receipts: DataFrame) -> DataFrame:
 def check_returns(returns: DataFrame) -> DataFrame:
     bad_date = F.col("cridate").isNotNull() & F.col("cridate").try_cast("date").isNull()
     return returns.withColumn(
-        "reject_reason", F.when(F.col("type").isin(SERIALISED, BULK) & bad_date, F.lit("bad date"))
+        "reject_reason",
+        F.when(F.col("type").isin(SERIALISED, BULK) & bad_date, F.lit("bad date")).when(
+            (F.col("type") == BULK) & out_of_range(F.col("quantity")), F.lit(TOO_MUCH)
+        ),
     )
 
 
@@ -213,6 +219,10 @@ def _resolve(inputs: Inputs, moves: DataFrame, cfg: StockConfig) -> DataFrame:
         F.when(alone, start + F.col("seq")).otherwise(F.coalesce("stock_rid", start + F.col("made_seq"))).alias("stock_id"),
         "made_seq",
     )
+    # The receipt that makes its stock may bring any quantity, one that adds to a stock may not.
+    makes = F.col("alone") | (F.col("is_new") & (F.col("made_seq") == F.col("seq")))
+    too_much = (F.col("kind") == "BR") & out_of_range(F.col("quantity")) & ~F.coalesce(makes, F.lit(False))
+    resolved = resolved.withColumn("too_much", F.coalesce(too_much, F.lit(False)))
     exists = (F.col("kind") != "BT") | (
         ~F.col("alone") & F.col("stock_id").isNotNull() & (~F.col("is_new") | (F.col("made_seq") < F.col("seq")))
     )
@@ -312,7 +322,9 @@ def stock_ledger(
     rejected = checked.where(F.col("reject_reason").isNotNull()).select("seq", "reject_reason")
     moves = checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
 
-    resolved = stage(_resolve(inputs, moves, cfg), "stock-moves")
+    settled = stage(_resolve(inputs, moves, cfg), "stock-moves")
+    resolved = settled.where(~F.col("too_much")).drop("too_much")
+    rejected = rejected.unionByName(settled.where("too_much").select("seq", F.lit(TOO_MUCH).alias("reject_reason")))
     effects = stage(_serial_effects(inputs, moves, resolved, cfg, block_rows), "serial-effects")
     shared = resolved.where(~F.col("alone"))
 
@@ -326,11 +338,11 @@ def stock_ledger(
             "seq",
             "kind",
             F.when(F.col("serial").isNull(), F.lit(1)).otherwise(F.coalesce("delta", F.lit(0))).cast("long").alias("delta"),
-            F.lit(None).cast("decimal(10,4)").alias("quantity"),
+            F.lit(None).cast(QUANTITY).alias("quantity"),
         )
     )
     serial_out = effects.where("effective").select(
-        "stock_id", "seq", "kind", "delta", F.lit(None).cast("decimal(10,4)").alias("quantity")
+        "stock_id", "seq", "kind", "delta", F.lit(None).cast(QUANTITY).alias("quantity")
     )
     bulk = shared.where(F.col("kind") != "R").select(
         "stock_id", "seq", "kind", F.lit(0).cast("long").alias("delta"), "quantity"
@@ -398,7 +410,7 @@ def _stock_snapshot(inputs: Inputs, resolved: DataFrame, end: DataFrame, cfg: St
     types = {field.name: field.dataType for field in old.schema.fields}
     rows = old.unionByName(new.select(*[values[c].cast(types[c]).alias(c) for c in old.columns]))
     results = end.select(F.col("stock_id").alias("stock_rid"), F.col("qty").alias("_qty"), F.lit(True).alias("_moved"))
-    qty = F.when(F.col("_moved"), F.col("_qty")).otherwise(F.col("qty")).cast("decimal(10,4)").alias("qty")
+    qty = F.when(F.col("_moved"), F.col("_qty")).otherwise(F.col("qty")).cast("decimal(38,4)").alias("qty")
     return rows.join(results, "stock_rid", "left").select(*[qty if c == "qty" else F.col(c) for c in old.columns])
 
 

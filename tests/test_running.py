@@ -24,20 +24,34 @@ def test_running_equals_plain_definition(spark, before, block_rows):
     rows = [(rng.choice([1, 1, 1, 1, 2, 3]), seq * rng.randint(7, 9) * 1000 + seq, rng.choice([None, 1, 2, -5])) for seq in range(1, 90)]
     df = spark.createDataFrame(rows, "key int, seq long, x int")
     blocks = plan_blocks(df, ["key"], "seq", block_rows)
-    assert bool(blocks.hashes) == (block_rows == 7)
+    assert (blocks.huge is not None) == (block_rows == 7)
     out = blocks.running(df, {n: Measure(n, F.col("x")) for n in ("sum", "min", "max")}, before=before)
     assert {r["seq"]: (r["sum"], r["min"], r["max"]) for r in out.collect()} == plain(rows, before)
 
 
-def test_huge_key_is_cut_into_bounded_windows(spark):
-    df = spark.range(1000).select(F.lit(1).alias("key"), F.col("id").alias("seq"))
-    blocks = plan_blocks(df, ["key"], "seq", 50)
-    assert len(blocks.hashes) == 1 and blocks.width == 50
-    out = blocks.running(df, {"n": Measure("sum", F.lit(1))})
-    assert out.where(F.col("n") != F.col("seq") + 1).count() == 0
-    # The window over whole keys sees one row per block only.
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_block" in plan
+def largest_block(blocks, rows):
+    usual, huge = blocks.cut(rows)
+    assert usual.groupBy("key").count().where(F.col("count") > 1000).isEmpty()
+    return huge.groupBy("key", "_block").count().agg(F.max("count")).first()[0]
+
+
+def test_bursts_and_opening_rows(spark):
+    """Order values that are far from even: an opening row at 0, then microseconds, half of them in one burst."""
+    at = F.lit(1_700_000_000_000_000) + F.when(F.col("id") < 20_000, F.col("id")).otherwise(F.col("id") * 1_000_000)
+    rows = spark.range(40_000).select(F.lit(1).alias("key"), F.when(F.col("id") == 0, 0).otherwise(at).alias("seq"))
+    blocks = plan_blocks(rows, ["key"], "seq", 1_000)
+    assert largest_block(blocks, rows) <= 1_000
+    out = blocks.running(rows, {"n": Measure("sum", F.lit(1))})
+    assert [r["n"] for r in out.orderBy("seq").collect()] == [*range(1, 40_001)]
+
+
+def test_many_huge_keys(spark):
+    rows = spark.range(1_500 * 40).select((F.col("id") % 1_500).alias("key"), F.col("id").alias("seq")).unionByName(spark.range(300).select(F.lit(-1).alias("key"), F.col("id").alias("seq")))
+    blocks = plan_blocks(rows, ["key"], "seq", 30)
+    assert blocks.huge.count() == 1_501
+    assert largest_block(blocks, rows) <= 40
+    out = blocks.running(rows, {"n": Measure("sum", F.lit(1))})
+    assert out.groupBy("key").agg(F.max("n").alias("n"), F.count_distinct("n").alias("d")).where("n <> d OR n NOT IN (40, 300)").isEmpty()
 
 
 @pytest.mark.parametrize("block_rows", [10**6, 4])

@@ -101,3 +101,59 @@ def test_bad_receipts_are_rejected(make):
     assert [(r["seq"], r["qty_after"]) for r in out["movements"].collect()] == [(4, Decimal(1))]
     stock = out["stock"].select("mat_rid", "holder_rid", "uom_rid", "holder_type", "bu_rid", "group_rid", F.col("qty").cast("int").alias("qty"))
     assert [tuple(r) for r in stock.collect()] == [(1, 11, 1, 2, 20, 3, 1)]
+
+
+def state(make, **given):
+    tables = dict(stock=[], stock_serials=[], materials=MATERIALS, contractors=CONTRACTORS)
+    return {t: make(t, *given.get(t, rows)) for t, rows in tables.items()}
+
+
+RECEIPT = dict(materialname="m1", materialcode="c1", contractorcode="1", type="serialized")
+BULK = dict(materialname="m2", materialcode="c2", contractorcode="1", type="non-serialized")
+
+
+def test_large_quantities(make):
+    receipts = [dict(RECEIPT, seq=i, serialno=f"S{i}") for i in range(1, 1501)]
+    # The receipt that makes its stock may bring any quantity, a later one may not.
+    receipts += [dict(BULK, seq=2001, quantity=2_000_000), dict(BULK, seq=2002, quantity=1_000_000), dict(BULK, seq=2003, quantity=999_999)]
+    returns = [dict(seq=2004, materialname="m2", materialcode="c2", fromcontractorcode="1", quantity=1_000_000, type="non-serialized")]
+    out = stock_ledger(state(make), make("receipt_events", *receipts), make("return_events", *returns))
+    assert {r["mat_rid"]: int(r["qty"]) for r in out["stock"].collect()} == {1: 1_125_750, 2: 2_999_999}
+    assert {(r["seq"], r["reject_reason"]) for r in out["rejected"].collect()} == {(2002, "quantity out of range"), (2004, "quantity out of range")}
+
+
+def test_ids_beyond_int(make):
+    big = 3_000_000_000
+    inputs = state(make, materials=[dict(mm_rid=big, name="m1", code="c1")])
+    out = stock_ledger(inputs, make("receipt_events", dict(RECEIPT, seq=big, serialno="S")), make("return_events"))
+    assert [(r["stock_rid"], r["mat_rid"]) for r in out["stock"].collect()] == [(big, big)]
+    assert [r["mat_rid"] for r in out["stock_serials"].collect()] == [big]
+
+
+def test_unusual_events(make):
+    """Unknown contractors and materials, serials that are NULL, types that are unknown."""
+    receipts = [
+        dict(RECEIPT, seq=1, serialno="A", materialcode="none"),
+        dict(RECEIPT, seq=2, serialno="B", contractorcode="404"),
+        dict(RECEIPT, seq=3, serialno=None),
+        dict(RECEIPT, seq=4, serialno="C", type="other"),
+        dict(BULK, seq=5, quantity=3, contractorcode="404"),
+    ]
+    out = stock_ledger(state(make), make("receipt_events", *receipts), make("return_events"))
+    assert {(r["stock_rid"], r["mat_rid"], r["holder_rid"], int(r["qty"])) for r in out["stock"].collect()} == {(1, None, 11, 1), (3, 1, 11, 1), (5, 2, None, 3)}
+    assert {(r["stock_rid"], r["serial_no"]) for r in out["stock_serials"].collect()} == {(1, "A"), (3, None)}
+
+
+@pytest.mark.parametrize("n_stocks", [2, 12])
+def test_shared_serial_takes_one_pass(spark, make, n_stocks):
+    """As many jobs for twelve stocks as for two."""
+    materials = [dict(mm_rid=i, name=f"m{i}", code="c") for i in range(1, 13)]
+    receipts = [dict(RECEIPT, seq=i, serialno="NA", materialname=f"m{i}", materialcode="c") for i in range(1, n_stocks + 1)]
+    returns = [dict(seq=100 + i, serialno="NA", type="serialized") for i in range(n_stocks + 1)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"shared-{n_stocks}", "")
+    out = stock_ledger(state(make, materials=materials), make("receipt_events", *receipts), make("return_events", *returns))
+    moved = [(r["seq"], r["stock_id"]) for r in out["movements"].orderBy("seq").collect()]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert moved == [(i, i) for i in range(1, n_stocks + 1)] + [(99 + i, i) for i in range(1, n_stocks + 1)]
+    assert len(tracker.getJobIdsForGroup(f"shared-{n_stocks}")) < 90
