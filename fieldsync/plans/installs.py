@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldsync.config import METER_INSTALL, InstallConfig
 from fieldsync.functions import documents as doc
 from fieldsync.functions.text import concat_skip_null, date_of_text, decode, or_blank
-from fieldsync.operators.keyed import absent, first_per_key, present
+from fieldsync.operators.keyed import absent, present
 from fieldsync.operators.pivot import wide
 from fieldsync.operators.previous import previous_flagged
 from fieldsync.sources.outbox import with_serial
@@ -108,15 +108,16 @@ def _header(cfg: InstallConfig) -> dict[str, Column]:
     }
 
 
-def _remarks(rows: DataFrame, inputs: Inputs) -> DataFrame:
+def _remarks(rows: DataFrame, eligible: DataFrame, inputs: Inputs) -> DataFrame:
     """`Resurvey` when the previous response of the node is flagged, else `Fresh MI`.
 
     Any earlier response of the node counts, so the whole history of the nodes
-    at hand is looked at, and of those nodes only.
+    at hand is looked at, and of those nodes only. `eligible` names the rows'
+    nodes in a narrow staged table.
     """
-    history = present(inputs["responses"].select("distnid", "responselogid"), rows, ["distnid"])
+    history = present(inputs["responses"].select("distnid", "responselogid"), eligible, ["distnid"])
     flagged = inputs["resurvey_flags"].where(F.col("resurvey") == 1).select(F.col("responseid").alias("responselogid"))
-    marks = previous_flagged(history, flagged, "distnid", "responselogid").where("previous_flagged")
+    marks = previous_flagged(stage(history, "node-history"), flagged, "distnid", "responselogid").where("previous_flagged")
     marked = rows.join(marks.select("responselogid", "previous_flagged"), "responselogid", "left")
     remark = F.when(F.col("previous_flagged"), F.lit("Resurvey")).otherwise(F.lit("Fresh MI"))
     return marked.withColumn("remarks", remark).drop("previous_flagged")
@@ -196,6 +197,12 @@ def _messages(rows: DataFrame, push_datetime: Column) -> DataFrame:
     )
 
 
+def first_per_node(rows: DataFrame) -> DataFrame:
+    """(responselogid, distnid) of the lowest response of each node; a response without a node is on its own."""
+    alone = F.when(F.col("distnid").isNull(), F.col("responselogid")).alias("_alone")
+    return rows.groupBy("distnid", alone).agg(F.min("responselogid").alias("responselogid")).select("responselogid", "distnid")
+
+
 def install_push(
     inputs: Inputs,
     wanted: DataFrame | None = None,
@@ -223,13 +230,15 @@ def install_push(
     )
     rejected = attributes.where(F.col("reject_reason").isNotNull()).select("responselogid", "reject_reason")
 
+    # Which responses go is settled on two narrow columns; the wide rows are fetched once.
     open_rows = inputs["install_outbox"].where(F.col("status") == False)  # noqa: E712
     usable = attributes.where(F.col("reject_reason").isNull() & F.col("meternum").isNotNull())
-    usable = absent(usable, open_rows, ["distnid"])
+    free = absent(usable.select("responselogid", "distnid"), open_rows, ["distnid"])
     if one_open_per_node:
-        usable = first_per_key(usable, ["distnid"], "responselogid")
-
-    shown = _remarks(usable.withColumns(_header(cfg)), inputs)
+        free = first_per_node(free)
+    eligible = stage(free, "install-eligible")
+    chosen = usable.join(eligible.select("responselogid"), "responselogid", "left_semi")
+    shown = _remarks(chosen.withColumns(_header(cfg)), eligible, inputs)
     enriched = _enrich(shown, inputs, meter_materials(inputs, cfg).distinct(), "left")
     distinct = enriched.select(
         "responselogid", "distnid", "distcode", "remarks", *_payload_columns()
@@ -239,8 +248,9 @@ def install_push(
 
 def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict[str, DataFrame]:
     """Messages for every response of the backlog whose meter was received and not yet sent."""
-    outbox = with_serial(inputs["install_outbox"])
-    is_open = F.col("status") == False  # noqa: E712
+    # The outbox is read once: node, serial, and whether the message is open.
+    is_open = F.coalesce(F.col("status") == False, F.lit(False))  # noqa: E712
+    outbox = stage(with_serial(inputs["install_outbox"]).select("distnid", "serial_number", "type_id", is_open.alias("is_open")), "install-log")
     backlog = inputs["responses"].where(
         (F.col("projectid") == cfg.repush_project)
         & (F.col("responsestatusid") >= 0)
@@ -248,7 +258,7 @@ def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict
         & F.col("response").startswith("{")
     )
     backlog = absent(
-        backlog.select(*_HEADER, "response"), outbox.where(is_open & (F.col("type_id") == METER_INSTALL)), ["distnid"]
+        backlog.select(*_HEADER, "response"), outbox.where(F.col("is_open") & (F.col("type_id") == METER_INSTALL)), ["distnid"]
     )
 
     # Texts that do not parse have no properties here, without being rejected.
@@ -283,11 +293,12 @@ def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict
         "responselogid", "distnid", F.explode("meters").alias("serial_number")
     )
     unsent = absent(present(candidates, received, ["serial_number"]), outbox, ["distnid", "serial_number"])
-    eligible = usable.join(unsent.select("responselogid"), "responselogid", "left_semi")
-    eligible = absent(eligible, outbox.where(is_open), ["distnid"])
+    free = absent(unsent.select("responselogid", "distnid").distinct(), outbox.where("is_open"), ["distnid"])
+    eligible = stage(free, "repush-eligible")
 
     users = inputs["users"].select(F.col("userid").alias("serveyorid"), "username", "FirstName", "LastName")
-    shown = _remarks(eligible.join(users, "serveyorid").withColumns(_header(cfg)), inputs)
+    chosen = usable.join(eligible.select("responselogid"), "responselogid", "left_semi").join(users, "serveyorid")
+    shown = _remarks(chosen.withColumns(_header(cfg)), eligible, inputs)
     enriched = _enrich(shown, inputs, meter_materials(inputs, cfg), "inner")
     rows = enriched.select("responselogid", "distnid", "distcode", "remarks", *_payload_columns())
     return {"delta": _messages(rows, F.lit(None).cast("timestamp")), "rejected": rejected}
