@@ -7,8 +7,8 @@ the table. Every row of the table is put into the leaf it falls to.
 A search goes from bin to bin through a priority queue of the distance to their centres. How many leaves it
 visits is calibrated: exact neighbours of `CALIBRATED` sampled rows are found against the whole table, and
 the number of leaves is doubled until the leaves visited hold `RECALL` of them. A search also goes on while
-its leaves hold fewer rows than are wanted. Leaves with more than `PART` rows are split by a hash of the id,
-and a query visits each part. Distances are Euclidean, in double precision, on the vectors as given.
+its leaves hold fewer rows than are wanted. Leaves beside each other are searched by one task, up to `PART` rows;
+a leaf with more is split by a hash of the id, and a query visits each part. Distances are Euclidean, in double precision, on the vectors as given.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, nor do rows without an id. Rows that repeat an id are candidates of their own; of repeated queries the
@@ -35,8 +35,8 @@ SAMPLED, LEAF, BRANCHES, ROUNDS = 40_000, 400, 8, 8
 #: Sampled vectors a leaf needs: so a table of any size has SAMPLED / SAMPLED_LEAF leaves at most.
 SAMPLED_LEAF = 10
 #: Queries the number of leaves is calibrated on, and the recall they must reach.
-CALIBRATED, RECALL = 100, 0.97
-#: Rows of a leaf that a task takes at once.
+CALIBRATED, RECALL = 100, 0.95
+#: Rows that a task searches, about.
 PART = 20_000
 
 
@@ -177,49 +177,71 @@ def neighbours(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", emb
     random = np.random.default_rng(4)
     probes = at[random.choice(len(at), min(CALIBRATED, len(at)), replace=False)]
     visits = calibrated(placed, tree, ids[probes], chosen[probes], k)
-    parts = np.maximum(1, -(-sizes // PART))
+    group, parts = grouped(sizes)
 
-    members = placed.select("leaf", "vec_id", "vector")
-    if (parts > 1).any():
-        of = F.create_map(*[F.lit(int(x)) for i in np.flatnonzero(parts > 1) for x in (i, parts[i])])
-        members = members.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.coalesce(of[F.col("leaf")], F.lit(1))).cast("int"))
-    else:
-        members = members.withColumn("part", F.lit(0))
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with the group of their leaf and their part of it."""
+        for batch in batches:
+            leaf, ids_ = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.uint64)
+            part = (ids_ * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % parts[leaf]
+            yield pa.RecordBatch.from_arrays([pa.array(group[leaf], pa.int32()), pa.array(part, pa.int32()), *batch.columns], names=["group", "part", "leaf", "vec_id", "vector"])
 
     def routes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Queries with the leaves they visit, once per group and part."""
         for batch in batches:
             vectors_ = matrix(batch.column(1)) if batch.num_rows else []
-            row, leaf, part = [], [], []
+            row, to, part, leaves_ = [], [], [], []
             for i, vector in enumerate(vectors_):
-                held = 0
-                for seen, x in enumerate(tree.visited(vector)):
-                    if seen >= visits and held > k:
+                held, seen = 0, {}
+                for n_seen, x in enumerate(tree.visited(vector)):
+                    if n_seen >= visits and held > k:
                         break
                     held += sizes[x]
-                    for p in range(parts[x]):
+                    seen.setdefault(int(group[x]), []).append(x)
+                for g, xs in seen.items():
+                    for p in range(parts[xs[0]]):
                         row.append(i)
-                        leaf.append(x)
+                        to.append(g)
                         part.append(p)
+                        leaves_.append(xs)
             taken = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), pa.array(leaf, pa.int32()), pa.array(part, pa.int32())], names=["query_id", "query", "leaf", "part"])
+            yield pa.RecordBatch.from_arrays(
+                [taken.column(0), taken.column(1), pa.array(to, pa.int32()), pa.array(part, pa.int32()), pa.array(leaves_, pa.list_(pa.int32()))], names=["query_id", "query", "group", "part", "leaves"]
+            )
 
+    members = placed.select("leaf", "vec_id", "vector").mapInArrow(dealt, f"group int, part int, leaf int, vec_id long, vector {kind}")
     queries = placed.where("is_query").groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("query"))
-    sent = queries.mapInArrow(routes, f"query_id long, query {kind}, leaf int, part int")
+    sent = queries.mapInArrow(routes, f"query_id long, query {kind}, group int, part int, leaves array<int>")
 
     def search(asked: pa.Table, held: pa.Table) -> pa.Table:
         found = []
         if asked.num_rows and held.num_rows:
-            vectors_, ids_ = matrix(held.column("vector").combine_chunks()), held.column("vec_id").to_numpy()
-            for query_id, query in zip(asked.column("query_id").to_pylist(), matrix(asked.column("query").combine_chunks()), strict=True):
-                near, d = nearest(vectors_, ids_, query, query_id, k)
-                found.append((np.full(len(near), query_id), ids_[near], d))
+            held = held.sort_by("leaf")
+            vectors_, ids_, leaf = matrix(held.column("vector").combine_chunks()), held.column("vec_id").to_numpy(), held.column("leaf").to_numpy()
+            queries_ = matrix(asked.column("query").combine_chunks())
+            for query_id, query, visited in zip(asked.column("query_id").to_pylist(), queries_, asked.column("leaves").to_pylist(), strict=True):
+                rows_ = np.concatenate([np.arange(*np.searchsorted(leaf, (x, x + 1))) for x in visited])
+                near, d = nearest(vectors_[rows_], ids_[rows_], query, query_id, k)
+                found.append((np.full(len(near), query_id), ids_[rows_][near], d))
         q, v, s = (np.concatenate(x) for x in zip(*found, strict=True)) if found else ([], [], [])
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    pairs = sent.groupBy("leaf", "part").cogroup(members.groupBy("leaf", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
+    pairs = sent.groupBy("group", "part").cogroup(members.groupBy("group", "part")).applyInArrow(search, "query_id long, vec_id long, score double")
     return best(pairs, k).select("query_id", "rank", "vec_id", "score")
 
 
+def grouped(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each leaf, and the number of parts its group is split into: neighbours up to `PART` rows, or one large leaf."""
+    group, parts = np.zeros(len(sizes), np.int64), np.maximum(1, -(-sizes // PART))
+    now = rows = 0
+    for leaf, n in enumerate(sizes.tolist()):
+        if rows and rows + n > PART:
+            now, rows = now + 1, 0
+        group[leaf] = now
+        rows += n
+    return group, parts
+
+
 def calibrated(placed: DataFrame, tree: Tree, ids: np.ndarray, probes: np.ndarray, k: int) -> int:
     """Leaves to visit so that the probes' exact neighbours in the whole table are found."""
 
