@@ -27,6 +27,7 @@ HEADLINE = [
     "swap_feed",
     "stock_ledger",
     "stock_balance",
+    "stock_shared_serials",
     "receipt_log_once",
     "attributes_current",
     "contractor_first_wins",
@@ -46,7 +47,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores=cores, shuffle_partitions=int(cores))
     seconds = {}
     for name in HEADLINE:

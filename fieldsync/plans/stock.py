@@ -55,8 +55,8 @@ def receipt_log_delta(receipts: DataFrame, log: DataFrame) -> DataFrame:
     came: a serial that is not in upper case is never found, so it is logged
     each time, and it makes a later upper-case one known.
     """
-    # Which rows are logged is settled on the keys alone; the rows are fetched by `seq`.
-    keys = receipts.select(
+    # Which rows are logged is settled on the staged keys alone; the rows are fetched by `seq`.
+    narrow = receipts.where(F.col("type").isin(SERIALISED, BULK)).select(
         "seq",
         "serialno",
         F.upper("serialno").alias("upper_serial"),
@@ -64,9 +64,9 @@ def receipt_log_delta(receipts: DataFrame, log: DataFrame) -> DataFrame:
         "materialcode",
         "type",
     )
-    serial = absent(
-        keys.where(F.col("type") == SERIALISED), log.where(F.col("serialno").isNotNull()), ["serialno", "documentnumber"]
-    )
+    keys = stage(narrow, "receipt-keys")
+    known = log.where(F.col("serialno").isNotNull())
+    serial = stage(absent(keys.where(F.col("type") == SERIALISED), known, ["serialno", "documentnumber"]), "receipt-serials")
     # An exact serial is logged if it comes first of its document; any other one always is.
     exact = F.coalesce(F.col("serialno") == F.col("upper_serial"), F.lit(False))
     always = serial.where(~exact).select("seq")
