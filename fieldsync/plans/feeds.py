@@ -19,10 +19,10 @@ def _open_requests(inputs: Inputs, remark: str) -> DataFrame:
 
 
 def removal_meters(properties: Column, ids: tuple[int, ...]) -> Column:
-    """(meter, broken) of the properties that name a meter: a document with `meter_Id`, or plain text.
+    """(meter, broken, unknown) of the properties that name a meter: a document with `meter_Id`, or plain text.
 
-    An id that is not a number is broken too: it can't be told what it names.
-    An empty one names nothing, as in the repush.
+    A property whose id is not a number is unknown: it can't be told what it
+    names. An empty id names nothing, as in the repush.
     """
     number = lambda p: p["categorypropertyallocationid"].try_cast("int")
     unknown = lambda p: F.nullif(p["categorypropertyallocationid"], F.lit("")).isNotNull() & number(p).isNull()
@@ -40,7 +40,8 @@ def removal_meters(properties: Column, ids: tuple[int, ...]) -> Column:
     def pick(v: Column) -> Column:
         return F.struct(
             F.when(v["nested"], doc.value_member(v["opened"], "meter_Id")).otherwise(v["text"]).alias("meter"),
-            (v["unknown"] | (v["nested"] & ~doc.value_ok(v["opened"]))).alias("broken"),
+            (v["nested"] & ~doc.value_ok(v["opened"])).alias("broken"),
+            v["unknown"].alias("unknown"),
         )
 
     return F.transform(F.transform(wanted, read), pick)
@@ -58,7 +59,8 @@ def install_delete_feed(inputs: Inputs, cfg: FeedConfig = FeedConfig()) -> dict[
     meters = F.array_distinct(F.filter(F.transform("_meters", lambda m: m["meter"]), lambda m: m.isNotNull()))
     reason = F.coalesce(
         doc.broken_document("response"),
-        F.when(F.exists("_meters", lambda m: m["broken"]), F.lit("a property does not parse")),
+        F.when(F.exists("_meters", lambda m: m["broken"]), F.lit("a property value does not parse")),
+        F.when(F.exists("_meters", lambda m: m["unknown"]), F.lit("a property id is not a number")),
     )
     # Only surveys of requested nodes are parsed, and only once.
     of_requests = present(surveys, requests, ["distnid"])
