@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import ship_code, texts_of
+from fieldsync.llm.batches import cuts, give_back, ship_code, texts_of
 
 #: How byte-level vocabularies cut a text, as published with them. A fixed value.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -36,7 +36,7 @@ UNKNOWN = regex.compile(r"\p{Cn}")
 #: A space before white space, or at the end: only there may a piece hold more than a leading space.
 LOOSE = re.compile(r" (?:\s|\Z)")
 #: Words remembered per Python worker, twice: those since the last clearing and those before it.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Longer words are coded but not remembered.
 REMEMBERED_LENGTH = 64
 
@@ -179,10 +179,15 @@ def coded(text: Column, described) -> Column:
     def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         coder = coder_of(described)
         for texts in batches:
-            ids = [coder.encode(t) for t in texts_of(texts)]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
-            yield pa.StructArray.from_arrays([lists, pa.array(map(coder.decode, ids), pa.string())], names=["ids", "decoded"])
+            made = []
+            for first, n in cuts(texts):
+                ids = [coder.encode(t) for t in texts_of(texts.slice(first, n))]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+                made.append(pa.StructArray.from_arrays([lists, pa.array(map(coder.decode, ids), pa.string())], names=["ids", "decoded"]))
+            yield pa.concat_arrays(made) if made else pa.array([], pa.struct({"ids": pa.list_(pa.int32()), "decoded": pa.string()}))
+            del made, texts
+        give_back()
 
     return code(text)
 

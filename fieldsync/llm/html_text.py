@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import ship_code, texts_of
+from fieldsync.llm.batches import each_text, give_back, ship_code
 
 #: Lines on each side and width of the Gaussian; a container's share of the largest one's text from which it is content too.
 REACH, WIDTH, SHARE = 4, 2.0, 0.25
@@ -194,7 +194,8 @@ def extracted(html: Column) -> Column:
     @F.arrow_udf("string")
     def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for pages in batches:
-            yield pa.array([main_text(p) for p in texts_of(pages)], pa.string())
+            yield pa.array([main_text(p) for p in each_text(pages)], pa.string())
+        give_back()
 
     return extract(html)
 

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldsync.llm import spans as S
-from fieldsync.llm.batches import ship_code
+from fieldsync.llm.batches import cuts, ship_code
 
 #: Bytes of a window, and of the grams among which its minimiser is chosen (a power of two).
 WINDOW, GRAM = 200, 16
 #: Bytes of text hashed at once; segments that a task gathers before it sends them on.
-CHUNK, GATHERED = 1 << 20, 48 << 20
+CHUNK, GATHERED = 1 << 20, 24 << 20
 #: The top bits of a gram's rank are compared, the others hold its place.
 PLACE_BITS = 24
 
@@ -298,6 +298,10 @@ def remove_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
     def removed(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        parts = [cut(texts.slice(first, n), spans.slice(first, n)) for first, n in cuts(texts)]
+        return pa.concat_arrays(parts) if parts else cut(texts, spans)
+
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         sizes, gone, runs, kept = [], [], [], []
         for i, t in enumerate(texts.cast(pa.binary()).to_pylist()):
             data = t or b""

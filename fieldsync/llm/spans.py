@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import STEP_BYTES, pieces
+from fieldsync.llm.batches import STEP_BYTES, give_back, pieces
 
 #: Documents sampled to find frequent pieces (about; a bound on cost, not on what is searched).
 SAMPLED = 2_000
@@ -100,6 +100,7 @@ def steps(batches: Iterator[pa.RecordBatch], limit: int = STEP_BYTES) -> Iterato
     for batch in batches:
         for part in pieces(batch, TEXT, limit):
             yield part.column(KEY).to_numpy(), part.column(TIE).to_numpy(), part.column(TEXT).cast(pa.binary()).to_pylist()
+    give_back()
 
 
 def joined_runs(keys: np.ndarray, ties: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -151,7 +152,7 @@ def covered(spans: pa.ListArray, row: int, window: int, size: int) -> np.ndarray
     """Positions of a document that its spans' windows cover, as a mask."""
     a, b = spans.offsets[row].as_py(), spans.offsets[row + 1].as_py()
     mask = np.zeros(size + 1, np.int32)
-    if a < b and spans.is_valid()[row].as_py():
+    if a < b and spans[row].is_valid:
         starts = spans.values.field("start").slice(a, b - a).to_numpy()
         ends = starts + spans.values.field("count").slice(a, b - a).to_numpy() + window - 1
         np.add.at(mask, starts, 1)

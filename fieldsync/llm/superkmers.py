@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldsync.llm import spans as S
-from fieldsync.llm.batches import ship_code
+from fieldsync.llm.batches import cuts, ship_code
 
 #: Words of a window, and of the runs among which its minimiser is chosen.
 WINDOW, RUN = 20, 3
 #: Bytes of packed strings that a task gathers before it sends them on.
-GATHERED = 48 << 20
+GATHERED = 24 << 20
 #: Bytes hashed at once.
 HASHED = 1 << 20
 
@@ -265,6 +265,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     @F.arrow_udf("n_words long, n_removed long, kept string")
     def removed(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        parts = [cut(texts.slice(first, n), spans.slice(first, n)) for first, n in cuts(texts)]
+        return pa.concat_arrays(parts) if parts else cut(texts, spans)
+
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         sizes, gone, kept = [], [], []
         for i, t in enumerate(texts.cast(pa.binary()).to_pylist()):
             words = (t or b"").split()

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import ship_code, texts_of
+from fieldsync.llm.batches import each_text, give_back, ship_code, texts_of
 from fieldsync.llm.bpe import Memory
 from fieldsync.sources.staging import stage
 
@@ -356,7 +356,8 @@ def scored(docs: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "to
     @F.arrow_udf("score double, stems array<string>")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            made = [lexicon.evidence(t) for t in texts_of(texts)]
+            made = [lexicon.evidence(t) for t in each_text(texts)]
             yield pa.StructArray.from_arrays([pa.array([lexicon.score(e) for e, _ in made], pa.float64()), pa.array([s for _, s in made], pa.list_(pa.string()))], names=["score", "stems"])
+        give_back()
 
     return docs.withColumn(out, score(F.col(text)))

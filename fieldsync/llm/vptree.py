@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldsync.llm.batches import ship_code
+from fieldsync.llm.batches import each_text, give_back, ship_code
 from fieldsync.sources.staging import stage
 
 #: Words of a shingle, seed of its hash, bits that may differ.
@@ -64,7 +64,9 @@ def fingerprints(text: Column, shingle: int = SHINGLE) -> Column:
     @F.arrow_udf("long")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(np.array([fingerprint_of(t or b"", shingle) for t in texts.cast(pa.binary()).to_pylist()], np.uint64).view(np.int64))
+            found = [fingerprint_of(t.encode(), shingle) for t in each_text(texts)]
+            yield pa.array(np.array(found, np.uint64).view(np.int64))
+        give_back()
 
     return of(text)
 
