@@ -214,37 +214,50 @@ def sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return first.select("text", "toxic", F.pmod(F.hash("doc_id"), F.lit(2)).alias("fold"))
 
 
+def stems_held(text: str) -> Counter:
+    """How often a text has words that begin with each stem."""
+    held: Counter = Counter()
+    for word, n in Counter(WORD.findall(text.lower())).items():
+        for k in range(STEM[0], min(len(word), STEM[1]) + 1):
+            held[word[:k]] += n
+    return held
+
+
 def stem_counts(rows: DataFrame) -> DataFrame:
-    """Of each beginning of a word: documents that hold it, by label and fold."""
+    """Of each beginning of a word: toxic documents that hold it, by fold, and twice or more often."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = [Counter() for _ in range(4)]
+        counts = [Counter() for _ in range(3)]
         for batch in batches:
-            toxic, fold = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            for text, t, f in zip(texts_of(batch.column(0)), toxic, fold, strict=True):
-                counts[2 * t + f].update({w[:k] for w in set(WORD.findall(text.lower())) for k in range(STEM[0], min(len(w), STEM[1]) + 1)})
-        stems = [*(counts[2].keys() | counts[3].keys())]
-        # stems of no toxic document in this task are left to the tasks that have one: the second pass counts them
-        yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), *(pa.array([c[s] for s in stems], pa.int64()) for c in counts)], names=["stem", "c0", "c1", "t0", "t1"])
+            for text, f in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                held = stems_held(text)
+                counts[f].update(held.keys())
+                counts[2].update(s for s, n in held.items() if n > 1)
+        stems = [*(counts[0].keys() | counts[1].keys())]
+        yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), *(pa.array([c[s] for s in stems], pa.int64()) for c in counts)], names=["stem", "t0", "t1", "twice"])
 
-    counted = rows.mapInArrow(count, "stem string, c0 long, c1 long, t0 long, t1 long")
-    return counted.groupBy("stem").agg(*(F.sum(c).alias(c) for c in ("c0", "c1", "t0", "t1")))
+    counted = rows.where("toxic = 1").select("text", "fold").mapInArrow(count, "stem string, t0 long, t1 long, twice long")
+    return counted.groupBy("stem").agg(*(F.sum(c).alias(c) for c in ("t0", "t1", "twice")))
 
 
-def chosen(stems: list[tuple[str, int, int]], toxic: int, clean: int) -> list[str]:
-    """Stems that tell the labels apart by more than chance among so many would; of nested ones the one that does so best."""
+def chosen(stems: list[tuple[str, int, int, int, int]], toxic: int, clean: int) -> list[str]:
+    """Stems that tell the labels apart by more than chance among so many would; of nested ones the one that does so best.
+
+    Each comes with the toxic documents that hold it, those that hold it twice or more often, and the same of the clean ones.
+    """
 
     def told(t: int, c: int) -> float:
-        """Likelihood ratio of the counts, 0 if the stem is no sign of toxicity."""
-        if t * clean <= c * toxic:
+        """Likelihood ratio of the counts, 0 if toxic documents don't have it twice as often as clean ones."""
+        if t * clean <= 2 * c * toxic:
             return 0.0
         share = (t + c) / (toxic + clean)
         cells = ((t, toxic * share), (c, clean * share), (toxic - t, toxic * (1 - share)), (clean - c, clean * (1 - share)))
         return 2 * sum(n * math.log(n / expected) for n, expected in cells if n)
 
-    needed = 2 * math.log(max(2, len(stems))) + 4
+    signs = sorted(((value, len(s), s) for s, t, t2, c, c2 in stems if (value := max(told(t, c), told(t2, c2)))), reverse=True)
+    needed = 2 * math.log(max(2, len(signs))) + 4
     kept: list[str] = []
-    for value, _, s in sorted(((told(t, c), len(s), s) for s, t, c in stems), reverse=True):
+    for value, _, s in signs:
         if value < needed or len(kept) == STEMS:
             break
         if not any(s.startswith(k) or k.startswith(s) for k in kept):
@@ -261,10 +274,9 @@ def learned(docs: DataFrame, labels: DataFrame) -> Lexicon:
     if not toxic or not clean:
         return Lexicon({}, 0.0, 50.0 if toxic else -50.0)
     common = stem_counts(rows).where((F.col("t0") > 0) & (F.col("t1") > 0) & (F.col("t0") + F.col("t1") >= SUPPORT))
-    common = common.where((F.col("t0") + F.col("t1")) * clean > 2 * toxic * (F.col("c0") + F.col("c1")))
-    found = [(r["stem"], r["t0"] + r["t1"]) for r in common.collect()]  # at most the stems of the bounded sample
-    counts = counted_clean(rows, [s for s, _ in found])
-    stems = chosen([(s, t, counts.get(s, 0)) for s, t in found], toxic, clean)
+    found = {r["stem"]: (r["t0"] + r["t1"], r["twice"]) for r in common.collect()}  # at most the stems of the bounded sample
+    counts = counted_clean(rows, set(found))
+    stems = chosen([(s, *t, *counts.get(s, (0, 0))) for s, t in found.items()], toxic, clean)
     blank = Lexicon({(s, e, 1): 1.0 for s in stems for e in (0, 1)}, 1.0, 0.0)
     seen = {(r["stem"], r["edits"], r["level"]): (r["toxic"], r["clean"]) for r in hit_counts(rows, blank).collect()}
     weights = {}
@@ -286,19 +298,20 @@ def told_by(t: int, c: int, toxic: int, clean: int) -> float:
     return max(0.0, math.log((t + 0.5) / (toxic + 1)) - math.log((c + 0.5) / (clean + 1)))
 
 
-def counted_clean(rows: DataFrame, stems: list[str]) -> dict[str, int]:
-    """Clean documents of the sample that hold each of some stems."""
-    wanted = set(stems)
+def counted_clean(rows: DataFrame, wanted: set[str]) -> dict[str, tuple[int, int]]:
+    """Clean documents of the sample that hold each of some stems, and twice or more often."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counter()
+        counts = (Counter(), Counter())
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                counts.update({w[:k] for w in set(WORD.findall(text.lower())) for k in range(STEM[0], min(len(w), STEM[1]) + 1) if w[:k] in wanted})
-        yield pa.RecordBatch.from_arrays([pa.array([*counts], pa.string()), pa.array([*counts.values()], pa.int64())], names=["stem", "n"])
+                held = {s: n for s, n in stems_held(text).items() if s in wanted}
+                counts[0].update(held.keys())
+                counts[1].update(s for s, n in held.items() if n > 1)
+        yield pa.RecordBatch.from_arrays([pa.array([*counts[0]], pa.string()), *(pa.array([c[s] for s in counts[0]], pa.int64()) for c in counts)], names=["stem", "n", "twice"])
 
-    counted = rows.where("toxic = 0").select("text").mapInArrow(count, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
-    return {r["stem"]: r["n"] for r in counted.collect()}
+    counted = rows.where("toxic = 0").select("text").mapInArrow(count, "stem string, n long, twice long").groupBy("stem").agg(F.sum("n").alias("n"), F.sum("twice").alias("twice"))
+    return {r["stem"]: (r["n"], r["twice"]) for r in counted.collect()}
 
 
 def hit_counts(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
