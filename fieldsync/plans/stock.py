@@ -146,6 +146,8 @@ def device_attributes_replace(
         *attribute_columns("factoryfile"),
         F.lit(cfg.labels.attribute_source).alias("type_source"),
     )
+    # Documents are parsed once, for what stays current and for what becomes history.
+    events = stage(events, "device-events")
     return replace_current(current, events, "serial_number", "seq", [*DEVICE_ATTRIBUTES.values(), "type_source"])
 
 
@@ -350,7 +352,8 @@ def stock_ledger(
     moved = stage(serial_in.unionByName(serial_out).unionByName(bulk), "stock-changes")
 
     touched = moved.select("stock_id").distinct()
-    held = inputs["stock_serials"].groupBy(F.col("stock_rid").alias("stock_id")).agg(F.count(F.lit(1)).alias("delta"))
+    on_hand = inputs["stock_serials"].select(F.col("stock_rid").alias("stock_id")).join(touched, "stock_id", "left_semi")
+    held = on_hand.groupBy("stock_id").agg(F.count(F.lit(1)).alias("delta"))
     opening = (
         inputs["stock"]
         .select(F.col("stock_rid").alias("stock_id"), quantity(F.col("qty")).alias("quantity"))
