@@ -15,6 +15,7 @@ from fieldsync.config import (
 from fieldsync.functions.documents import payload
 from fieldsync.functions.text import differs, spaced_name, true_false
 from fieldsync.operators.keyed import absent, latest_per_key, present
+from fieldsync.sources.staging import stage
 
 Inputs = dict[str, DataFrame]
 
@@ -89,7 +90,10 @@ def contact_create_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig()) ->
 
 def contact_update_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig()) -> DataFrame:
     """Contractors whose role or in-charge is not that of their newest log row."""
+    candidates = stage(contractor_candidates(inputs, cfg), "contractors")
     log = inputs["contractor_outbox"].where(F.col("inserted") | F.col("updated"))
+    # Of the log only what concerns the candidates is looked through for newest rows.
+    log = present(log, candidates.select(F.col("contact_rid").alias("contractorid")), ["contractorid"])
     newest = latest_per_key(
         log.select("contractorid", "api_id", F.col("roleid").alias("old_role"), F.col("inchargeid").alias("old_incharge")),
         ["contractorid"],
@@ -99,7 +103,7 @@ def contact_update_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig()) ->
     changed = differs(
         [(F.col("old_role"), F.col("roleid")), (F.col("old_incharge"), F.col("incharge_user_rid"))]
     )
-    rows = contractor_candidates(inputs, cfg).join(newest, "contact_rid").where(changed)
+    rows = candidates.join(newest, "contact_rid").where(changed)
     return _contractor_messages(rows, cfg, division=False).select(
         "*",
         F.lit("Contractor Updated").alias("description"),
@@ -172,7 +176,8 @@ def technician_create_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig())
 
 def technician_update_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig()) -> DataFrame:
     """Technicians whose role or contractor is not that of their newest log row, unless one is open."""
-    outbox = inputs["technician_outbox"]
+    candidates = stage(technician_candidates(inputs, cfg), "technicians")
+    outbox = present(inputs["technician_outbox"], candidates, ["userid"])
     log = outbox.where(F.col("inserted") | F.col("updated"))
     newest = latest_per_key(
         log.select("userid", "api_id", F.col("roleid").alias("old_role"), F.col("contactid").alias("old_contact")),
@@ -181,7 +186,7 @@ def technician_update_delta(inputs: Inputs, cfg: PeopleConfig = PeopleConfig())
         ["old_role", "old_contact"],
     )
     changed = differs([(F.col("old_role"), F.col("roleid")), (F.col("old_contact"), F.col("contact_rid"))])
-    rows = technician_candidates(inputs, cfg).join(newest, "userid").where(changed)
+    rows = candidates.join(newest, "userid").where(changed)
     rows = absent(rows, outbox.where(F.col("status_created") == False), ["userid"])  # noqa: E712
     return _technician_messages(rows, inputs).select(
         "*",
