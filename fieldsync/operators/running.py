@@ -87,13 +87,13 @@ class Blocks:
 
 
 def plan_blocks(rows: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Blocks:
-    """Count the rows of each key; two numbers come to the driver.
+    """Count the rows of each key; one number comes to the driver.
 
     Range partitions are about half a block, as their bounds are sampled.
     """
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
-    huge = stage(counted, "huge-keys")
-    total = huge.agg(F.sum("_n")).first()[0]
+    # No key of a table of that many rows at most can have more: its keys need not be counted.
+    total = counted.agg(F.sum("_n")).first()[0] if rows.count() > block_rows else None
     if total is None:
         return Blocks(tuple(keys), order, None, 0)
-    return Blocks(tuple(keys), order, huge.select(*keys), -(-2 * total // block_rows))
+    return Blocks(tuple(keys), order, stage(counted.select(*keys), "huge-keys"), -(-2 * total // block_rows))
