@@ -49,7 +49,7 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return mixing.scheduled(docs, mixing.tempered_weights(docs)).select("doc_id", "source", "mix.*")
+    return mixing.scheduled(docs, mixing.tempered_weights(docs), rounded=True).select("doc_id", "source", "mix.*")
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,3 +63,34 @@ def test_odd_rows(documents, odd_rows):
     assert Counter(made.collect()) == Counter(docs.collect())
     empty = documents([])
     assert mixing.interleaved(empty, mixing.tempered_weights(empty)).collect() == []
+
+
+@pytest.mark.parametrize("weights", [{"a": 190, **{f"s{i:02}": 20 for i in range(19)}}, {f"s{i:02}": 100_003 // (i + 1) for i in range(12)}, {"a": 10**9 + 7, "b": 1}])
+def test_weights_as_given_over_many_slots(spark, weights):
+    """Rounded to 1,000 slots, these drift by more than a block."""
+    total, n = sum(weights.values()), 2_500
+    blocks = {s: max(1, n * w // total) for s, w in weights.items()}
+    sizes = spark.createDataFrame([(s, w, 8 * blocks[s]) for s, w in weights.items()], "source string, weight long, size long")
+    made = sorted(mixing.placed(sizes, 8).collect(), key=lambda r: r.slot)
+    following, t, plain = dict.fromkeys(weights, 0), 0, []
+    while left := [s for s in weights if following[s] < blocks[s]]:
+        t = max(t, min(following[s] * total // weights[s] for s in left))
+        s = min((-(-(following[s] + 1) * total // weights[s]), s) for s in left if following[s] * total // weights[s] <= t)[1]
+        plain.append((s, following[s], t))
+        following[s], t = following[s] + 1, t + 1
+    assert [(r.source, r.block, r.slot) for r in made] == plain
+    had = Counter()
+    for r in made:
+        had[r.source] += 1
+        for s, w in weights.items():
+            if had[s] < blocks[s]:
+                assert abs(had[s] - Fraction(w * (r.slot + 1), total)) < 1
+
+
+def test_unlisted_sources_stay(spark, documents):
+    docs = documents([(i, "x" * 9, "abc"[i % 3]) for i in range(60)] + [(90, "null", None)])
+    weights = spark.createDataFrame([("a", 3), ("gone", 2), ("b", 0)], "source string, weight long")
+    made = mixing.scheduled(docs, weights, block=10).collect()
+    assert sorted(r.doc_id for r in made) == [*range(60), 90]
+    total = 3 + 2 + 1 + 1 + 1
+    assert all(r.mix.release == r.mix.block * total // (3 if r.source == "a" else 1) <= r.mix.slot < r.mix.deadline for r in made)
