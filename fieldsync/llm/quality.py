@@ -5,13 +5,13 @@ Words are `[^\x20\x09-\x0D]+`, lines are cut at \n. The base rules reject a docu
 the document holds twice or more.
 
 Lines with a word are normalised (lower case, words joined by one space) and hashed. For each host the
-documents that hold a line are counted. Documents that are alike but for that line count once, so that
-copies don't make their own lines boilerplate: a document is told by the least and the greatest hash among
-its other lines. A line in at least `LINE_DOCUMENTS` documents and `LINE_SHARE` percent of its host's is
-removed; a document that keeps less than `LEFT` percent of its words is depleted and rejected.
+documents that hold a line are counted. Documents with the same set of lines count once, in the line's count
+and in the host's, so that copies don't make their own lines boilerplate; sets are compared whole. A line in at
+least `LINE_DOCUMENTS` documents and `LINE_SHARE` percent of its host's is removed; a document that keeps less
+than `LEFT` percent of its words is depleted and rejected.
 
-Built from DataFrame functions only. The rules of a document need no shuffle; lines are counted in two
-steps, first by line and document, so a line that all documents hold is spread over tasks.
+Built from DataFrame functions only. The rules of a document need no shuffle; copies are
+dropped by a hash aggregate, lines counted in two steps, so a line that all documents hold is spread over tasks.
 
 A null or empty text has no words and fails. A null host is the host ''. Rows that repeat a `doc_id` are
 told apart by a hash of their text; equal rows share a verdict and count once. A null `doc_id` is a value
@@ -95,13 +95,9 @@ def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
 def frequent_lines(ruled: DataFrame) -> DataFrame:
     """host and line of the lines to remove."""
     ordered = F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"])))
-    some = ruled.select("host", ordered.alias("ordered"))
-    n = F.size("ordered")
-    held = some.select("host", "ordered", F.explode("ordered").alias("line"))
-    least = F.when(F.col("line") == F.get("ordered", F.lit(0)), F.get("ordered", F.lit(1))).otherwise(F.get("ordered", F.lit(0)))
-    greatest = F.when(F.col("line") == F.get("ordered", n - 1), F.get("ordered", n - 2)).otherwise(F.get("ordered", n - 1))
-    counted = held.select("host", "line", least.alias("least"), greatest.alias("greatest")).distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
-    sizes = ruled.groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
+    apart = ruled.select("host", ordered.alias("ordered")).distinct()
+    counted = apart.select("host", F.explode("ordered").alias("line")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("n"))
+    sizes = apart.groupBy("host").agg(F.count(F.lit(1)).alias("n_host"))
     common = counted.where(F.col("n") >= LINE_DOCUMENTS).join(sizes, "host")
     return common.where(100 * F.col("n") >= LINE_SHARE * F.col("n_host")).select("host", "line")
 

@@ -54,3 +54,18 @@ def test_repeated_rows(documents):
     rows = [(i, f"{boiler}\n{words(f'own{i}', 20)}", "h") for i in range(12)]
     made = quality.judged(documents([*rows, rows[0], rows[0]])).collect()
     assert len(made) == 14 and {r.words_removed for r in made} == {30}
+
+
+def test_shared_lines_of_different_documents(documents):
+    """Documents that share many lines and differ in one are different, whatever their hashes."""
+    shared = "\n".join(words(f"menu{k}_", 4) for k in range(40))
+    made = judged(documents([(i, f"{shared}\n{words(f'own{i}_', 5)}", "h") for i in range(80)]))
+    assert all(r.words_removed == 160 and not r.kept for r in made.values())
+
+
+def test_copies_are_no_part_of_the_host(documents):
+    """The share is one of different documents, as the count is."""
+    boiler = words("notice", 20)
+    rows = [(i, f"{boiler}\n{words(f'own{i}_', 30)}", "h") for i in range(12)]
+    made = judged(documents(rows + [(100 + i, words("copy", 25), "h") for i in range(1500)]))
+    assert all(made[i].words_removed == 20 for i in range(12)) and made[100].kept
