@@ -4,14 +4,16 @@
     simhash_near_dedup  one document of each group of near duplicates stays
     substring_dedup     words of passages that an earlier document holds are cut out of the text
     mixing              documents are put in the order of their sources' schedule
-    bpe                 texts are coded
+    bpe                 texts are coded; `position` rises in the order of the schedule
 
 Each stage takes all that its predecessor kept, written as Parquet and read again. The filters pass null
 and empty texts on. A toxicity score is learned from the labels beside the table, in a bounded sample.
+The mixing table holds the order in its files, by number, and in the rows of each: the last stage reads it there.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,10 +45,21 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.interleaved(docs, mixing.tempered_weights(docs))
 
 
+def positioned(docs: DataFrame) -> DataFrame:
+    """`docs`, as read from a table, with `position`: it rises over the table's files and the rows of each, with gaps between files."""
+    try:
+        part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long")
+        return docs.withColumn("position", F.shiftleft(part, 33) + F.col("_metadata.row_index"))
+    except AnalysisException:  # rows that don't come from a table
+        return positioned(stage(docs, "pipeline-positions"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode_decode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER)
+    coded = bpe.encode_decode(positioned(docs).select("position", "doc_id", "lang", "source", "text"), TOKENIZER)
     whole = F.col("coded.decoded") == F.coalesce("text", F.lit(""))
-    return coded.select("doc_id", "lang", "source", F.size("coded.ids").cast("long").alias("n_tokens"), F.col("coded.ids").alias("ids"), whole.alias("round_trip"))
+    return coded.select(
+        "doc_id", "lang", "source", F.size("coded.ids").cast("long").alias("n_tokens"), F.col("coded.ids").alias("ids"), whole.alias("round_trip"), "position"
+    )
 
 
 STAGES = [

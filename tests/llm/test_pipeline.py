@@ -1,6 +1,8 @@
 """The pipeline's stages against plain versions of what they decide."""
 
 from collections import Counter
+from hashlib import md5
+from math import isqrt
 
 import pytest
 from tokenizers import Tokenizer
@@ -88,3 +90,26 @@ def test_odd_documents(spark, documents, odd_rows, tmp_path):
     empty = documents([])
     for _, work in corpus_pipeline.STAGES:
         assert work(spark, empty, DIRECTORY).count() == 0
+
+
+def test_positions_follow_the_schedule(spark, stages, monkeypatch):
+    """The result carries the order of a schedule worked out by hand over the rows that come to mixing."""
+    block = 1 << 12
+    interleaved = corpus_pipeline.mixing.interleaved
+    monkeypatch.setattr(corpus_pipeline.mixing, "interleaved", lambda docs, weights: interleaved(docs, weights, block=block))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("substring_dedup", lambda s, d, _: stages[3]), *corpus_pipeline.STAGES[3:]])
+    made = sorted(corpus_pipeline.run(spark, DIRECTORY).select("position", "doc_id").collect())
+    at, queues = Counter(), {}
+    for r in sorted(stages[3].collect(), key=lambda r: (md5(str(r.doc_id).encode()).hexdigest(), r.doc_id)):
+        queues.setdefault(r.source or "", []).append((at[r.source or ""], r.doc_id))
+        at[r.source or ""] += max(1, len((r.text or "").encode()))
+    weights = {s: isqrt(n) for s, n in at.items()}
+    blocks, following, slots, t, total = {s: -(-n // block) for s, n in at.items()}, Counter(), {}, 0, sum(weights.values())
+    while left := [s for s in weights if following[s] < blocks[s]]:
+        t = max(t, min(following[s] * total // weights[s] for s in left))
+        s = min((-(-(following[s] + 1) * total // weights[s]), s) for s in left if following[s] * total // weights[s] <= t)[1]
+        slots[s, following[s]] = t
+        following[s], t = following[s] + 1, t + 1
+    order = sorted((slots[s, begins // block], begins % block, d) for s, queue in queues.items() for begins, d in queue)
+    assert [r.doc_id for r in made] == [d for *_, d in order] and len({r.position for r in made}) == len(made)
+    assert len(slots) > 2 * len(weights)
