@@ -3,9 +3,10 @@
 The standard library's parser streams events over a page; block elements cut its text into lines. A line's
 ratio is its text, without that of links, over the tags in it. Ratios are smoothed with a Gaussian over
 neighbouring lines, and lines are clustered by a threshold, the spread of the smoothed ratios. Content
-regions are the containers that hold lines above it: articles where a page marks any, else the containers
-of the clustered lines with the most text. A chosen region is taken whole, so that short paragraphs and
-headings between long ones stay; menus, page headers and footers, sidebars, notices, adverts, forms, scripts
+region is the smallest container that holds all lines above it, with what is nested in it: among articles where
+a page marks any, else among those whose names say so, else among all; where no article holds all of them, the
+outermost ones that hold any are. A chosen region is taken whole, so that short paragraphs, headings and lists of
+links between long ones stay; menus, page headers and footers, sidebars, notices, adverts, forms, scripts
 and reader comments are left out, whether marked by their element, role, class or id, or hidden.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by a newline.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from fieldsync.llm.batches import each_text, give_back, ship_code
 
-#: Lines on each side and width of the Gaussian; a container's share of the largest one's text from which it is content too.
-REACH, WIDTH, SHARE = 4, 2.0, 0.25
+#: Lines on each side and width of the Gaussian.
+REACH, WIDTH = 4, 2.0
 #: Characters fed to the parser at once.
 FED = 1 << 16
 
@@ -68,8 +69,10 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, int, int, int]] = []
         self.parts: list[str] = []
         self.linked = self.tags = self.links = 0
-        self.containers = 0
+        #: The container around each; 0 is the page. A number is always greater than that of what is around it.
+        self.parents = [0]
         self.central: set[int] = set()
+        self.regions: set[int] = set()
 
     def cut(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -120,12 +123,13 @@ class Lines(HTMLParser):
                 or "display:none" in (given.get("style") or "").replace(" ", "").lower()
             )
         if tag in CONTAINERS:
-            self.containers += 1
-            container = self.containers
+            self.parents.append(container)
+            container = len(self.parents) - 1
             if marks & CENTRE:
                 self.central.add(container)
             if tag in REGIONS and not out:
                 article = container
+                self.regions.add(container)
         if tag == "a":
             self.links += 1
         self.stack.append((tag, out, container, article))
@@ -160,6 +164,26 @@ def smoothed(ratios: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(ratios, REACH), kernel / kernel.sum(), "valid")
 
 
+def below(parents: list[int], tops: set[int]) -> np.ndarray:
+    """Per container, whether it is one of `tops` or within one."""
+    out = np.zeros(len(parents), bool)
+    for c, parent in enumerate(parents):
+        out[c] = c in tops or (c > 0 and out[parent])
+    return out
+
+
+def smallest(parents: list[int], among: set[int], lines: np.ndarray) -> set[int]:
+    """The innermost of `among` that holds all lines (given by their containers), else the outermost ones that hold any."""
+    held = [0] * len(parents)
+    for c in lines:
+        held[c] += 1
+    for c in range(len(parents) - 1, 0, -1):
+        held[parents[c]] += held[c]
+    if whole := [c for c in among if held[c] == len(lines)]:
+        return {max(whole)}
+    return {c for c in among if held[c]}
+
+
 def main_text(html: str) -> str:
     """The main text of a page."""
     parser = Lines()
@@ -173,20 +197,18 @@ def main_text(html: str) -> str:
     own = np.array([*map(len, texts)]) - np.minimum(linked, [*map(len, texts)])
     ratios = smoothed(own / np.maximum(1, tags))
     # clustered by the spread of the ratios; a page of even lines is all content
-    dense = ratios >= min(ratios.std(), ratios.max())
+    dense = (ratios >= min(ratios.std(), ratios.max())) & (own > 0)
     container, article = np.array(container), np.array(article)
     if article.any():
-        region, candidates = article, {int(a) for a in article if a}
+        among, within = parser.regions, article > 0
     else:
-        region = container
-        candidates = {int(c) for c in container[dense]}
-        if central := candidates & parser.central:
-            candidates = central
-    size = {c: int(own[region == c].sum()) for c in candidates}
-    found = {c for c in candidates if dense[region == c].any()} or candidates
-    largest = max(size[c] for c in found)
-    chosen = [c for c in found if size[c] >= SHARE * largest]
-    kept = np.isin(region, chosen) & (own > 0)
+        among, within = {*range(len(parser.parents))}, np.ones(len(texts), bool)
+        central = below(parser.parents, parser.central)[container]
+        if (central & dense).any():
+            among, within = parser.central, central
+    wanted = dense & within if (dense & within).any() else within
+    chosen = smallest(parser.parents, among, container[wanted])
+    kept = below(parser.parents, chosen)[container]
     return "\n".join(texts[i] for i in np.flatnonzero(kept))
 
 

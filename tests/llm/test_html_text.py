@@ -51,3 +51,33 @@ def test_odd_rows(spark):
     made = with_main_text(spark.createDataFrame(rows, "page_id long, html string, url string")).collect()
     assert [(r.page_id, len(r.text)) for r in made] == [(1, 0), (2, 0), (2, 0), (None, 199_999)]
     assert with_main_text(spark.createDataFrame([], "page_id long, html string")).collect() == []
+
+
+MENU = "<div class=menu><a href=x>Home</a></div>"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (  # a plain container within a named one
+            f"<body>{MENU}<div class='post-content'><p>{LONG} 1<div class='box'><p>{LONG} 2</div><p>{LONG} 3</div><div>Imprint</div>",
+            f"{LONG} 1\n{LONG} 2\n{LONG} 3",
+        ),
+        (  # table cells and sections within a named one
+            f"<div class=entry><p>{LONG} 1<table><tr><td>{LONG} 2<td>b</table><section><p>{LONG} 3</section></div>",
+            f"{LONG} 1\n{LONG} 2\nb\n{LONG} 3",
+        ),
+        (  # short sections between long ones, without names
+            f"<body>{MENU}<div><section><p>{(LONG + ' ') * 20}1</section><section><p>Short.</section><section><p>{(LONG + ' ') * 20}3</section></div><div><a href=y>Imprint</a></div>",
+            f"{(LONG + ' ') * 20}1\nShort.\n{(LONG + ' ') * 20}3",
+        ),
+        (  # lists of links and linked references in an article
+            f"<article><p>{LONG} 1<ul><li><a href=a>Reference one</a><li><a href=b>Reference two</a></ul><p><a href=c>{LONG} 2</a></article><div><a href=y>Imprint</a></div>",
+            f"{LONG} 1\nReference one\nReference two\n{LONG} 2",
+        ),
+        (f"<main><p>{LONG} 1<article><p>{LONG} 2</article></main><div>Imprint</div>", f"{LONG} 1\n{LONG} 2"),
+        (f"<article><p>{LONG} 1</article><div>Imprint</div><article><p>{LONG} 2</article>", f"{LONG} 1\n{LONG} 2"),
+    ],
+)
+def test_regions_are_whole(page, text):
+    assert main_text(page) == text
