@@ -7,14 +7,15 @@ the document holds twice or more.
 Lines with a word are normalised (lower case, words joined by one space) and hashed. For each host the
 documents that hold a line are counted. Documents with the same set of lines count once, in the line's count
 and in the host's, so that copies don't make their own lines boilerplate; sets are compared whole. A line in at
-least `LINE_DOCUMENTS` documents and `LINE_SHARE` percent of its host's is removed; a document that keeps less
-than `LEFT` percent of its words is depleted and rejected.
+least `LINE_DOCUMENTS` documents and `LINE_SHARE` percent of its host's is removed from the text; a document
+that keeps less than `LEFT` percent of its words is depleted and rejected. Blank lines stay, and so does a text
+without such a line, as it is.
 
 Built from DataFrame functions only. The rules of a document need no shuffle; copies are
 dropped by a hash aggregate, lines counted in two steps, so a line that all documents hold is spread over tasks.
 
 A null or empty text has no words and fails. A null host is the host ''. Rows that repeat a `doc_id` are
-told apart by a hash of their text; equal rows share a verdict and count once. A null `doc_id` is a value
+told apart by the MD5 of their text; equal rows share a verdict and count once. A null `doc_id` is a value
 like others. An empty table gives an empty one.
 """
 
@@ -60,11 +61,12 @@ def covered_words(places: Column) -> Column:
 
 
 def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Per row: its key, the counts of the base rules, and `lines` (hash and words of each line with a word)."""
+    """Per row: its key, the counts of the base rules, `lines` (hash and place of each line with a word) and `raw`, the text as it came."""
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
-        F.hash(F.col(text)).alias("tie"),
+        F.md5(F.col(text)).alias("tie"),
         F.coalesce(F.col(host), F.lit("")).alias("host"),
+        F.col(text).alias("raw"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     rows = rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", window_hashes(F.col("words")))
@@ -74,10 +76,11 @@ def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
         lambda x, i: (i > 0) & (F.get("sorted", i - 1)["hash"] == x["hash"]) | (F.get("sorted", i + 1)["hash"] == x["hash"]),
     )
     rows = rows.withColumn("places", F.when(F.col("sorted").isNotNull(), F.sort_array(F.transform(again, lambda x: x["place"]))))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
-    rows = rows.withColumn("full_lines", lines)
+    placed = F.transform(F.split("text", "\n"), lambda x, i: F.struct(x.alias("line"), i.alias("at")))
+    placed = F.filter(placed, lambda x: F.length(F.translate(x["line"], " \t\n\x0b\x0c\r", "")) > 0)
+    rows = rows.withColumn("placed", placed).withColumn("full_lines", F.transform("placed", lambda x: x["line"]))
     normal = F.transform(
-        "full_lines", lambda x: F.struct(F.substring(F.md5(F.lower(F.array_join(words_of(x), " "))), 1, 16).alias("line"), F.size(words_of(x)).alias("words"))
+        "placed", lambda x: F.struct(F.substring(F.md5(F.lower(F.array_join(words_of(x["line"]), " "))), 1, 16).alias("line"), x["at"].alias("at"))
     )
     return rows.select(
         "doc_id",
@@ -89,6 +92,7 @@ def base_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host
         (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(F.when(F.col("places").isNotNull(), covered_words(F.col("places"))), F.lit(0)).cast("long").alias("n_repeat_words"),
         normal.alias("lines"),
+        "raw",
     )
 
 
@@ -103,17 +107,19 @@ def frequent_lines(ruled: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Per row its id, the counts of the base rules, `base_failed`, words removed with frequent lines, and `kept`."""
-    ruled = stage(base_rules(docs, doc_id, text, host), "quality-rules")
+    """Per row its id, the counts of the base rules, `cleaned` (the text without frequent lines), `words_removed` with them, `base_failed` and `kept`."""
+    ruled = base_rules(docs, doc_id, text, host)
     key = ["doc_id", "tie", "host"]
-    lines = ruled.select(*key, F.posexplode("lines").alias("at", "x"))
-    lines = lines.select(*key, "at", "x.line", "x.words").join(frequent_lines(ruled), ["host", "line"])
+    # the lines alone are staged: counts and texts are made once, where the result is
+    lined = stage(ruled.select(*key, "lines"), "quality-lines")
+    lines = lined.select(*key, F.explode("lines").alias("x")).select(*key, "x.at", "x.line").join(frequent_lines(lined), ["host", "line"])
     # a set, as equal rows hold the same lines at the same places
-    held = lines.groupBy(*key).agg(F.collect_set(F.struct("at", "words")).alias("held"))
-    removed = held.select(*key, F.aggregate("held", F.lit(0), lambda total, x: total + x["words"]).alias("words"))
-    base = ruled.drop("lines")
-    found = base.alias("b").join(removed.alias("r"), [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key], "left")
-    found = found.select("b.*", F.coalesce("r.words", F.lit(0)).alias("words_removed"))
+    held = lines.groupBy(*key).agg(F.collect_set("at").alias("held"))
+    found = ruled.drop("lines").alias("b").join(held.alias("r"), [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key], "left").select("b.*", "r.held")
+    left = F.array_join(F.filter(F.split("raw", "\n"), lambda x, i: ~F.array_contains("held", i)), "\n")
+    found = found.withColumn("cleaned", F.when(F.col("held").isNotNull(), left).otherwise(F.col("raw")))
+    gone = F.when(F.col("held").isNotNull(), F.col("n_words") - F.size(words_of(F.col("cleaned")))).otherwise(0)
+    found = found.withColumn("words_removed", gone.cast("long")).drop("raw", "held")
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
     depleted = 100 * (F.col("n_words") - F.col("words_removed")) < LEFT * F.col("n_words")
     return found.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~depleted)

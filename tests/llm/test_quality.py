@@ -69,3 +69,16 @@ def test_copies_are_no_part_of_the_host(documents):
     rows = [(i, f"{boiler}\n{words(f'own{i}_', 30)}", "h") for i in range(12)]
     made = judged(documents(rows + [(100 + i, words("copy", 25), "h") for i in range(1500)]))
     assert all(made[i].words_removed == 20 for i in range(12)) and made[100].kept
+
+
+def test_cleaned_texts(documents):
+    """Frequent lines go from the text itself; all else stays as it is."""
+    boiler = words("Shared", 30)
+    rows = [(i, f"{boiler}\n\n own{i}  {words(f'w{i}_', 60)}\r\n{boiler.lower()} \nend{i}\n", "h") for i in range(12)]
+    rows += [(50, f"no such line\n\n{words('x', 30)}", "h"), (51, None, "h"), (52, "", "h"), (None, f"{boiler}\none", "h"), (None, f"two\n{boiler}", "h")]
+    made = quality.judged(documents(rows)).collect()
+    texts = {r.doc_id: r.cleaned for r in made if r.doc_id is not None}
+    assert all(texts[i] == f"\n own{i}  {words(f'w{i}_', 60)}\r\nend{i}\n" for i in range(12))
+    assert texts[50] == rows[12][1] and texts[51] is None and texts[52] == ""
+    assert sorted(r.cleaned for r in made if r.doc_id is None) == ["one", "two"]
+    assert all(r.words_removed == 60 and r.kept for r in made if r.doc_id in range(12))
