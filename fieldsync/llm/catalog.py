@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, html_text, kmeans_tree, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import bpe, html_text, kmeans_tree, lm_bloom, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -112,6 +112,13 @@ def op10_runindex(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "removal.n_bytes", "removal.n_removed", "removal.n_spans", F.sha2("removal.kept", 256).alias("kept_sha256"))
 
 
+def op11_lm_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = lm_bloom.fitted(docs.where(~lm_bloom.held_out(F.col("doc_id"))))
+    scored = lm_bloom.scored(docs, model)
+    return scored.select("doc_id", lm_bloom.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -123,6 +130,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_superkmers": op8_superkmers,
     "op9_html_text": op9_html_text,
     "op10_runindex": op10_runindex,
+    "op11_lm_bloom": op11_lm_bloom,
 }
 
 ORACLES: dict[str, str] = {
