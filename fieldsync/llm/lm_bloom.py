@@ -43,13 +43,13 @@ from fieldsync.llm.heavy import threshold
 from fieldsync.sources.staging import stage
 
 #: Longest n-gram; base of the levels; weight of the shorter history; bits of filter an item.
-ORDER, BASE, MU, BITS = 2, 1.5, 50.0, 12
+ORDER, BASE, MU, BITS = 2, 1.5, 500.0, 10
 #: Words whose exact counts are broadcast, at most (16 bytes each); bytes of a filter that is broadcast.
 FREQUENT, BROADCAST = 1 << 18, 128 << 20
 #: Bytes of training text to a shard; bytes of text a task gathers before it sends; rows of a block of the dealt way.
 SHARD_BYTES, GATHERED, BLOCK_ROWS = 32 << 20, 16 << 20, 1 << 10
 #: Words remembered with their hash per Python worker.
-REMEMBERED = 1 << 20
+REMEMBERED = 200_000
 
 _ITEM = np.uint64(0x9E3779B97F4A7C15)
 _JOIN = np.uint64(0xD6E8FEB86659FD93)
@@ -148,7 +148,7 @@ _BOUNDS, VALUES = _levels()
 
 
 class Filter:
-    """The shards' bits, one after the other. An item has four bits in each of two words."""
+    """The shards' bits, one after the other. An item has three bits in each of two words."""
 
     def __init__(self, shards: list[np.ndarray]):
         self.bits = max(0, (len(shards) - 1).bit_length())
@@ -164,9 +164,9 @@ class Filter:
         first, second = offset + ((h >> np.uint64(32)) * size >> np.uint64(32)), offset + ((h & low) * size >> np.uint64(32))
         g = mixed(h ^ _JOIN)
         masks = []
-        for at in (0, 24):
+        for at in (0, 18):
             mask = np.zeros(len(keys), np.uint64)
-            for i in range(4):
+            for i in range(3):
                 mask |= np.uint64(1) << ((g >> np.uint64(at + 6 * i)) & np.uint64(63))
             masks.append(mask)
         return first, masks[0], second, masks[1]
@@ -224,7 +224,7 @@ def counted(texts: DataFrame, bits: int) -> DataFrame:
         for shard in range(1 << bits):
             a, b = cut[shard], cut[shard + 1]
             if b > a:
-                row = [pa.array([shard], pa.int32()), pa.array([n], pa.int32()), pa.array([held[a:b].tobytes()]), pa.array([sums[a:b].astype(np.int64).tobytes()])]
+                row = [pa.array([shard], pa.int32()), pa.array([n], pa.int32()), pa.array([held[a:b].tobytes()]), pa.array([sums[a:b].astype(np.int32).tobytes()])]
                 yield pa.RecordBatch.from_arrays(row, names=["shard", "n", "keys", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,7 +264,7 @@ def sharded(parts: DataFrame) -> DataFrame:
             rows = table.filter(pc.equal(table.column("n"), n))
             if rows.num_rows:
                 held = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("keys")]
-                sums = summed(held, [np.frombuffer(x.as_buffer(), np.int64) for x in rows.column("counts")])
+                sums = summed(held, [np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in rows.column("counts")])
                 words = sums if n == 1 else words
                 keys.append(sums[0])
                 levels.append(levels_of(sums[1]))
