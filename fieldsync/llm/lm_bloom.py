@@ -305,9 +305,12 @@ def fitted(docs: DataFrame, text: str = "text") -> Model:
     probed = None
     if held <= BROADCAST:
         parts = [np.zeros(1, np.uint64) for _ in range(1 << bits)]
-        for row in shards.select("shard", "bits").toArrow().to_pylist():  # `BROADCAST` bytes at most
-            parts[row["shard"]] = np.frombuffer(row["bits"], np.uint64)
-        probed = spark.sparkContext.broadcast(Filter(parts))
+        held_ = shards.select("shard", "bits").toArrow()  # `BROADCAST` bytes at most
+        for shard, words_ in zip(held_.column("shard").to_pylist(), held_.column("bits"), strict=True):
+            parts[shard] = np.frombuffer(words_.as_buffer(), np.uint64)
+        made_ = Filter(parts)
+        del held_, parts
+        probed = spark.sparkContext.broadcast(made_)
     return Model(shards, bits, probed, words, frequent, int(totals[0]), int(totals[1]))
 
 

