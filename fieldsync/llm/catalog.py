@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, html_text, kmeans_tree, lm_bloom, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import bpe, hard_negatives, html_text, kmeans_tree, lm_bloom, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
@@ -119,6 +119,12 @@ def op11_lm_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", lm_bloom.held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -131,6 +137,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_runindex": op10_runindex,
     "op11_lm_bloom": op11_lm_bloom,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
