@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldsync.llm import bpe, hard_negatives, html_text, kmeans_tree, lm_bloom, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
+from fieldsync.llm import alignment, bpe, hard_negatives, html_text, kmeans_tree, lm_bloom, mixing, quality, revisits, runindex, superkmers, toxicity, vptree
 from fieldsync.llm.batches import ship_code
 
 #: The tokenizer file of the registered queries; a parameter of the operator.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: The model that its tokens are aligned with.
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -125,6 +127,14 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(vectors, F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alignment.aligned(table(spark, sf_dir, "documents", "doc_id", "text"), TOKENIZER, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    made = made.withColumn("groups_sha256", digest).drop("groups")
+    counted = alignment.with_counts(made, alignment.pieces_of(PIECES))
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -138,6 +148,7 @@ REGISTERED: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_runindex": op10_runindex,
     "op11_lm_bloom": op11_lm_bloom,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
