@@ -4,7 +4,9 @@ A codes a space and the text, B the text (it puts the space before it itself). T
 both the space and the text; where they are not, or the text is null or empty, it has no tokens at all. The ends of A's tokens,
 in bytes, go into a dictionary from end to index, B's into another. The ends in both, sorted, cut the two id lists into
 groups. Within a group's slices the tokens whose bytes overlap are linked: each stretch between ends of either kind is
-one link.
+one link. A space between two visible characters begins a token in both vocabularies, so its place is an end in both
+dictionaries whatever surrounds it: texts are cut there, and what was found for a word is remembered for its next occurrence. A text
+with a word whose bytes don't come back is coded again as a whole.
 
 A pair of ids counts once per document that holds it linked, over the whole corpus: documents' distinct pairs are counted by
 a hash aggregate. Each document's links then get their pair's count: the pairs held by most documents, up to
@@ -19,8 +21,13 @@ empty one. Only the id and the text are read, so other columns may have any name
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
+from operator import itemgetter
 from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +41,10 @@ from fieldsync.sources.staging import stage
 
 #: Pairs whose counts are broadcast, at most.
 FREQUENT = 1 << 20
+#: Words remembered per Python worker, twice: those since the last clearing and those before it; bytes of text that are worked on at a time.
+REMEMBERED, STEP = 150_000, 1 << 20
+#: A space that begins a token in both vocabularies.
+WORD = re.compile(r"(?<=[^ ▁]) (?=[^\s▁])")
 
 
 class ByteLevel:
@@ -73,41 +84,99 @@ class Pieces:
         return self.model.encode(texts, num_threads=1)
 
 
+class Aligned(NamedTuple):
+    """Groups as text (`a1,a2|b1;a3|b2,b3`), the pair of each link as bytes, and the numbers of tokens."""
+
+    groups: str
+    links: bytes
+    n_a: int
+    n_b: int
+
+
+NONE = Aligned("", b"", 0, 0)
+
+
 class Aligner:
-    """Both tokenizers, and the bytes of each id."""
+    """Both tokenizers, the bytes of each id, and the words aligned lately."""
 
     def __init__(self, a: bytes, b: bytes):
         self.a, self.b = ByteLevel(a), Pieces(b)
-        self.lengths = [np.array([len(s) for s in x.strings], np.int64) for x in (self.a, self.b)]
+        self.lengths = [[len(s) for s in x.strings] for x in (self.a, self.b)]
         self.names = [[str(i) for i in range(len(x.strings))] for x in (self.a, self.b)]
+        #: No piece of B reaches from a word into the next.
+        self.cuts_words = not any(b" " in s.lstrip(b" ") for s in self.b.strings)
+        self.known: dict[str, Aligned | None] = {}
+        self.older: dict[str, Aligned | None] = {}
 
     def same(self, text: str, a: list[int], b: list[int]) -> bool:
         whole = b" " + text.encode()
         return b"".join(map(self.a.strings.__getitem__, a)) == whole == b"".join(map(self.b.strings.__getitem__, b))
 
-    def grouped(self, a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray, list[int], list[int]]:
-        """Ends of A's and of B's tokens; where the groups end in either list."""
-        ends = [np.cumsum(lengths[np.array(ids, np.int64)]) for lengths, ids in zip(self.lengths, (a, b), strict=True)]
-        at_a, at_b = (dict(zip(x.tolist(), range(1, len(x) + 1), strict=True)) for x in ends)
-        common = sorted(at_a.keys() & at_b.keys())
-        return *ends, [at_a[x] for x in common], [at_b[x] for x in common]
-
-    def links(self, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the A token and of the B token of each link, in order: a group's end is in both lists, so slices never mix."""
-        stretches = np.union1d(ends_a, ends_b)
-        return np.searchsorted(ends_a, stretches), np.searchsorted(ends_b, stretches)
-
-    def text_of(self, a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
-        """The groups as text: `a1,a2|b1;a3|b2,b3`."""
-        name_a, name_b = list(map(self.names[0].__getitem__, a)), list(map(self.names[1].__getitem__, b))
-        made, i, k = [], 0, 0
-        for j, m in zip(cuts_a, cuts_b, strict=True):
+    def align(self, a: list[int], b: list[int]) -> Aligned:
+        """Groups and links of two codings of the same bytes."""
+        (length_a, length_b), (name_a, name_b), size = self.lengths, self.names, len(self.b.strings)
+        at_a = dict(zip(accumulate([length_a[x] for x in a]), range(1, len(a) + 1), strict=True))
+        at_b = dict(zip(accumulate([length_b[x] for x in b]), range(1, len(b) + 1), strict=True))
+        groups, links, i, k = [], [], 0, 0
+        for end in sorted(at_a.keys() & at_b.keys()):
+            j, m = at_a[end], at_b[end]
             if j - i == 1 and m - k == 1:
-                made.append(f"{name_a[i]}|{name_b[k]}")
+                x, y = a[i], b[k]
+                groups.append(f"{name_a[x]}|{name_b[y]}")
+                links.append(x * size + y)
             else:
-                made.append(f"{','.join(name_a[i:j])}|{','.join(name_b[k:m])}")
+                groups.append(f"{','.join([name_a[x] for x in a[i:j]])}|{','.join([name_b[y] for y in b[k:m]])}")
+                if j - i == 1:
+                    links += [a[i] * size + y for y in b[k:m]]
+                elif m - k == 1:
+                    links += [x * size + b[k] for x in a[i:j]]
+                else:
+                    links += self.overlapping(a[i:j], b[k:m])
             i, k = j, m
-        return ";".join(made)
+        return Aligned(";".join(groups), array("q", links).tobytes(), len(a), len(b))
+
+    def overlapping(self, a: list[int], b: list[int]) -> list[int]:
+        """Links of one group: of two tokens that share bytes, the one that ends first makes way."""
+        (length_a, length_b), size = self.lengths, len(self.b.strings)
+        links, k, end_a, end_b = [], 0, 0, length_b[b[0]]
+        for x in a:
+            begin, end_a = end_a, end_a + length_a[x]
+            if end_b <= begin:
+                k += 1
+                end_b += length_b[b[k]]
+            links.append(x * size + b[k])
+            while end_b < end_a:
+                k += 1
+                end_b += length_b[b[k]]
+                links.append(x * size + b[k])
+        return links
+
+    def of(self, texts: list[str]) -> list[Aligned | None]:
+        """Of each text; None if its bytes don't come back."""
+        return [self.align(a, b) if self.same(t, a, b) else None for t, a, b in zip(texts, self.a.encode(texts), self.b.encode(texts), strict=True)]
+
+    def batch(self, texts: list[str]) -> list[Aligned]:
+        """Of each text, by words; texts that are empty or don't come back have nothing."""
+        if not self.cuts_words:
+            return [x if x is not None and t else NONE for t, x in zip(texts, self.of(texts), strict=True)]
+        cut = [WORD.split(t) if t else [] for t in texts]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        unknown = set(chain.from_iterable(cut)).difference(known)
+        known.update({w: older[w] for w in unknown.intersection(older)})
+        unknown = [w for w in unknown if w not in older]
+        known.update(zip(unknown, self.of(unknown), strict=True))
+        made = []
+        for text, words in zip(texts, cut, strict=True):
+            parts = list(map(known.__getitem__, words))
+            if None in parts:
+                (whole,) = self.of([text])
+                made.append(whole if whole is not None else NONE)
+            else:
+                counts = (sum(map(itemgetter(i), parts)) for i in (2, 3))
+                made.append(Aligned(";".join(map(itemgetter(0), parts)), b"".join(map(itemgetter(1), parts)), *counts))
+        return made
 
 
 _aligners: dict[int, Aligner] = {}
@@ -122,7 +191,7 @@ def aligner_of(files) -> Aligner:
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, a and b (ids), `groups` (as text), n_groups, n_links, and its linked pairs: `pairs` (a * B's size + b) and how often (`times`)."""
+    """Per row: doc_id, n_a, n_b, n_groups, n_links, `groups` (as text: `a1,a2|b1;a3|b2,b3`), and its linked pairs: `pairs` (a * B's size + b) and how often (`times`)."""
     spark = docs.sparkSession
     ship_code(spark)
     files = spark.sparkContext.broadcast((Path(path_a).read_bytes(), Path(path_b).read_bytes()))
@@ -130,28 +199,24 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", t
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = aligner_of(files)
-        size_b = len(aligner.b.strings)
         for batch in batches:
-            for first, n in cuts(batch.column(1)):
-                texts = texts_of(batch.column(1).slice(first, n))
-                made = {"n_a": [], "n_b": [], "n_groups": [], "n_links": [], "groups": []}
-                pairs, times = [], []
-                for t, a, b in zip(texts, aligner.a.encode(texts), aligner.b.encode(texts), strict=True):
-                    if not t or not aligner.same(t, a, b):
-                        a, b = [], []
-                    ends_a, ends_b, cuts_a, cuts_b = aligner.grouped(a, b)
-                    at_a, at_b = aligner.links(ends_a, ends_b)
-                    key, held = np.unique(np.array(a, np.int64)[at_a] * size_b + np.array(b, np.int64)[at_b], return_counts=True)
-                    pairs.append(key)
-                    times.append(held)
-                    for column, value in zip(made, (len(a), len(b), len(cuts_a), len(at_a), aligner.text_of(a, b, cuts_a, cuts_b)), strict=True):
-                        made[column].append(value)
+            for first, n in cuts(batch.column(1), STEP):
+                made = aligner.batch(texts_of(batch.column(1).slice(first, n)))
+                links = [np.frombuffer(x.links, np.int64) for x in made]
+                pairs, times = zip(*(np.unique(x, return_counts=True) for x in links), strict=True)
                 ends = pa.array(np.cumsum([0, *map(len, pairs)], dtype=np.int32))
-                columns = {"doc_id": batch.column(0).slice(first, n)} | {c: pa.array(x, pa.string() if c == "groups" else pa.int64()) for c, x in made.items()}
-                columns["pairs"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pairs)))
-                columns["times"] = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times).astype(np.int32)))
+                columns = {
+                    "doc_id": batch.column(0).slice(first, n),
+                    "n_a": pa.array([x.n_a for x in made], pa.int64()),
+                    "n_b": pa.array([x.n_b for x in made], pa.int64()),
+                    "n_groups": pa.array([x.groups.count("|") for x in made], pa.int64()),
+                    "n_links": pa.array(list(map(len, links)), pa.int64()),
+                    "groups": pa.array([x.groups for x in made], pa.string()),
+                    "pairs": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(pairs))),
+                    "times": pa.ListArray.from_arrays(ends, pa.array(np.concatenate(times).astype(np.int32))),
+                }
                 yield pa.RecordBatch.from_pydict(columns)
-                del made, pairs, times, columns
+                del made, links, pairs, times, columns
         give_back()
 
     kind = dict(rows.dtypes)["doc_id"]
