@@ -42,7 +42,7 @@ from fieldsync.sources.staging import stage
 #: Pairs whose counts are broadcast, at most.
 FREQUENT = 1 << 20
 #: Words remembered per Python worker, twice: those since the last clearing and those before it; bytes of text that are worked on at a time.
-REMEMBERED, STEP = 150_000, 1 << 20
+REMEMBERED, STEP = 350_000, 1 << 20
 #: A space that begins a token in both vocabularies.
 WORD = re.compile(r"(?<=[^ ▁]) (?=[^\s▁])")
 
