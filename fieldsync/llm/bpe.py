@@ -19,6 +19,8 @@ import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from functools import cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -31,14 +33,27 @@ from fieldsync.llm.batches import cuts, give_back, ship_code, texts_of
 
 #: How byte-level vocabularies cut a text, as published with them. A fixed value.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Code points that the regex library's Unicode tables don't know may be letters to the tokenizer.
-UNKNOWN = regex.compile(r"\p{Cn}")
 #: A space before white space, or at the end: only there may a piece hold more than a leading space.
 LOOSE = re.compile(r" (?:\s|\Z)")
 #: Words remembered per Python worker, twice: those since the last clearing and those before it.
 REMEMBERED = 200_000
 #: Longer words are coded but not remembered.
 REMEMBERED_LENGTH = 64
+#: Code points that may be a letter, a digit or white space: the planes between hold no characters, the last two are private. Fixed values.
+PLANES = (range(0x80, 0xD800), range(0xE000, 0x40000), range(0xE0000, 0xE1000))
+
+
+@cache
+def told_apart() -> frozenset[str]:
+    """Characters that the regex library and the tokenizers library, by their Unicode tables, hold for different kinds: letter, digit, white space or none."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    library, found = ByteLevel(add_prefix_space=False), set()
+    for c in map(chr, chain(*PLANES)):
+        probe = f"a{c}1{c}!{c}"  # cut in another way for each kind
+        if [probe[a:b] for _, (a, b) in library.pre_tokenize_str(probe)] != PIECE.findall(probe):
+            found.add(c)
+    return frozenset(found)
 
 
 def byte_characters() -> dict[str, int]:
@@ -70,7 +85,9 @@ class Memory(dict):
 class Coder:
     """Encode and decode single texts."""
 
-    def __init__(self, described: bytes):
+    def __init__(self, described: bytes, apart: frozenset[str]):
+        """The tokenizer's file, and the characters that only its library cuts as it should."""
+        self.apart = apart
         tokenizer = json.loads(described)
         vocabulary = tokenizer["model"]["vocab"]
         bytes_of = byte_characters()
@@ -131,7 +148,7 @@ class Coder:
 
     def cut(self, text: str) -> bytes:
         """Ids of a text as 32-bit numbers, cut into pieces."""
-        if not text.isascii() and UNKNOWN.search(text):
+        if not text.isascii() and not self.apart.isdisjoint(text):
             from tokenizers.pre_tokenizers import ByteLevel
 
             cuts = [text[a:b] for _, (a, b) in ByteLevel(add_prefix_space=False).pre_tokenize_str(text)]
@@ -163,13 +180,13 @@ def coder_of(described) -> Coder:
     """One coder per Python worker and broadcast vocabulary."""
     key = hash(described.value)
     if key not in _coders:
-        _coders[key] = Coder(described.value)
+        _coders[key] = Coder(*described.value)
     return _coders[key]
 
 
 def vocabulary(spark: SparkSession, path: str):
-    """Broadcast a tokenizer file: a vocabulary of fixed size, whatever the corpus."""
-    return spark.sparkContext.broadcast(Path(path).read_bytes())
+    """Broadcast a tokenizer file, with the characters that libraries differ on: of fixed size, whatever the corpus."""
+    return spark.sparkContext.broadcast((Path(path).read_bytes(), told_apart()))
 
 
 def coded(text: Column, described) -> Column:

@@ -16,7 +16,7 @@ def library():
     return Tokenizer.from_file(TOKENIZER)
 
 
-CODER = bpe.Coder(open(TOKENIZER, "rb").read())
+CODER = bpe.Coder(open(TOKENIZER, "rb").read(), bpe.told_apart())
 
 
 def same(library, text):
@@ -39,6 +39,16 @@ def test_any_text(library, text):
     same(library, text)
 
 
+def test_every_code_point(library):
+    """Each one after a letter, a digit and a sign, and before an apostrophe: as the library cuts it."""
+    points = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    lines = ["".join(f"{c}'s a{c}'ll 1{c}2!{c} {c}x" for c in points[i : i + 16]) for i in range(0, len(points), 16)]
+    for first in range(0, len(lines), 4096):
+        part = lines[first : first + 4096]
+        for text, coded in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            assert CODER.encode(text).tolist() == coded.ids, repr(text)
+
+
 def test_memory_runs_over(library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 3)
     same(library, " ".join(f"word{i % 11} other{i % 7}" for i in range(200)))
