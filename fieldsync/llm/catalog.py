@@ -172,14 +172,14 @@ WITH docs AS (
 ), hashed AS (
     SELECT doc_id, host, raw, len(words) AS n, substr(md5(lower(array_to_string(words, ' '))), 1, 16) AS line FROM lines
 ), held AS (
-    SELECT doc_id, any_value(host) AS host, list_sort(list(DISTINCT line)) AS ordered, count(*) - count(DISTINCT raw) AS n_dup FROM hashed GROUP BY doc_id
-), told AS (
-    SELECT DISTINCT host, line, CASE WHEN line = ordered[1] THEN ordered[2] ELSE ordered[1] END AS a,
-        CASE WHEN line = ordered[-1] THEN CASE WHEN len(ordered) > 1 THEN ordered[-2] END ELSE ordered[-1] END AS b
-    FROM (SELECT host, ordered, unnest(ordered) AS line FROM held)
+    SELECT d.doc_id, any_value(d.host) AS host, coalesce(list_sort(list(DISTINCT line) FILTER (line IS NOT NULL)), []) AS ordered,
+        count(raw) - count(DISTINCT raw) AS n_dup
+    FROM docs d LEFT JOIN hashed h USING (doc_id) GROUP BY d.doc_id
+), apart AS (
+    SELECT DISTINCT host, ordered FROM held
 ), frequent AS (
-    SELECT host, line FROM (SELECT host, line, count(*) AS n FROM told GROUP BY 1, 2)
-    JOIN (SELECT host, count(*) AS n_host FROM docs GROUP BY 1) USING (host)
+    SELECT host, line FROM (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(ordered) AS line FROM apart) GROUP BY 1, 2)
+    JOIN (SELECT host, count(*) AS n_host FROM apart GROUP BY 1) USING (host)
     WHERE n >= {quality.LINE_DOCUMENTS} AND 100 * n >= {quality.LINE_SHARE} * n_host
 ), removed AS (
     SELECT doc_id, sum(n) AS n FROM hashed JOIN frequent USING (host, line) GROUP BY 1

@@ -13,6 +13,9 @@ without such a line, as it is.
 
 Built from DataFrame functions only. The rules of a document need no shuffle; copies are
 dropped by a hash aggregate, lines counted in two steps, so a line that all documents hold is spread over tasks.
+A host has at most 100 / `LINE_SHARE` times as many frequent lines as its documents have on average. They are gathered
+per host, counted, and broadcast if there are no more than `GATHERED`, so that texts stay where they are; else the places of frequent
+lines are joined to the texts.
 
 A null or empty text has no words and fails. A null host is the host ''. Rows that repeat a `doc_id` are
 told apart by the MD5 of their text; equal rows share a verdict and count once. A null `doc_id` is a value
@@ -31,6 +34,8 @@ WINDOW = 8
 LEAST_WORDS, REPEATED = 20, 30
 #: Documents of a host, and percentage of them, from which a line is removed; percentage of words that must be left.
 LINE_DOCUMENTS, LINE_SHARE, LEFT = 10, 1, 30
+#: Frequent lines that are broadcast, of all hosts and of one, at most; beyond that texts are joined with the places of theirs.
+GATHERED, GATHERED_HOST = 500_000, 5_000
 
 SPACE = r"[ \t-\r]+"
 SYMBOLS = "#*$%&|<>"
@@ -106,16 +111,36 @@ def frequent_lines(ruled: DataFrame) -> DataFrame:
     return common.where(100 * F.col("n") >= LINE_SHARE * F.col("n_host")).select("host", "line")
 
 
+def held_by_host(ruled: DataFrame, frequent: DataFrame) -> DataFrame:
+    """`ruled` with `held`, the places of frequent lines: looked up in those of the row's host."""
+    gathered = frequent.groupBy("host").agg(F.collect_list("line").alias("frequent"))
+    found = ruled.join(F.broadcast(gathered), "host", "left").select(*ruled.columns, "frequent")
+    common = F.array_intersect(F.transform("lines", lambda x: x["line"]), "frequent")
+    found = found.withColumn("common", F.when(F.col("frequent").isNotNull(), common))
+    places = F.transform(F.filter("lines", lambda x: F.array_contains("common", x["line"])), lambda x: x["at"])
+    return found.withColumn("held", F.when(F.size("common") > 0, places)).drop("lines", "frequent", "common")
+
+
+def held_by_row(ruled: DataFrame, lined: DataFrame, frequent: DataFrame, key: list[str]) -> DataFrame:
+    """The same by joins of lines, and of their places with the texts."""
+    lines = lined.select(*key, F.explode("lines").alias("x")).select(*key, "x.at", "x.line").join(frequent, ["host", "line"])
+    # a set, as equal rows hold the same lines at the same places
+    held = lines.groupBy(*key).agg(F.collect_set("at").alias("held"))
+    return ruled.drop("lines").alias("b").join(held.alias("r"), [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key], "left").select("b.*", "r.held")
+
+
 def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """Per row its id, the counts of the base rules, `cleaned` (the text without frequent lines), `words_removed` with them, `base_failed` and `kept`."""
     ruled = base_rules(docs, doc_id, text, host)
     key = ["doc_id", "tie", "host"]
-    # the lines alone are staged: counts and texts are made once, where the result is
+    # the lines alone are staged, for the counts over documents
     lined = stage(ruled.select(*key, "lines"), "quality-lines")
-    lines = lined.select(*key, F.explode("lines").alias("x")).select(*key, "x.at", "x.line").join(frequent_lines(lined), ["host", "line"])
-    # a set, as equal rows hold the same lines at the same places
-    held = lines.groupBy(*key).agg(F.collect_set("at").alias("held"))
-    found = ruled.drop("lines").alias("b").join(held.alias("r"), [F.col(f"b.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key], "left").select("b.*", "r.held")
+    frequent = stage(frequent_lines(lined), "quality-frequent")
+    size = frequent.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.coalesce(F.max("n"), F.lit(0)).alias("most")).first()
+    if size["all"] <= GATHERED and size["most"] <= GATHERED_HOST:
+        found = held_by_host(ruled, frequent)
+    else:
+        found = held_by_row(ruled, lined, frequent, key)
     left = F.array_join(F.filter(F.split("raw", "\n"), lambda x, i: ~F.array_contains("held", i)), "\n")
     found = found.withColumn("cleaned", F.when(F.col("held").isNotNull(), left).otherwise(F.col("raw")))
     gone = F.when(F.col("held").isNotNull(), F.col("n_words") - F.size(words_of(F.col("cleaned")))).otherwise(0)

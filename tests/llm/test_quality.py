@@ -82,3 +82,32 @@ def test_cleaned_texts(documents):
     assert texts[50] == rows[12][1] and texts[51] is None and texts[52] == ""
     assert sorted(r.cleaned for r in made if r.doc_id is None) == ["one", "two"]
     assert all(r.words_removed == 60 and r.kept for r in made if r.doc_id in range(12))
+
+
+def templated(documents):
+    """Documents of one host that share most lines, copies among them, and one without lines."""
+    rows = [(i, "\n".join(words(f"menu{k}_", 4) for k in range(30) if (i * 7 + k) % 5) + f"\n{words(f'own{i}_', 9)}", "h") for i in range(200)]
+    rows += [(1000 + i, f"{words('copy', 25)}\n{words('of it', 7)}", "h") for i in range(200)] + [(2000, "\n \n", "h"), (2001, None, "h"), (2002, "", "g")]
+    return documents(rows)
+
+
+def test_sql_states_the_rule(documents):
+    """Query and SQL on a host where most lines are shared by different documents."""
+    import duckdb
+
+    from fieldsync.llm.catalog import ORACLES
+
+    docs = templated(documents)
+    documents_ = docs.select("doc_id", "text", "source").toPandas()  # noqa: F841
+    result = duckdb.sql(ORACLES["op3_line_frequency"].replace("FROM documents", "FROM documents_"))
+    columns = [c[0] for c in result.description]
+    made = {tuple(r) for r in quality.judged(docs).select(*columns).collect()}
+    assert made == set(result.fetchall()) and any(r[-1] for r in made) and not all(r[-1] for r in made)
+
+
+def test_both_ways_agree(documents, monkeypatch, odd_rows):
+    """Frequent lines gathered per host or joined by line: the same rows."""
+    docs = templated(documents).unionByName(documents(odd_rows))
+    gathered = sorted(quality.judged(docs).collect(), key=repr)
+    monkeypatch.setattr(quality, "GATHERED_HOST", 1)
+    assert sorted(quality.judged(docs).collect(), key=repr) == gathered
