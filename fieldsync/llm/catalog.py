@@ -51,7 +51,7 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    return mixing.scheduled(docs, mixing.tempered_weights(docs), rounded=True).select("doc_id", "source", "mix.*")
+    return mixing.scheduled(docs, mixing.tempered_weights(docs)).select("doc_id", "source", "mix.*")
 
 
 def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,34 +200,26 @@ WITH RECURSIVE docs AS (
     SELECT doc_id, source, coalesce(source, '') AS s, greatest(1, coalesce(strlen(text), 0)) AS size, md5(coalesce(doc_id::VARCHAR, '')) AS h, md5(text) AS m
     FROM documents
 ), sized AS (
-    SELECT s, floor(sqrt(sum(size)::DOUBLE))::BIGINT AS weight FROM docs GROUP BY 1
-), shared AS (
-    SELECT s, weight * (period - m) // total AS base, weight * (period - m) % total AS rest, period, m
-    FROM sized, (SELECT sum(weight)::BIGINT AS total, count(*) AS m, greatest({mixing.PERIOD}, 4 * count(*)) AS period FROM sized)
-), weighed AS (
-    SELECT s, base + 1 + CASE WHEN row_number() OVER (ORDER BY rest DESC, s) <= period - m - sum(base) OVER () THEN 1 ELSE 0 END AS weight, period FROM shared
+    SELECT s, greatest(1, floor(sqrt(sum(size)::DOUBLE))::BIGINT) AS weight, ((sum(size) + {mixing.BLOCK - 1}) // {mixing.BLOCK})::BIGINT AS n FROM docs GROUP BY 1
 ), listed AS (
-    SELECT list(weight::BIGINT ORDER BY s) AS w, max(period) AS period FROM weighed
+    SELECT list(weight ORDER BY s) AS w, list(n ORDER BY s) AS n, sum(weight)::BIGINT AS total, sum(n)::BIGINT AS blocks FROM sized
 ), ran AS (
-    SELECT -1::BIGINT AS t, list_transform(w, lambda x: 0::BIGINT) AS following, NULL::BIGINT AS source FROM listed
+    SELECT 0::BIGINT AS step, -1::BIGINT AS t, list_transform(w, lambda x: 0::BIGINT) AS following, NULL::BIGINT AS source, NULL::BIGINT AS block FROM listed
     UNION ALL
-    SELECT t + 1, list_transform(following, lambda n, i: CASE WHEN i = chosen THEN n + 1 ELSE n END), chosen
+    SELECT step + 1, best.slot, list_transform(following, lambda x, i: CASE WHEN i = best.i THEN x + 1 ELSE x END), best.i, following[best.i]
     FROM (
-        SELECT t, following, period, list_min(list_filter(list_transform(w, lambda x, i:
-            CASE WHEN following[i] * period // x <= t + 1 THEN ((following[i] + 1) * period + x - 1) // x * 100000 + i END), lambda x: x IS NOT NULL)) % 100000 AS chosen
-        FROM ran, listed WHERE t + 1 < period
+        SELECT step, following, list_min(list_filter(list_transform(w, lambda x, i: CASE WHEN following[i] < n[i] THEN
+            {{'slot': greatest(following[i] * total // x, t + 1), 'deadline': ((following[i] + 1) * total + x - 1) // x, 'i': i}} END), lambda x: x IS NOT NULL)) AS best
+        FROM ran, listed WHERE step < blocks
     )
-), numbered AS (
-    SELECT t, source, row_number() OVER (PARTITION BY source ORDER BY t) - 1 AS k FROM ran WHERE t >= 0
 ), sources AS (
-    SELECT s, weight, period, row_number() OVER (ORDER BY s) AS i FROM weighed
+    SELECT s, weight, row_number() OVER (ORDER BY s) AS i FROM sized
 ), placed AS (
     SELECT doc_id, source, s, coalesce(sum(size) OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST, m NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begins FROM docs
 )
-SELECT doc_id, p.source, begins // {mixing.BLOCK} AS block, begins // {mixing.BLOCK} * period // weight AS release,
-    ((begins // {mixing.BLOCK} + 1) * period + weight - 1) // weight AS deadline,
-    begins // {mixing.BLOCK} // weight * period + t AS slot, begins % {mixing.BLOCK} AS place
-FROM placed p JOIN sources USING (s) JOIN numbered n ON n.source = i AND k = begins // {mixing.BLOCK} % weight
+SELECT doc_id, p.source, p.begins // {mixing.BLOCK} AS block, p.begins // {mixing.BLOCK} * total // weight AS release,
+    ((p.begins // {mixing.BLOCK} + 1) * total + weight - 1) // weight AS deadline, r.t AS slot, p.begins % {mixing.BLOCK} AS place
+FROM placed p JOIN sources USING (s) JOIN ran r ON r.source = i AND r.block = p.begins // {mixing.BLOCK}, listed
 """,
     "op5_revisits": r"""
 WITH captures AS (

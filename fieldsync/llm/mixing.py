@@ -25,8 +25,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of a block; slots of a rounded period at least (more for very many sources); rows of a range of the hash, about.
-BLOCK, PERIOD, RANGE = 1 << 18, 1_000, 20_000
+#: Bytes of a block; rows of a range of the hash, about.
+BLOCK, RANGE = 1 << 18, 20_000
 #: Blocks that are worked out before they are added to the list of all.
 STRETCH = 500
 
@@ -43,35 +43,6 @@ def sized(text: str):
     return F.greatest(F.lit(1), F.coalesce(F.octet_length(F.col(text)), F.lit(0))).cast("long")
 
 
-def quantised(weights: DataFrame, period: int) -> DataFrame:
-    """One row per source: weights that add up to the period, one at least, by largest remainders."""
-    listed = weights.agg(F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("list"), F.sum("weight").alias("total"))
-    share = f"x.weight * ({period} - size(list))"
-    listed = listed.select(F.expr(f"transform(list, x -> struct(x.source AS source, {share} div total AS base, {share} % total AS rest))").alias("list"))
-    by_rest = F.expr("transform(array_sort(transform(list, x -> struct(-x.rest AS rest, x.source AS source))), x -> x.source)")
-    left = F.expr(f"CAST({period} - size(list) - aggregate(list, 0L, (given, x) -> given + x.base) AS int)")
-    listed = listed.select("list", F.slice(by_rest, F.lit(1), F.greatest(left, F.lit(0))).alias("more"))
-    return listed.select(F.expr("transform(list, x -> struct(x.source AS source, x.base + 1 + IF(array_contains(more, x.source), 1, 0) AS weight))").alias("weights"))
-
-
-def schedule(weights: DataFrame, period: int) -> DataFrame:
-    """source, weight and the slots (sorted) of its blocks in the first period: earliest deadline first among released blocks, slot by slot."""
-    earliest = f"""array_min(transform(weights, (w, i) ->
-        IF(so_far.next[i] * {period}L div w.weight <= t,
-           struct(((so_far.next[i] + 1) * {period}L + w.weight - 1) div w.weight AS deadline, i AS source), NULL)))"""
-    run = F.expr(
-        f"""aggregate(sequence(0L, {period - 1}L),
-            struct(transform(weights, w -> 0L) AS next, CAST(array() AS array<int>) AS ran),
-            (so_far, t) -> transform(array({earliest}), b -> struct(
-                transform(so_far.next, (n, i) -> IF(i = b.source, n + 1L, n)) AS next,
-                concat(so_far.ran, array(b.source)) AS ran))[0],
-            so_far -> so_far.ran)"""
-    )
-    ran = quantised(weights, period).select("weights", run.alias("ran"))
-    slots = F.expr("transform(weights, (w, s) -> struct(w.source AS source, w.weight AS weight, filter(transform(ran, (x, t) -> IF(x = s, CAST(t AS bigint), NULL)), t -> t IS NOT NULL) AS slots))")
-    return ran.select(F.explode(slots).alias("x")).select("x.*")
-
-
 def completed(weights: DataFrame, sizes: DataFrame) -> DataFrame:
     """source, weight, size (bytes) of all sources that are listed in `weights` or lie in `sizes`."""
     given = weights.groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(F.sum("weight").cast("long").alias("weight"))
@@ -104,13 +75,9 @@ def placed(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def scheduled(
-    docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", block: int = BLOCK, out: str = "mix", rounded: bool = False
+    docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", block: int = BLOCK, out: str = "mix"
 ) -> DataFrame:
-    """`docs` with a column `out`: block (of its source), release, deadline and slot of the block, place (byte at which the document begins in the block).
-
-    `rounded` takes the weights rounded to a period of `PERIOD` slots that repeats, as the SQL of op4_pfair does;
-    sources then drift from the weights as given.
-    """
+    """`docs` with a column `out`: block (of its source), release, deadline and slot of the block, place (byte at which the document begins in the block)."""
     n = docs.count()
     digits = max(1, math.ceil(math.log(max(1, n / RANGE), 16)))
     hashed = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
@@ -121,12 +88,7 @@ def scheduled(
     ranges = ranges.select(_SOURCE, _RANGE, "size", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias(_BEFORE))
     touched = F.sequence(F.expr(f"{_BEFORE} div {block}L"), F.expr(f"({_BEFORE} + size - 1) div {block}L"))
     sizes, ranges = completed(weights, sizes), ranges.select(_SOURCE, _RANGE, _BEFORE, F.explode(touched).alias("block"))
-    if rounded:
-        period = max(PERIOD, 4 * weights.count())
-        plan = schedule(sizes.select("source", "weight"), period).withColumn("total", F.lit(period).cast("long")).withColumnRenamed("source", _SOURCE)
-        ranges = ranges.join(plan, _SOURCE).withColumn("slot", F.expr("block div weight * total + slots[CAST(block % weight AS int)]"))
-    else:
-        ranges = ranges.join(placed(sizes, block).withColumnRenamed("source", _SOURCE), [_SOURCE, "block"])
+    ranges = ranges.join(placed(sizes, block).withColumnRenamed("source", _SOURCE), [_SOURCE, "block"])
     # each range carries the slots of the blocks it touches, from its first one on
     ranges = ranges.groupBy(_SOURCE, _RANGE, _BEFORE, "weight", "total").agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "slot"))), lambda x: x["slot"]).alias("slots"))
     within = Window.partitionBy(_SOURCE, _RANGE).orderBy(F.col(_ORDER), F.col(doc_id), F.md5(F.col(text))).rowsBetween(Window.unboundedPreceding, -1)

@@ -8,29 +8,6 @@ import pytest
 from fieldsync.llm import mixing
 
 
-@pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 70, "b": 20, "c": 10}, {"a": 1}, {f"s{i}": i + 1 for i in range(13)}, {"a": 10**9, "b": 1}])
-def test_less_than_a_block(spark, weights):
-    period = 101
-    plan = mixing.schedule(spark.createDataFrame([*weights.items()], "source string, weight long"), period).collect()
-    share = {r.source: r.weight for r in plan}
-    assert sum(share.values()) == period and set(share) == set(weights)
-    slots = {t: r.source for r in plan for t in r.slots}
-    assert sorted(slots) == [*range(period)]
-    had = Counter()
-    for t in range(period):
-        had[slots[t]] += 1
-        for s, w in share.items():
-            assert abs(had[s] - Fraction(w * (t + 1), period)) < 1
-    for r in plan:
-        for k, t in enumerate(r.slots):
-            assert k * period // r.weight <= t < -(-(k + 1) * period // r.weight)
-
-
-def test_shares_are_near_the_targets(spark):
-    weights = spark.createDataFrame([("a", 600), ("b", 300), ("c", 99), ("d", 1)], "source string, weight long")
-    assert {r.source: r.weight for r in mixing.schedule(weights, 1000).collect()} == {"a": 598, "b": 300, "c": 100, "d": 2}
-
-
 def test_order_of_documents(spark, documents):
     rows = [(i, "x" * (50 + i % 7), "ab"[i % 5 == 0]) for i in range(400)]
     docs = documents(rows)
