@@ -81,3 +81,33 @@ MENU = "<div class=menu><a href=x>Home</a></div>"
 )
 def test_regions_are_whole(page, text):
     assert main_text(page) == text
+
+
+ARTICLE = f"<h1>Head</h1><p>{LONG} 1</p><p>Short.</p><p>{LONG} 2</p>"
+TEXT = f"Head\n{LONG} 1\nShort.\n{LONG} 2"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<body><div class='layout has-sidebar'>{MENU}<div>{ARTICLE}</div></div>", TEXT),
+        (f"<body><div id='page' class='site no-sidebar'><div>{ARTICLE}</div><div class=sidebar><p>{LONG}</div></div>", TEXT),
+        (f"<body>{MENU}<div class='article share-enabled'>{ARTICLE}</div><div class=widget>{LONG}</div>", TEXT),
+        (f"<body><form id='aspnetForm'>{MENU}<div>{ARTICLE}</div></form>", TEXT),
+        (f"<body><div class='widget-page'><div class=promo>{LONG}</div><div>{ARTICLE}</div></div>", TEXT),
+        (f"<body><div class='form-wrapper'>{ARTICLE}<form>Sign up</form><div id=comments><p>{LONG * 30}</div></div>", TEXT),
+        (f"<body><div><a href=x>Home</a><a href=y>About</a></div><div><p>{LONG} 1</div><div><p>{LONG} 2</div><div><a href=z>Imprint</a></div>", f"{LONG} 1\n{LONG} 2"),
+        (f"<body><article class='related-post'>{ARTICLE}</article><div class='related'>{LONG}</div>", TEXT),
+    ],
+)
+def test_names_are_no_verdict(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize("page", ["<b>" * 200_000 + "x" + "</i>" * 200_000, "<b><div>" + "<i>" * 100_000 + "x" + "</b>" * 100_000, "<i>" * 100_000 + "<p>x</p>" * 100_000, "x<!-- " + "y" * 8_000_000, "<li><b>" * 100_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 30
