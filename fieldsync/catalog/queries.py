@@ -18,6 +18,7 @@ from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
 from fieldsync.sources.outbox import append_run, land_api, land_raw, returned, with_defaults
 from fieldsync.sources.staging import stage, staging_root
+from fieldsync.sources.tables import empty
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTERED: dict[str, Query] = {}
@@ -96,10 +97,20 @@ def install_returned(spark, sf_dir):
     """What a push hands back for sending, once it is in the outbox."""
     inputs = d.installs(spark, sf_dir)
     path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
-    written = append_run(installs.install_push(inputs)["delta"], "install_outbox", path, "first", "id", inputs["install_outbox"])
+    written = append_run(installs.install_push(inputs)["delta"], "install_outbox", path, "first", "id", inputs["install_outbox"]).written
     return returned(written).select("url", "codepart", *members("json1", installs.PAYLOAD))
 
 
+@query
+def outbox_rejects(spark, sf_dir):
+    """Messages of very long documents through the outbox: written with an id, or refused with a reason."""
+    texts = d.given(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("distnid"), F.repeat("text", 10).alias("request"))
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
+    run = append_run(texts, "install_outbox", path, "first", "id", empty(spark, "install_outbox"))
+    taken = run.written.select("distnid", F.char_length("request").alias("chars"), F.when(F.col("id") > 0, "written").alias("outcome"))
+    return taken.unionByName(run.rejected.select("distnid", F.char_length("request").alias("chars"), F.col("reject_reason").alias("outcome")))
+
+
 @query
 def install_repush(spark, sf_dir):
     delta = installs.install_repush(d.installs(spark, sf_dir))["delta"]

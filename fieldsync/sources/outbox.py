@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldsync.functions.documents import member
 from fieldsync.operators.keyed import highest, latest_per_key
@@ -53,38 +56,60 @@ def with_serial(outbox: DataFrame) -> DataFrame:
     return outbox.withColumn("serial_number", kept)
 
 
-def too_long(rows: DataFrame) -> DataFrame:
-    """Rows the declared length of the outbox refuses: `append_run` leaves them out."""
-    return rows.where(F.char_length("request") > MAX_DOCUMENT)
+class Run(NamedTuple):
+    """What a run has written, and the rows it refused, with `reject_reason`."""
+
+    written: DataFrame
+    rejected: DataFrame
+
+
+#: Why the outbox refuses a row.
+TOO_LONG = "request_too_long"
+
+
+def reject_reason(columns: list[str]) -> Column:
+    """Why the declared length of the outbox refuses a row; null if it takes it."""
+    refused = [F.col(c).isNotNull() & (F.char_length(c) > MAX_DOCUMENT) for c in ("request",) if c in columns]
+    return F.when(refused[0], F.lit(TOO_LONG)) if refused else F.lit(None).cast("string")
+
+
+def _written(spark: SparkSession, folder: str, declared: StructType) -> DataFrame | None:
+    """Rows of a folder; None if it isn't there."""
+    try:
+        return spark.read.schema(declared).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
-def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: str, known: DataFrame) -> DataFrame:
-    """Append a delta under its run id, give the rows ids above the known ones, return what was written.
+def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: str, known: DataFrame) -> Run:
+    """Append a delta under its run id, give the rows ids above the known ones, return what was written and what was refused.
 
     Ids only have to be unique and to rise from run to run, as with a sequence:
     above the highest known id, dense within each task's rows. They exist in
     the written files alone: the returned rows are read back, never computed
     again. A run that has written rows stays as it is, so that a rerun, whose
     delta is blocked by its own messages, gives back what the first one sent.
-    Rows whose request is too long are left out (`too_long` tells them).
+    Rows whose request is too long get no id and go to the run's own folder under
+    `_rejected`, which readers of the outbox skip; a rerun gives them back too.
     Rows lie in the order of their message type, and a job writes one type, so
     that a reader of one type skips the other files by their statistics.
     """
     spark = rows.sparkSession
     declared = schema(table)
-    folder = f"{path}/run_id={run_id}"
-    try:
-        written = spark.read.schema(declared).parquet(folder)
-        if not written.isEmpty():
-            return written
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folder, refused = f"{path}/run_id={run_id}", f"{path}/_rejected/run_id={run_id}"
+    refusable = StructType([f for f in declared.fields if f.name != id_column]).add("reject_reason", "string")
+    if (written := _written(spark, folder, declared)) is not None and not written.isEmpty():
+        rejected = _written(spark, refused, refusable)
+        return Run(written, spark.createDataFrame([], refusable) if rejected is None else rejected)
     filled = with_defaults(rows, table, id_column)
-    if "request" in filled.columns:
-        filled = filled.where(F.col("request").isNull() | (F.char_length("request") <= MAX_DOCUMENT))
+    filled = filled.withColumn("reject_reason", reject_reason(filled.columns))
     # The delta may read the outbox: it is settled before the folder is touched.
     at = F.monotonically_increasing_id()
+    everything = stage(filled, "run-rows")
+    everything.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(refused)
+    filled = everything.where(F.col("reject_reason").isNull()).drop("reject_reason")
     settled = stage(filled.withColumns({"_task": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))}), "run")
     earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
     before = settled.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
@@ -93,7 +118,7 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
     if "type_id" in numbered.columns:
         numbered = numbered.sortWithinPartitions("type_id")
     numbered.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(declared).parquet(folder)
+    return Run(spark.read.schema(declared).parquet(folder), spark.read.schema(refusable).parquet(refused))
 
 
 def read_outbox(spark, path: str, table: str) -> DataFrame:

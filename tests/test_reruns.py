@@ -31,7 +31,7 @@ def test_rerun(spark, tmp_path, name):
 
     def run(run_id):
         log = outbox.read_outbox(spark, path, table)
-        written = outbox.append_run(job({**given, table: log}), table, path, run_id, id_column, log)
+        written = outbox.append_run(job({**given, table: log}), table, path, run_id, id_column, log).written
         return sorted(written.drop("created_datetime").collect(), key=lambda r: r[id_column])
 
     first = run("one")

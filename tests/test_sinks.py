@@ -17,10 +17,10 @@ def test_append_gives_dense_rising_ids(spark, make, tmp_path):
     path = str(tmp_path / "outbox")
     delta = spark.range(50).select(F.col("id").cast("int").alias("distnid"), F.lit('{"a":1}').alias("request"), F.lit(106).alias("type_id"))
     known = make("install_outbox", dict(id=100))
-    first = outbox.append_run(delta.repartition(4), "install_outbox", path, "r1", "id", known)
+    first = outbox.append_run(delta.repartition(4), "install_outbox", path, "r1", "id", known).written
     assert sorted(r["id"] for r in first.collect()) == [*range(101, 151)]
     log = outbox.read_outbox(spark, path, "install_outbox")
-    second = outbox.append_run(delta, "install_outbox", path, "r2", "id", log)
+    second = outbox.append_run(delta, "install_outbox", path, "r2", "id", log).written
     assert sorted(r["id"] for r in second.collect()) == [*range(151, 201)]
     assert outbox.read_outbox(spark, path, "install_outbox").count() == 100
     sent = outbox.returned(second).first()
@@ -30,10 +30,10 @@ def test_append_gives_dense_rising_ids(spark, make, tmp_path):
 def test_a_written_run_stays(spark, make, tmp_path):
     path = str(tmp_path / "outbox")
     delta = spark.range(50).select(F.col("id").cast("int").alias("distnid"), F.lit("{}").alias("request"))
-    first = outbox.append_run(delta, "install_outbox", path, "r1", "id", make("install_outbox"))
-    again = outbox.append_run(delta.limit(0), "install_outbox", path, "r1", "id", outbox.read_outbox(spark, path, "install_outbox"))
+    first = outbox.append_run(delta, "install_outbox", path, "r1", "id", make("install_outbox")).written
+    again = outbox.append_run(delta.limit(0), "install_outbox", path, "r1", "id", outbox.read_outbox(spark, path, "install_outbox")).written
     assert sorted(first.collect()) == sorted(again.collect()) and outbox.read_outbox(spark, path, "install_outbox").count() == 50
-    empty_run = outbox.append_run(delta.limit(0), "install_outbox", path, "r2", "id", outbox.read_outbox(spark, path, "install_outbox"))
+    empty_run = outbox.append_run(delta.limit(0), "install_outbox", path, "r2", "id", outbox.read_outbox(spark, path, "install_outbox")).written
     assert empty_run.isEmpty()
 
 
@@ -45,11 +45,29 @@ def test_types_are_skipped_by_statistics(spark, make, tmp_path):
     assert changed.count() == 3 and "EqualTo(type_id,103)" in changed._jdf.queryExecution().toString()
 
 
-def test_long_requests_are_left_out(spark, make, tmp_path):
-    rows = spark.range(2).select(F.when(F.col("id") == 0, F.repeat(F.lit("x"), outbox.MAX_DOCUMENT + 1)).otherwise("y").alias("request"))
-    assert outbox.too_long(rows).count() == 1
-    written = outbox.append_run(rows, "install_outbox", str(tmp_path / "o"), "r", "id", make("install_outbox"))
-    assert [r["request"] for r in written.collect()] == ["y"]
+def test_long_requests_come_back(spark, make, tmp_path):
+    """Refused with a reason, in the run and in its rerun, and never among the messages."""
+    path = str(tmp_path / "o")
+    rows = spark.range(3).select(F.col("id").cast("int").alias("distnid"), F.when(F.col("id") == 0, F.repeat(F.lit("x"), outbox.MAX_DOCUMENT + 1)).when(F.col("id") == 1, F.repeat(F.lit("é"), outbox.MAX_DOCUMENT)).alias("request"))
+    for delta in (rows, rows.limit(0)):
+        run = outbox.append_run(delta, "install_outbox", path, "r", "id", make("install_outbox"))
+        assert sorted((r["id"], r["distnid"]) for r in run.written.collect()) == [(1, 1), (2, 2)]
+        assert [(r["distnid"], len(r["request"]), r["reject_reason"]) for r in run.rejected.collect()] == [(0, outbox.MAX_DOCUMENT + 1, outbox.TOO_LONG)]
+    assert outbox.read_outbox(spark, path, "install_outbox").count() == 2
+    clean = outbox.append_run(rows.where("distnid = 2"), "install_outbox", path, "r2", "id", outbox.read_outbox(spark, path, "install_outbox"))
+    assert clean.rejected.isEmpty() and [r["id"] for r in clean.written.collect()] == [3]
+
+
+def test_landings_are_runs(spark, make, tmp_path):
+    """Raw payloads are written with ids; the same run again leaves them as they are."""
+    pulls = spark.createDataFrame([("a", "{}"), ("b", "[]")], "name string, payload string")
+    for shaped, table, id_column in ((outbox.land_raw(pulls, "payload", "contractors"), "master_landing", "mcd_id"), (outbox.land_api(pulls, "payload", "receipt", "CRV"), "api_landing", "crvid")):
+        path = str(tmp_path / table)
+        for _ in range(2):
+            written = outbox.append_run(shaped, table, path, "r1", id_column, make(table)).written
+            assert sorted((r[id_column], r["details"]) for r in written.collect()) in ([(1, "[]"), (2, "{}")], [(1, "{}"), (2, "[]")])
+        more = outbox.append_run(shaped, table, path, "r2", id_column, outbox.read_outbox(spark, path, table)).written
+        assert sorted(r[id_column] for r in more.collect()) == [3, 4] and outbox.read_outbox(spark, path, table).count() == 4
 
 
 def test_acknowledgements(make):
