@@ -273,9 +273,8 @@ WITH {SURVEYS}
 SELECT id AS responselogid, 'document does not parse' AS reject_reason FROM surveys
 WHERE prio <> '5-LOW' AND ok AND bad AND node IN (SELECT c_custkey FROM customer)""",
     "outbox_rejects": """
-SELECT doc_id::INTEGER AS distnid, 10 * length(text)::INTEGER AS chars,
-       CASE WHEN 10 * length(text) > 500000 THEN 'request_too_long' ELSE 'written' END AS outcome
-FROM documents""",
+SELECT distnid, chars, CASE WHEN chars > 500000 THEN 'request_too_long' ELSE 'written' END AS outcome
+FROM (SELECT doc_id::INTEGER AS distnid, (length(text) * CASE WHEN doc_id % 50 = 0 THEN 300 ELSE 1 END)::INTEGER AS chars FROM documents)""",
     "install_repush": f"""
 WITH {SURVEYS},
 usable AS (

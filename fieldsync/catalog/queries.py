@@ -104,7 +104,8 @@ def install_returned(spark, sf_dir):
 @query
 def outbox_rejects(spark, sf_dir):
     """Messages of very long documents through the outbox: written with an id, or refused with a reason."""
-    texts = d.given(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("distnid"), F.repeat("text", 10).alias("request"))
+    longer = F.when(F.col("doc_id") % 50 == 0, F.repeat("text", 300)).otherwise(F.col("text"))
+    texts = d.given(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("distnid"), longer.alias("request"))
     path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
     run = append_run(texts, "install_outbox", path, "first", "id", empty(spark, "install_outbox"))
     taken = run.written.select("distnid", F.char_length("request").alias("chars"), F.when(F.col("id") > 0, "written").alias("outcome"))
