@@ -36,7 +36,7 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 #: A space before white space, or at the end: only there may a piece hold more than a leading space.
 LOOSE = re.compile(r" (?:\s|\Z)")
 #: Words remembered per Python worker, twice: those since the last clearing and those before it.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 #: Longer words are coded but not remembered.
 REMEMBERED_LENGTH = 64
 #: Code points that may be a letter, a digit or white space: the planes between hold no characters, the last two are private. Fixed values.
