@@ -275,6 +275,9 @@ WHERE prio <> '5-LOW' AND ok AND bad AND node IN (SELECT c_custkey FROM customer
     "outbox_rejects": """
 SELECT distnid, chars, CASE WHEN chars > 500000 THEN 'request_too_long' ELSE 'written' END AS outcome
 FROM (SELECT doc_id::INTEGER AS distnid, (length(text) * CASE WHEN doc_id % 50 = 0 THEN 300 ELSE 1 END)::INTEGER AS chars FROM documents)""",
+    "outbox_two_runs": """
+SELECT DISTINCT o_custkey::INTEGER AS distnid, 1::BIGINT AS messages, 1::BIGINT AS same_id
+FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT'""",
     "install_repush": f"""
 WITH {SURVEYS},
 usable AS (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from fieldsync.operators.pivot import wide_by_key
 from fieldsync.operators.previous import previous_flagged
 from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
-from fieldsync.sources.outbox import append_run, land_api, land_raw, returned, with_defaults
+from fieldsync.sources.outbox import append_run, land_api, land_raw, read_outbox, returned, with_defaults
 from fieldsync.sources.staging import stage, staging_root
 from fieldsync.sources.tables import empty
 
@@ -112,6 +113,25 @@ def outbox_rejects(spark, sf_dir):
     return taken.unionByName(run.rejected.select("distnid", F.char_length("request").alias("chars"), F.col("reject_reason").alias("outcome")))
 
 
+@query
+def outbox_two_runs(spark, sf_dir):
+    """Two runs at once into one outbox, whose customers overlap: a customer gets one message, and no id is given twice."""
+    orders = d.given(spark, sf_dir, "orders").select(F.col("o_custkey").cast("int").alias("distnid"), "o_orderstatus", "o_orderpriority")
+    halves = {"closed": F.col("o_orderstatus") == "F", "urgent": F.col("o_orderpriority") == "1-URGENT"}
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
+    nothing = empty(spark, "install_outbox")
+
+    def run(name):
+        delta = orders.where(halves[name]).select("distnid").distinct()
+        return append_run(delta, "install_outbox", path, name, "id", nothing, unique=[["distnid"]])
+
+    with ThreadPoolExecutor(len(halves)) as pool:
+        list(pool.map(run, halves))
+    log = read_outbox(spark, path, "install_outbox")
+    alike = log.groupBy("id").agg(F.count(F.lit(1)).alias("same_id"))
+    return log.join(alike, "id").groupBy("distnid").agg(F.count(F.lit(1)).alias("messages"), F.max("same_id").alias("same_id"))
+
+
 @query
 def install_repush(spark, sf_dir):
     delta = installs.install_repush(d.installs(spark, sf_dir))["delta"]

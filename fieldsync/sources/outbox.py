@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -10,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fieldsync.functions.documents import member
-from fieldsync.operators.keyed import highest, latest_per_key
+from fieldsync.operators.keyed import absent, highest, latest_per_key
 from fieldsync.schemas import schema
+from fieldsync.sources import runlog
 from fieldsync.sources.staging import stage
 
 # Fixed value: longest request or response the outbox tables take.
@@ -83,48 +86,101 @@ def _written(spark: SparkSession, folder: str, declared: StructType) -> DataFram
         return None
 
 
-def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: str, known: DataFrame) -> Run:
+def log_head(spark: SparkSession, path: str) -> int:
+    """Number of the newest run of the outbox: taken before the log is read, it tells `append_run` what the delta has seen."""
+    return runlog.head(spark, f"{path}/_log")
+
+
+def _runs(spark: SparkSession, path: str, declared: StructType, runs: list[runlog.Entry]) -> DataFrame:
+    """Rows of these runs, with their run id."""
+    folders = [f"{path}/{run['folder']}" for run in runs if run["written"]]
+    if not folders:
+        return spark.createDataFrame([], declared)
+    return spark.read.schema(declared).option("basePath", f"{path}/_runs").parquet(*folders).select(*declared.names)
+
+
+def _told(spark: SparkSession, path: str, run: runlog.Entry, declared: StructType, refusable: StructType) -> Run:
+    refused = spark.read.schema(refusable).parquet(f"{path}/{run['refused']}") if run["refused"] else spark.createDataFrame([], refusable)
+    return Run(_runs(spark, path, declared, [run]), refused)
+
+
+def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: str, known: DataFrame, unique: Sequence[Sequence[str]] = (), seen: int = 0) -> Run:
     """Append a delta under its run id, give the rows ids above the known ones, return what was written and what was refused.
 
-    Ids only have to be unique and to rise from run to run, as with a sequence:
-    above the highest known id, dense within each task's rows. They exist in
-    the written files alone: the returned rows are read back, never computed
-    again. A run that has written rows stays as it is, so that a rerun, whose
+    Runs may write the same outbox at once. Ids come from ranges that are claimed
+    for one run each, above the highest known id; they are unique, rise from claim to claim,
+    and some may stay unused, as with a sequence. A run's rows lie in a folder of their own until it
+    claims the next entry of the outbox's log, which makes them visible in one step: a
+    run that dies before leaves nothing to be seen.
+    `unique` names key columns that no two runs may both write, such as `[["distnid"]]`: when other runs have got
+    in since entry `seen` (`log_head` before the log was read; 0 checks all runs), rows whose keys those runs wrote are left out,
+    as if conflicting rows were inserted with nothing done. Unknown keys don't conflict; keys within the run are the job's affair.
+
+    A run that has written or refused rows stays as it is, so that a rerun, whose
     delta is blocked by its own messages, gives back what the first one sent.
-    Rows whose request is too long get no id and go to the run's own folder under
-    `_rejected`, which readers of the outbox skip; a rerun gives them back too.
+    Rows whose request is too long get no id and are kept with the run; a rerun gives them back too.
     Rows lie in the order of their message type, and a job writes one type, so
     that a reader of one type skips the other files by their statistics.
     """
     spark = rows.sparkSession
     declared = schema(table)
-    folder, refused = f"{path}/run_id={run_id}", f"{path}/_rejected/run_id={run_id}"
     refusable = StructType([f for f in declared.fields if f.name != id_column]).add("reject_reason", "string")
-    if (written := _written(spark, folder, declared)) is not None and not written.isEmpty():
-        rejected = _written(spark, refused, refusable)
-        return Run(written, spark.createDataFrame([], refusable) if rejected is None else rejected)
+    log = f"{path}/_log"
+    checked = runlog.head(spark, log)
+    before = runlog.entries(spark, log, upto=checked)
+    if done := [run for run in before if run["run_id"] == run_id]:
+        return _told(spark, path, done[0], declared, refusable)
+    attempt = f"run_id={run_id}/attempt={uuid.uuid4().hex}"
     filled = with_defaults(rows, table, id_column)
     filled = filled.withColumn("reject_reason", reject_reason(filled.columns))
-    # The delta may read the outbox: it is settled before the folder is touched.
-    at = F.monotonically_increasing_id()
+    # The delta may read the outbox: it is settled before the log is claimed.
     everything = stage(filled, "run-rows")
-    everything.where(F.col("reject_reason").isNotNull()).write.mode("overwrite").parquet(refused)
-    filled = everything.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    settled = stage(filled.withColumns({"_task": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))}), "run")
-    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
-    before = settled.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    first = F.lit(highest(known, id_column) + 1).cast("long")
-    numbered = settled.join(before, "_task").select((first + F.col("_before") + F.col("_row")).alias(id_column), *filled.columns)
-    if "type_id" in numbered.columns:
-        numbered = numbered.sortWithinPartitions("type_id")
-    numbered.write.mode("overwrite").parquet(folder)
-    return Run(spark.read.schema(declared).parquet(folder), spark.read.schema(refusable).parquet(refused))
+    refused = everything.where(F.col("reject_reason").isNotNull())
+    kept = everything.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    at = F.monotonically_increasing_id()
+    settled = stage(kept.withColumns({"_task": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))}), "run")
+    n_refused, n_kept = refused.count(), settled.count()
+    content = {"run_id": run_id, "folder": f"_runs/{attempt}", "refused": f"_rejected/{attempt}" if n_refused else None}
+    if n_refused:
+        refused.write.parquet(f"{path}/{content['refused']}")
+    numbered = settled.select(*kept.columns)
+    if n_kept:
+        earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+        so_far = settled.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        first = F.lit(runlog.claim_range(spark, f"{path}/_ids", n_kept, highest(known, id_column))).cast("long")
+        numbered = settled.join(so_far, "_task").select((first + F.col("_before") + F.col("_row")).alias(id_column), *kept.columns)
+    newer, n_written = before[seen:], None
+    while True:
+        if n_written is None or (n_written and unique and newer):
+            others = _runs(spark, path, declared, newer) if unique and newer else None
+            for keys in unique if others is not None else ():
+                numbered = absent(numbered, others, list(keys))
+            if n_written is not None:
+                runlog.discard(spark, f"{path}/{content['folder']}")
+            n_written = n_kept
+            if n_kept:
+                in_order = numbered.sortWithinPartitions("type_id") if "type_id" in numbered.columns else numbered
+                in_order.write.parquet(f"{path}/{content['folder']}")
+                n_written = spark.read.schema(declared).parquet(f"{path}/{content['folder']}").count()
+        if not n_written and not n_refused:
+            return Run(spark.createDataFrame([], declared), spark.createDataFrame([], refusable))
+        if runlog.claim(spark, log, checked + 1, {**content, "written": n_written}):
+            return _told(spark, path, {**content, "written": n_written}, declared, refusable)
+        newer = runlog.entries(spark, log, after=checked)
+        checked = newer[-1]["entry"]
+        if done := [run for run in newer if run["run_id"] == run_id]:
+            for folder in (content["folder"], content["refused"]):
+                if folder:
+                    runlog.discard(spark, f"{path}/{folder}")
+            return _told(spark, path, done[0], declared, refusable)
 
 
 def read_outbox(spark, path: str, table: str) -> DataFrame:
-    """All runs, with their run id."""
+    """All runs, with their run id: those of the log, and folders `run_id=...` that were put there by hand."""
     declared = schema(table).add("run_id", "string")
-    return spark.read.schema(declared).parquet(path)
+    logged = _runs(spark, path, declared, runlog.entries(spark, f"{path}/_log"))
+    given = _written(spark, path, declared)
+    return logged if given is None else given.unionByName(logged)
 
 
 def acknowledged(outbox: DataFrame, acknowledgements: DataFrame, id_column: str) -> DataFrame:

@@ -1,8 +1,10 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
 from fieldsync.schemas import TABLES, schema
-from fieldsync.sources import outbox, snapshots, staging
+from fieldsync.sources import outbox, runlog, snapshots, staging
 from fieldsync.sources.tables import empty, read_tables
 
 
@@ -70,6 +72,59 @@ def test_landings_are_runs(spark, make, tmp_path):
         assert sorted(r[id_column] for r in more.collect()) == [3, 4] and outbox.read_outbox(spark, path, table).count() == 4
 
 
+def _messages(spark, first, last):
+    return spark.range(first, last).select(F.col("id").cast("int").alias("distnid"), F.lit("{}").alias("request"))
+
+
+def test_log_numbers_are_claimed_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert runlog.head(spark, log) == 0 and runlog.entries(spark, log) == []
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: runlog.claim(spark, log, 1, {"by": i}), range(8)))
+    assert sum(won) == 1 and runlog.entries(spark, log) == [{"by": won.index(True), "entry": 1}]
+    assert not list(tmp_path.glob("log/.draft-*"))
+    with ThreadPoolExecutor(8) as pool:
+        firsts = list(pool.map(lambda n: runlog.claim_range(spark, str(tmp_path / "ids"), n, 100), range(1, 9)))
+    ranges = [i for n, first in enumerate(firsts, 1) for i in range(first, first + n)]
+    assert sorted(ranges) == [*range(101, 137)]
+
+
+def test_a_run_that_gets_in_between(spark, make, tmp_path, monkeypatch):
+    """The later claimant looks again: what the other run wrote since falls, ids stay unique, nobody sees it before its entry."""
+    path = str(tmp_path / "outbox")
+    nothing, claim, others = make("install_outbox"), runlog.claim, []
+
+    def late(session, folder, number, content):
+        if folder.endswith("_log") and not others:
+            others.append(True)
+            assert outbox.read_outbox(session, path, "install_outbox").isEmpty()
+            outbox.append_run(_messages(session, 30, 60), "install_outbox", path, "other", "id", nothing)
+        return claim(session, folder, number, content)
+
+    monkeypatch.setattr(runlog, "claim", late)
+    run = outbox.append_run(_messages(spark, 0, 50).repartition(3), "install_outbox", path, "one", "id", nothing, unique=[["distnid"]])
+    assert sorted(r["distnid"] for r in run.written.collect()) == [*range(30)]
+    log = outbox.read_outbox(spark, path, "install_outbox").collect()
+    assert {r["distnid"]: r["run_id"] for r in log} == {i: "one" if i < 30 else "other" for i in range(60)}
+    assert len(log) == len({r["id"] for r in log}) == 60
+    assert len(list(tmp_path.glob("outbox/_runs/run_id=*/attempt=*"))) == 2
+    seen = outbox.log_head(spark, path)
+    assert seen == 2
+    more = outbox.append_run(_messages(spark, 55, 65), "install_outbox", path, "more", "id", nothing, unique=[["distnid"]])
+    assert sorted(r["distnid"] for r in more.written.collect()) == [*range(60, 65)]
+    told = outbox.append_run(_messages(spark, 0, 2), "install_outbox", path, "trusting", "id", nothing, unique=[["distnid"]], seen=outbox.log_head(spark, path))
+    assert told.written.count() == 2
+
+
+def test_one_run_id_twice_at_once(spark, make, tmp_path):
+    path = str(tmp_path / "outbox")
+    nothing = make("install_outbox")
+    with ThreadPoolExecutor(2) as pool:
+        runs = list(pool.map(lambda _: outbox.append_run(_messages(spark, 0, 20), "install_outbox", path, "same", "id", nothing).written.collect(), range(2)))
+    assert sorted(runs[0]) == sorted(runs[1]) and len(runs[0]) == 20
+    assert outbox.read_outbox(spark, path, "install_outbox").count() == 20
+
+
 def test_acknowledgements(make):
     log = make("install_outbox", dict(id=1, status=False), dict(id=2, status=False, response="old"), dict(id=3, status=False))
     told = make("acknowledgement", dict(seq=1, message_id=1, status=False, response="busy"), dict(seq=2, message_id=1, status=True, response="done"), dict(seq=3, message_id=2, status=True))
