@@ -350,6 +350,12 @@ WITH {LEDGER}
 SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
        CAST(qty AS DECIMAL(38,4)) AS qty
 FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)""",
+    "stock_incremental": f"""
+WITH {LEDGER}
+SELECT CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
+       CAST(qty AS DECIMAL(38,4)) AS qty, CAST(coalesce(n, 0) AS BIGINT) AS serials
+FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1)
+LEFT JOIN (SELECT slot, sum(copies) AS n FROM held WHERE copies > 0 GROUP BY slot) USING (slot)""",
     "stock_shared_serials": f"""
 WITH RECURSIVE {SHARED_LEDGER}
 SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,

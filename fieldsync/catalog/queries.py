@@ -19,6 +19,7 @@ from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
 from fieldsync.sources.outbox import append_run, land_api, land_raw, read_outbox, returned, with_defaults
 from fieldsync.sources.staging import stage, staging_root
+from fieldsync.sources.state import read_state, start_state
 from fieldsync.sources.tables import empty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +280,22 @@ def stock_shared_serials(spark, sf_dir):
     return _ledger(spark, sf_dir, d.shared_serial)["stock"].select("stock_rid", "mat_rid", "holder_rid", "qty")
 
 
+@query
+def stock_incremental(spark, sf_dir):
+    """Stock rows and serials after all events in two batches, each of which writes its changes beside the base."""
+    root = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/state-{uuid.uuid4().hex}"
+    opening = d.stock_state(spark, sf_dir)
+    start_state(spark, root, opening, stock.STATE_KEYS)
+    receipts, returns = d.receipt_events(spark, sf_dir), d.return_events(spark, sf_dir)
+    half = keyed.highest(receipts, "seq") // 2
+    for run_id, part in (("first", F.col("seq") <= half), ("second", F.col("seq") > half)):
+        stock.change_stock(spark, root, run_id, opening, receipts.where(part), returns.where(part), share=None)
+    state = read_state(spark, root, stock.STATE_KEYS)
+    held = state["stock_serials"].groupBy("stock_rid").agg(F.count(F.lit(1)).alias("serials"))
+    rows = state["stock"].join(held, "stock_rid", "left")
+    return rows.select("mat_rid", "holder_rid", "qty", F.coalesce("serials", F.lit(0)).cast("long").alias("serials"))
+
+
 @query
 def receipt_log_once(spark, sf_dir):
     logged = stock.receipt_log_delta(d.receipt_events(spark, sf_dir), d.stock_logs(spark, sf_dir)["receipt_log"])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldsync.config import BULK, DEVICE_ATTRIBUTES, SERIALISED, StockConfig
@@ -13,9 +13,12 @@ from fieldsync.operators.ledger import closing, counted_balance, fold_quantities
 from fieldsync.operators.running import BLOCK_ROWS
 from fieldsync.operators.scd import replace_current
 from fieldsync.sources.staging import stage
+from fieldsync.sources.state import COMPACT_AT, Change, change_state
 
 Inputs = dict[str, DataFrame]
 
+#: What the rows of the stock state are changed by.
+STATE_KEYS = {"stock": ("stock_rid",), "stock_serials": ("stock_rid", "serial_no")}
 
 TOO_MUCH = "quantity out of range"
 
@@ -316,7 +319,7 @@ def stock_ledger(
 ) -> dict[str, DataFrame]:
     """Fold a batch of receipts and returns, ordered by `seq`, into the stock state.
 
-    Gives the new `stock` and `stock_serials` snapshots, every movement with
+    Gives the new `stock` and `stock_serials` snapshots, the `changes` that lead to them, every movement with
     the quantity after it, the plain `balance`, and the rejected events.
     """
     # The events, which may be wide, are read and checked once; all else works on a few columns.
@@ -383,9 +386,12 @@ def stock_ledger(
         effects.where(F.col("seq") > 0).select("cell", "stock_id", "delta").unionByName(on_hand_cells),
         bulk.select("stock_id", amount.alias("amount")).unionByName(opening_bulk),
     )
+    old = inputs["stock_serials"]
+    serials = _serials_change(old, resolved, effects)
     return {
-        "stock": _stock_snapshot(inputs, resolved, end, cfg),
-        "stock_serials": _serials_snapshot(inputs, resolved, effects),
+        "stock": _stock_rows(inputs["stock"], resolved, end, cfg),
+        "stock_serials": old.join(serials.removed, ["stock_rid", "serial_no"], "left_anti").unionByName(serials.added),
+        "changes": {"stock": _stock_change(inputs["stock"], touched, resolved, end, cfg), "stock_serials": serials},
         "movements": movements.where(F.col("seq") > 0),
         "closing": end,
         "balance": balance,
@@ -393,8 +399,8 @@ def stock_ledger(
     }
 
 
-def _stock_snapshot(inputs: Inputs, resolved: DataFrame, end: DataFrame, cfg: StockConfig) -> DataFrame:
-    old = inputs["stock"]
+def _stock_rows(old: DataFrame, resolved: DataFrame, end: DataFrame, cfg: StockConfig) -> DataFrame:
+    """The old rows and the new ones, with the quantity after the batch."""
     opened = F.when(F.col("alone"), F.when(F.col("kind") == "R", F.lit(1)).otherwise(F.col("quantity")))
     new = resolved.where("is_new").select("stock_id", "mat_rid", "holder_rid", opened.alias("qty")).distinct()
     values = {
@@ -417,14 +423,9 @@ def _stock_snapshot(inputs: Inputs, resolved: DataFrame, end: DataFrame, cfg: St
     return rows.join(results, "stock_rid", "left").select(*[qty if c == "qty" else F.col(c) for c in old.columns])
 
 
-def _serials_snapshot(inputs: Inputs, resolved: DataFrame, effects: DataFrame) -> DataFrame:
-    old = inputs["stock_serials"]
+def _serials_change(old: DataFrame, resolved: DataFrame, effects: DataFrame) -> Change:
+    """Serials that leave their stock, all copies at once, and rows that come and stay."""
     gone = effects.where("effective").groupBy("stock_id", "cell").agg(F.max("seq").alias("gone_seq"))
-    kept = old.join(
-        gone.select(F.col("stock_id").alias("stock_rid"), F.col("cell").alias("serial_no")),
-        ["stock_rid", "serial_no"],
-        "left_anti",
-    )
     added = (
         effects.where((F.col("seq") > 0) & (F.col("kind") != "T") & (F.col("delta") == 1))
         .join(gone, ["stock_id", "cell"], "left")
@@ -443,7 +444,35 @@ def _serials_snapshot(inputs: Inputs, resolved: DataFrame, effects: DataFrame) -
         "serial_no": F.col("upper_serial"),
         "make_rid": F.lit(0),
     }
-    return kept.unionByName(rows.select(*[values[c].cast(types[c]).alias(c) for c in old.columns]))
+    removed = gone.select(F.col("stock_id").cast(types["stock_rid"]).alias("stock_rid"), F.col("cell").alias("serial_no"))
+    return Change(removed, rows.select(*[values[c].cast(types[c]).alias(c) for c in old.columns]))
+
+
+def _stock_change(old: DataFrame, touched: DataFrame, resolved: DataFrame, end: DataFrame, cfg: StockConfig) -> Change:
+    """Rows of the stocks that the batch touches, and no others."""
+    keys = touched.select(F.col("stock_id").alias("stock_rid"))
+    return Change(keys, _stock_rows(old.join(keys, "stock_rid", "left_semi"), resolved, end, cfg))
+
+
+def change_stock(
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    dimensions: Inputs,
+    receipts: DataFrame,
+    returns: DataFrame,
+    cfg: StockConfig = StockConfig(),
+    share: float | None = COMPACT_AT,
+) -> int:
+    """Fold a batch into the state under `root`, writing only what it changes; the same run again has no effect.
+
+    `dimensions` has `materials` and `contractors`.
+    """
+
+    def job(state: dict[str, DataFrame]) -> dict[str, Change]:
+        return stock_ledger({**dimensions, **state}, receipts, returns, cfg)["changes"]
+
+    return change_state(spark, root, STATE_KEYS, run_id, job, share)
 
 
 def stock_sync(

@@ -1,40 +1,40 @@
-"""Versioned state tables: every run writes a fresh version, then points to it."""
+"""Versioned state tables: every run writes a fresh version, then claims its number."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldsync.schemas import schema
-
-_POINTER = "version long, written timestamp"
+from fieldsync.sources import runlog
+from fieldsync.sources.state import Superseded
 
 
 def current_version(spark: SparkSession, root: str) -> int:
-    """Highest version that was pointed to, 0 when there is none."""
-    try:
-        pointers = spark.read.schema(_POINTER).parquet(f"{root}/pointer")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0
-    return pointers.agg(F.max("version").alias("v")).first()["v"] or 0
+    """Newest version, 0 when there is none."""
+    return runlog.head(spark, f"{root}/_log")
 
 
 def write_snapshot(state: DataFrame, root: str, version: int | None = None) -> int:
-    """Write the next version, or the one given. Readers see it once its pointer row is in place."""
+    """Write the next version, or the one given. Readers see it once its number is claimed.
+
+    A run that worked on version n writes `n + 1`: `Superseded` tells that another run was first, whose
+    version stays as it is.
+    """
     spark = state.sparkSession
     version = current_version(spark, root) + 1 if version is None else version
-    state.write.mode("overwrite").parquet(f"{root}/version={version}")
-    pointer = spark.range(1).select(F.lit(version).cast("long").alias("version"), F.current_timestamp().alias("written"))
-    pointer.write.mode("append").parquet(f"{root}/pointer")
+    folder = f"version={version}-{uuid.uuid4().hex}"
+    state.write.parquet(f"{root}/{folder}")
+    if version != current_version(spark, root) + 1 or not runlog.claim(spark, f"{root}/_log", version, {"folder": folder}):
+        runlog.discard(spark, f"{root}/{folder}")
+        raise Superseded(f"version {version} of {root} is taken")
     return version
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
-    """Rows of the version pointed to, or of the one given; empty before the first run."""
+    """Rows of the newest version, or of the one given; empty before the first run."""
     version = current_version(spark, root) if version is None else version
     if version == 0:
         return spark.createDataFrame([], schema(table))
-    return spark.read.schema(schema(table)).parquet(f"{root}/version={version}")
+    return spark.read.schema(schema(table)).parquet(f"{root}/{runlog.entry(spark, f'{root}/_log', version)['folder']}")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fieldsync.schemas import TABLES, schema
 from fieldsync.sources import outbox, runlog, snapshots, staging
+from fieldsync.sources.state import Superseded
 from fieldsync.sources.tables import empty, read_tables
 
 
@@ -153,6 +154,10 @@ def test_snapshots_switch_versions(spark, make, tmp_path):
     assert snapshots.write_snapshot(make("stock", dict(stock_rid=1), dict(stock_rid=2)), root) == 2
     assert snapshots.read_snapshot(spark, root, "stock").count() == 2
     assert snapshots.read_snapshot(spark, root, "stock", 1).count() == 1
+    for version in (2, 4):  # taken, and not the next one
+        with pytest.raises(Superseded):
+            snapshots.write_snapshot(make("stock"), root, version)
+    assert snapshots.read_snapshot(spark, root, "stock").count() == 2 and snapshots.current_version(spark, root) == 2
 
 
 class _Session:
