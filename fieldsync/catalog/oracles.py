@@ -295,6 +295,18 @@ FROM orders JOIN customer ON o_custkey = c_custkey""",
     "repush_backlog": """
 SELECT o_orderkey, o_custkey, p_brand FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey
 WHERE NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey = o_orderkey AND x.l_linestatus = 'O')""",
+    "skewed_joins": """
+WITH lines AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part, l_orderkey * 10 + l_linenumber AS line FROM lineitem),
+parts AS (SELECT p_partkey AS part, p_brand, p_size FROM part),
+small AS (SELECT * FROM parts WHERE p_size <= 25 OR part = 1),
+joined AS (
+  SELECT 'left' AS kind, p_brand, part, line FROM lines LEFT JOIN small USING (part)
+  UNION ALL SELECT 'right', p_brand, part, line FROM parts LEFT JOIN (SELECT * FROM lines WHERE line % 2 = 0) USING (part)
+  UNION ALL SELECT 'inner', p_brand, part, line FROM small JOIN lines USING (part)
+  UNION ALL SELECT 'semi', NULL, part, line FROM lines WHERE part IN (SELECT part FROM small)
+  UNION ALL SELECT 'anti', NULL, part, line FROM lines WHERE part NOT IN (SELECT part FROM parts WHERE part > 1))
+SELECT kind, p_brand, count(*) AS n, count(line) AS n_lines, CAST(sum(part) AS BIGINT) AS parts, CAST(sum(line) AS BIGINT) AS lines
+FROM joined GROUP BY kind, p_brand""",
     "previous_flag": """
 WITH p AS (SELECT o_orderkey, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous_order FROM orders)
 SELECT p.o_orderkey, previous_order, CASE WHEN q.o_orderstatus = 'F' THEN 'Resurvey' ELSE 'Fresh MI' END AS remarks

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from fieldsync.operators import keyed
 from fieldsync.operators.pivot import wide_by_key
 from fieldsync.operators.previous import previous_flagged
 from fieldsync.operators.quarantine import document_counts, split_documents
+from fieldsync.operators.skew import skew_join
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
 from fieldsync.sources.outbox import append_run, land_api, land_raw, read_outbox, returned, with_defaults
 from fieldsync.sources.staging import stage, staging_root
@@ -174,6 +176,27 @@ def repush_backlog(spark, sf_dir):
     )
 
 
+@query
+def skewed_joins(spark, sf_dir):
+    """A third of all lines on one part, joined as the left and as the right side, with partners and without."""
+    line = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long")
+    part = F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("long")
+    lines = d.given(spark, sf_dir, "lineitem").select(part.alias("part"), line.alias("line"))
+    parts = d.given(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("part"), "p_brand", "p_size")
+    small = parts.where((F.col("p_size") <= 25) | (F.col("part") == 1))
+    unlisted = parts.where(F.col("part") > 1).select("part", "p_brand")
+    joins = {
+        "left": skew_join(lines, small, ["part"], "left", "line", "part"),
+        "right": skew_join(parts, lines.where(F.col("line") % 2 == 0), ["part"], "left", "part", "line"),
+        "inner": skew_join(small, lines, ["part"], "inner", "part", "line"),
+        "semi": skew_join(lines, small, ["part"], "left_semi", "line").withColumn("p_brand", F.lit(None).cast("string")),
+        "anti": skew_join(lines, unlisted, ["part"], "left_anti", "line").withColumn("p_brand", F.lit(None).cast("string")),
+    }
+    rows = [j.select(F.lit(name).alias("kind"), "p_brand", "part", "line") for name, j in joins.items()]
+    summed = reduce(DataFrame.unionByName, rows).groupBy("kind", "p_brand")
+    return summed.agg(F.count(F.lit(1)).alias("n"), F.count("line").alias("n_lines"), F.sum("part").alias("parts"), F.sum("line").alias("lines"))
+
+
 @query
 def previous_flag(spark, sf_dir):
     """`Resurvey` when the customer's previous order has status F."""
