@@ -3,7 +3,8 @@
 Movements of one serial in one stock, and then of one stock, depend on what
 went before. Both dependencies can be written as running sums, minima and
 maxima, which `operators.running` evaluates for keys of any size. Only returns
-of a serial that lies in several stocks need its events walked through in order.
+of a serial that lies in several stocks need its events walked through in order,
+in blocks if there are very many (`operators.locating`).
 
 Kinds of serial movement: `L` always adds a copy, `R` adds one unless there is
 one, `T` removes all copies. Kinds of stock movement: `Q` opening quantity,
@@ -16,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldsync.operators.locating import located_in_blocks
 from fieldsync.operators.running import BLOCK_ROWS, Blocks, Measure, plan_blocks
 from fieldsync.sources.staging import stage
 
@@ -68,6 +70,8 @@ def fold_serials(
     events of a serial that has been in several stocks are walked through in
     order, with the copies per stock as state: one pass over sorted rows,
     however many stocks there are, that holds the state of one serial only.
+    Such a serial with more events than a block has its returns located in
+    blocks; its copies are running values, too.
 
     `inert` (cell, inert_id, inert_seq) names the lowest holder that never gives
     the serial back: returns after `inert_seq` get no further than to it.
@@ -91,14 +95,26 @@ def fold_serials(
     added = inserts.select("cell", "stock_id", "seq", "kind")
     if several.isEmpty():
         return serial_effects(added.unionByName(reaching), blocks).select(*_EFFECT)
+    rest = added.join(several, "cell", "left_anti").unionByName(reaching)
+    if blocks.huge is not None:
+        hot = stage(holders.where("n_stocks > 1").join(blocks.huge, "cell", "left_semi").select("cell", "n_stocks"), "hot-serials")
+        given_back = located_in_blocks(_to_locate(added, asked, hot.select("cell")), hot, blocks)
+        rest = rest.unionByName(added.join(hot, "cell", "left_semi")).unionByName(
+            given_back.withColumn("kind", F.lit("T"))
+        )
+        several = several.join(hot, "cell", "left_anti")
+    walked = located(_to_locate(added, asked, several))
+    return serial_effects(rest, blocks).select(*_EFFECT).unionByName(walked)
+
+
+def _to_locate(added: DataFrame, asked: DataFrame, cells: DataFrame) -> DataFrame:
+    """Receipts and returns of the cells, as `located` takes them."""
     nothing = F.lit(None).cast("long")
-    walked = (
-        added.join(several, "cell", "left_semi")
+    return (
+        added.join(cells, "cell", "left_semi")
         .withColumns({"inert_id": nothing, "inert_seq": nothing})
-        .unionByName(asked.join(several, "cell", "left_semi").withColumns({"stock_id": nothing, "kind": F.lit("T")}))
+        .unionByName(asked.join(cells, "cell", "left_semi").withColumns({"stock_id": nothing, "kind": F.lit("T")}))
     )
-    rest = added.join(several, "cell", "left_anti").unionByName(reaching)
-    return serial_effects(rest, blocks).select(*_EFFECT).unionByName(located(walked))
 
 
 def located(moves: DataFrame) -> DataFrame:
