@@ -311,6 +311,11 @@ def shared_serial() -> Column:
     return text("S", k())
 
 
+def hot_serial() -> Column:
+    """Serials that lie in several stocks, one of them with most events."""
+    return text("S", F.when(k() % 10 < 7, 0).otherwise(k()))
+
+
 def receipt_events(spark, sf_dir, serial: Callable[[], Column] = own_serial) -> DataFrame:
     kind = F.col("event_type")
     rows = _stock_events(spark, sf_dir, serial).where(kind.isin("purchase", "view", "click"))

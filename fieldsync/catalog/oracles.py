@@ -116,11 +116,7 @@ slots AS (
 """
 
 # Serials that lie in one stock: returns cut their movements into spans.
-OWN_EFFECTS = """
-m AS (
-  SELECT slot, u, seq, kind, low FROM ev WHERE kind IN ('R', 'T')
-  UNION ALL
-  SELECT n_regionkey, 'S' || n_regionkey || '-' || n_nationkey, 0, 'INIT', false FROM nation),
+SPANS = """
 e AS (SELECT *, sum(CASE WHEN kind = 'T' THEN 1 ELSE 0 END)
         OVER (PARTITION BY slot, u ORDER BY seq ROWS UNBOUNDED PRECEDING) AS epoch FROM m),
 n AS (SELECT *, sum(CASE WHEN kind <> 'T' THEN 1 ELSE 0 END)
@@ -133,6 +129,44 @@ effects AS (
   FROM c),
 """
 
+OWN_EFFECTS = """
+m AS (
+  SELECT slot, u, seq, kind, low FROM ev WHERE kind IN ('R', 'T')
+  UNION ALL
+  SELECT n_regionkey, 'S' || n_regionkey || '-' || n_nationkey, 0, 'INIT', false FROM nation),
+""" + SPANS
+
+# One serial with most events, in several stocks. Stock by stock, lowest first: of the returns that get there, a
+# stock takes each one that a receipt of its own came before since the return before; the others go on.
+_TAKEN = """
+m{p} AS (SELECT slot, u, seq, kind, low, count(CASE WHEN kind = 'T' THEN 1 END)
+           OVER (PARTITION BY u ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g
+  FROM (SELECT slot, u, seq, kind, low FROM steps WHERE kind = 'R' AND pos = {p} UNION ALL FROM t{before})),
+h{p} AS (SELECT *, bool_or(kind = 'R') OVER (PARTITION BY u, g) AS hit FROM m{p}),
+t{p} AS (SELECT slot, u, seq, kind, low FROM h{p} WHERE kind = 'T' AND NOT hit),
+"""
+
+HOT_EFFECTS = (
+    """
+ranked AS (SELECT slot, row_number() OVER (ORDER BY stock_id) AS pos FROM slots),
+steps AS (SELECT ev.slot, 'S' || CASE WHEN k % 10 < 7 THEN 0 ELSE k END AS u, seq, kind, low, pos
+  FROM ev LEFT JOIN ranked USING (slot) WHERE kind IN ('R', 'T')),
+t0 AS (SELECT slot, u, seq, kind, low FROM steps WHERE kind = 'T'),
+"""
+    + "".join(_TAKEN.format(p=p, before=p - 1) for p in range(1, 11))
+    + """
+m AS (
+  SELECT slot, u, seq, kind, low FROM steps WHERE kind = 'R'
+"""
+    + "".join(
+        f"  UNION ALL SELECT (SELECT slot FROM ranked WHERE pos = {p}), u, seq, kind, low FROM h{p} WHERE kind = 'T' AND hit\n"
+        for p in range(1, 11)
+    )
+    + """  UNION ALL SELECT n_regionkey, 'S' || n_regionkey || '-' || n_nationkey, 0, 'INIT', false FROM nation),
+"""
+    + SPANS
+)
+
 # Serials that lie in several stocks: all serials go from event to event together,
 # with the copies per stock, in the order of the stocks' ids, as state.
 SHARED_EFFECTS = """
@@ -180,6 +214,7 @@ LEDGER = STOCK_EVENTS + "," + SLOTS + OWN_EFFECTS + BALANCES + """
 held AS (
   SELECT slot, u, arg_max(copies, seq) AS copies FROM effects GROUP BY slot, u)
 """
+HOT_LEDGER = (STOCK_EVENTS + "," + SLOTS + HOT_EFFECTS + BALANCES).rstrip().rstrip(",")
 SHARED_LEDGER = (STOCK_EVENTS + "," + SLOTS + SHARED_EFFECTS + BALANCES).rstrip().rstrip(",")
 
 RECEIPT_LOG = """
@@ -373,6 +408,10 @@ WITH RECURSIVE {SHARED_LEDGER}
 SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
        CAST(qty AS DECIMAL(38,4)) AS qty
 FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)""",
+    "stock_hot_serial": f"""
+WITH {HOT_LEDGER}
+SELECT stock_id, seq, CAST(cnt AS BIGINT) AS count_after, CAST(qty AS DECIMAL(18,4)) AS qty_after
+FROM ledger JOIN slots USING (slot) WHERE eff OR kind IN ('R', 'BR', 'BT')""",
     "stock_movements": f"""
 WITH {LEDGER}
 SELECT stock_id, seq, CAST(cnt AS BIGINT) AS count_after, CAST(qty AS DECIMAL(18,4)) AS qty_after

@@ -303,6 +303,14 @@ def stock_shared_serials(spark, sf_dir):
     return _ledger(spark, sf_dir, d.shared_serial)["stock"].select("stock_rid", "mat_rid", "holder_rid", "qty")
 
 
+@query
+def stock_hot_serial(spark, sf_dir):
+    """Movements with most events on one serial that lies in several stocks, located in blocks of a few thousand rows."""
+    events = d.receipt_events(spark, sf_dir, d.hot_serial), d.return_events(spark, sf_dir, d.hot_serial)
+    out = stock.stock_ledger(d.stock_state(spark, sf_dir), *events, block_rows=2_000)
+    return out["movements"].select("stock_id", "seq", "count_after", F.col("qty_after").cast("decimal(18,4)").alias("qty_after"))
+
+
 @query
 def stock_incremental(spark, sf_dir):
     """Stock rows and serials after all events in two batches, each of which writes its changes beside the base."""
