@@ -359,6 +359,19 @@ def return_events(spark, sf_dir, serial: Callable[[], Column] = own_serial) -> D
     )
 
 
+def odd_events(events: DataFrame, contractor: str) -> DataFrame:
+    """Events of which some name no known contractor or material, no serial, or a type that is none."""
+    seq = F.col("seq")
+    return events.withColumns(
+        {
+            contractor: F.when(seq % 11 == 0, "0").otherwise(F.col(contractor)),
+            "materialname": F.when(seq % 13 != 0, F.col("materialname")),
+            "serialno": F.when(seq % 17 != 0, F.col("serialno")),
+            "type": F.when(seq % 19 == 0, "on loan").otherwise(F.col("type")),
+        }
+    )
+
+
 def stock_state(spark, sf_dir) -> dict[str, DataFrame]:
     region, nation = given(spark, sf_dir, "region"), given(spark, sf_dir, "nation")
     key = F.col("r_regionkey")

@@ -217,6 +217,29 @@ held AS (
 HOT_LEDGER = (STOCK_EVENTS + "," + SLOTS + HOT_EFFECTS + BALANCES).rstrip().rstrip(",")
 SHARED_LEDGER = (STOCK_EVENTS + "," + SLOTS + SHARED_EFFECTS + BALANCES).rstrip().rstrip(",")
 
+# Some events name no known contractor or material: a receipt of these makes a stock of its own (none without a contractor,
+# if serialised), a bulk return does nothing. A serial that lies in such a stock isn't given back past it.
+ODD_LEDGER = (
+    STOCK_EVENTS.replace("ev AS (", "given_ev AS (", 1)
+    + """,
+odd_ev AS (
+  SELECT * REPLACE (CASE WHEN seq % 17 <> 0 THEN u END AS u, low OR seq % 17 = 0 AS low), seq % 11 <> 0 AS firm, seq % 13 <> 0 AS material
+  FROM given_ev WHERE seq % 19 <> 0),
+alone AS (
+  SELECT 5 + seq AS stock_id, seq, kind, u, q, CASE WHEN material THEN 100 + slot % 5 END AS mat, CASE WHEN firm THEN CASE WHEN slot < 5 THEN 1 ELSE 2 END END AS holder
+  FROM odd_ev WHERE NOT (firm AND material) AND (kind = 'BR' OR kind = 'R' AND firm)),
+ev AS (SELECT * FROM odd_ev WHERE kind = 'T' OR (firm AND material)),
+"""
+    + SLOTS
+    + OWN_EFFECTS.replace(
+        "WHERE kind IN ('R', 'T')",
+        """WHERE kind = 'R' OR (kind = 'T' AND u IS NOT NULL AND NOT EXISTS (SELECT 1 FROM alone a JOIN slots s ON a.seq < s.made
+    WHERE a.kind = 'R' AND a.u = ev.u AND s.slot = ev.slot AND a.seq < ev.seq))""",
+    )
+    + BALANCES
+)
+ODD_LEDGER = ODD_LEDGER.rstrip().rstrip(",")
+
 RECEIPT_LOG = """
 base AS (SELECT 'S' || (p_partkey % 10) || '-' || p_size AS s, p_partkey AS docno, CAST(p_partkey % 5 AS VARCHAR) AS code,
                 CASE WHEN p_size > 25 THEN 'serialized' ELSE 'non-serialized' END AS type FROM part),
@@ -408,6 +431,16 @@ WITH RECURSIVE {SHARED_LEDGER}
 SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
        CAST(qty AS DECIMAL(38,4)) AS qty
 FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)""",
+    "stock_odd_events": f"""
+WITH {ODD_LEDGER},
+named AS (SELECT slot, sum(delta) AS n FROM effects WHERE u IS NOT NULL GROUP BY slot)
+SELECT stock_id AS stock_rid, CAST(100 + slot % 5 AS BIGINT) AS mat_rid, CASE WHEN slot < 5 THEN 1 ELSE 2 END AS holder_rid,
+       CAST(qty AS DECIMAL(38,4)) AS qty, CAST(cnt AS BIGINT) AS serials, CAST(coalesce(n, 0) AS BIGINT) AS named
+FROM (SELECT * FROM ledger QUALIFY row_number() OVER (PARTITION BY slot ORDER BY seq DESC, ord DESC) = 1) JOIN slots USING (slot)
+LEFT JOIN named USING (slot)
+UNION ALL
+SELECT stock_id, CAST(mat AS BIGINT), holder, CAST(CASE kind WHEN 'R' THEN 1 ELSE q END AS DECIMAL(38,4)),
+       CASE kind WHEN 'R' THEN 1 ELSE 0 END, CASE WHEN kind = 'R' AND u IS NOT NULL THEN 1 ELSE 0 END FROM alone""",
     "stock_hot_serial": f"""
 WITH {HOT_LEDGER}
 SELECT stock_id, seq, CAST(cnt AS BIGINT) AS count_after, CAST(qty AS DECIMAL(18,4)) AS qty_after

@@ -311,6 +311,17 @@ def stock_hot_serial(spark, sf_dir):
     return out["movements"].select("stock_id", "seq", "count_after", F.col("qty_after").cast("decimal(18,4)").alias("qty_after"))
 
 
+@query
+def stock_odd_events(spark, sf_dir):
+    """Stock rows and their serials after events with unknown contractors and materials, without serials, of unknown types."""
+    receipts = d.odd_events(d.receipt_events(spark, sf_dir), "contractorcode")
+    returns = d.odd_events(d.return_events(spark, sf_dir), "fromcontractorcode")
+    out = stock.stock_ledger(d.stock_state(spark, sf_dir), receipts, returns)
+    held = out["stock_serials"].groupBy("stock_rid").agg(F.count(F.lit(1)).alias("serials"), F.count("serial_no").alias("named"))
+    rows = out["stock"].join(held, "stock_rid", "left").select("stock_rid", "mat_rid", "holder_rid", "qty", "serials", "named")
+    return rows.fillna(0, ["serials", "named"])
+
+
 @query
 def stock_incremental(spark, sf_dir):
     """Stock rows and serials after all events in two batches, each of which writes its changes beside the base."""
