@@ -336,6 +336,10 @@ FROM (SELECT doc_id::INTEGER AS distnid, (length(text) * CASE WHEN doc_id % 50 =
     "outbox_two_runs": """
 SELECT DISTINCT o_custkey::INTEGER AS distnid, 1::BIGINT AS messages, 1::BIGINT AS same_id
 FROM orders WHERE o_orderstatus = 'F' OR o_orderpriority = '1-URGENT'""",
+    "outbox_compacted": """
+SELECT o_custkey::INTEGER AS distnid, CASE o_orderstatus WHEN 'F' THEN 105 WHEN 'O' THEN 106 WHEN 'P' THEN 108 END AS type_id, o_orderpriority AS run,
+       count(*) AS messages, count(*) AS ids, max('MT' || (o_orderkey % 1000)) AS last_serial
+FROM orders GROUP BY ALL""",
     "install_repush": f"""
 WITH {SURVEYS},
 usable AS (

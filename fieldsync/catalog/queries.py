@@ -19,7 +19,7 @@ from fieldsync.operators.previous import previous_flagged
 from fieldsync.operators.quarantine import document_counts, split_documents
 from fieldsync.operators.skew import skew_join
 from fieldsync.plans import audit, dimensions, feeds, installs, people, stock
-from fieldsync.sources.outbox import append_run, land_api, land_raw, read_outbox, returned, with_defaults
+from fieldsync.sources.outbox import append_run, compact, land_api, land_raw, read_outbox, returned, with_defaults
 from fieldsync.sources.staging import stage, staging_root
 from fieldsync.sources.state import read_state, start_state
 from fieldsync.sources.tables import empty
@@ -135,6 +135,29 @@ def outbox_two_runs(spark, sf_dir):
     return log.join(alike, "id").groupBy("distnid").agg(F.count(F.lit(1)).alias("messages"), F.max("same_id").alias("same_id"))
 
 
+@query
+def outbox_compacted(spark, sf_dir):
+    """Five runs of messages, put together after three and after five, as a reader finds them: by node and type, with their serials."""
+    orders = d.given(spark, sf_dir, "orders")
+    path = f"{staging_root(spark)}/{spark.sparkContext.applicationId}/outbox-{uuid.uuid4().hex}"
+    nothing = empty(spark, "install_outbox")
+    kinds = d.by_value(F.col("o_orderstatus"), {"F": 105, "O": 106, "P": 108}).cast("int")
+    runs = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    for n, priority in enumerate(runs, 1):
+        delta = orders.where(F.col("o_orderpriority") == priority).select(
+            F.col("o_custkey").cast("int").alias("distnid"),
+            d.text('{"serialNumber": "MT', F.col("o_orderkey") % 1000, '"}').alias("request"),
+            kinds.alias("type_id"),
+        )
+        append_run(delta, "install_outbox", path, priority, "id", nothing)
+        if n in (3, 5):
+            compact(spark, path, "install_outbox", "id")
+    log = read_outbox(spark, path, "install_outbox")
+    return log.groupBy("distnid", "type_id", F.col("run_id").alias("run")).agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("id").alias("ids"), F.max("serial_number").alias("last_serial")
+    )
+
+
 @query
 def install_repush(spark, sf_dir):
     delta = installs.install_repush(d.installs(spark, sf_dir))["delta"]

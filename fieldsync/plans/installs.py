@@ -11,6 +11,7 @@ from fieldsync.functions.text import concat_skip_null, date_of_text, decode, or_
 from fieldsync.operators.keyed import absent, present
 from fieldsync.operators.pivot import wide
 from fieldsync.operators.previous import previous_flagged
+from fieldsync.sources.clustered import point_scan
 from fieldsync.sources.outbox import with_serial
 from fieldsync.sources.staging import stage
 
@@ -220,7 +221,8 @@ def install_push(
         F.col("activityid").isin(*cfg.activities) & (F.col("responsestatusid") >= 0)
     )
     if wanted is not None:
-        responses = responses.join(wanted, ["responselogid", "projectid", "activityid"], "left_semi")
+        wanted = stage(wanted, "install-wanted")
+        responses = point_scan(responses, wanted, "responselogid").join(wanted, ["responselogid", "projectid", "activityid"], "left_semi")
     users = inputs["users"].select(F.col("userid").alias("serveyorid"), "username", "FirstName", "LastName")
 
     # Documents are parsed once; both outputs are taken from the staged rows.

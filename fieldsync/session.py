@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs a further shuffle after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Few wanted keys reach the Bloom filters of a scan one by one, not as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -15,6 +15,8 @@ from fieldsync.functions.documents import member
 from fieldsync.operators.keyed import absent, highest, latest_per_key
 from fieldsync.schemas import schema
 from fieldsync.sources import runlog
+from fieldsync.sources.clustered import FILE_ROWS
+from fieldsync.sources.compaction import compact_runs, manifest, read_runs, read_segments
 from fieldsync.sources.staging import stage
 
 # Fixed value: longest request or response the outbox tables take.
@@ -92,11 +94,16 @@ def log_head(spark: SparkSession, path: str) -> int:
 
 
 def _runs(spark: SparkSession, path: str, declared: StructType, runs: list[runlog.Entry]) -> DataFrame:
-    """Rows of these runs, with their run id."""
-    folders = [f"{path}/{run['folder']}" for run in runs if run["written"]]
-    if not folders:
-        return spark.createDataFrame([], declared)
-    return spark.read.schema(declared).option("basePath", f"{path}/_runs").parquet(*folders).select(*declared.names)
+    """Rows of these runs, with their run id: from their own folders, or from segments where these are gone."""
+    live = manifest(spark, path)
+    alone = [run for run in runs if run.get("entry", live["cleared"] + 1) > live["cleared"]]
+    rows = read_runs(spark, path, declared, alone)
+    if len(alone) == len(runs):
+        return rows
+    gone = [run["run_id"] for run in runs if run.get("entry", live["cleared"] + 1) <= live["cleared"]]
+    named = declared if "run_id" in declared.names else StructType([*declared.fields]).add("run_id", "string")
+    together = read_segments(spark, path, named, live["segments"])
+    return rows.unionByName(together.where(F.col("run_id").isin(gone)).select(*declared.names))
 
 
 def _told(spark: SparkSession, path: str, run: runlog.Entry, declared: StructType, refusable: StructType) -> Run:
@@ -178,11 +185,26 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
 def read_outbox(spark, path: str, table: str) -> DataFrame:
     """All runs, with their run id: those of the log, and folders `run_id=...` that were put there by hand."""
     declared = schema(table).add("run_id", "string")
-    logged = _runs(spark, path, declared, runlog.entries(spark, f"{path}/_log"))
+    live = manifest(spark, path)
+    logged = read_runs(spark, path, declared, runlog.entries(spark, f"{path}/_log", after=live["upto"]))
+    if live["segments"]:
+        logged = read_segments(spark, path, declared, live["segments"]).unionByName(logged)
     given = _written(spark, path, declared)
     return logged if given is None else given.unionByName(logged)
 
 
+def compact(spark: SparkSession, path: str, table: str, id_column: str, node: str | None = "distnid", file_rows: int = FILE_ROWS) -> bool:
+    """Put the runs since the last time into files by message type, node and id; serials are read from the requests once.
+
+    Readers see the same messages before and after, and runs may be appended meanwhile. False if there was nothing to do.
+    """
+    declared = schema(table).add("run_id", "string")
+    keys = [c for c in ("type_id", node, id_column) if c in declared.names]
+    lookups = [c for c in (node, "serial_number") if c in declared.names]
+    finish = with_serial if {"request", "serial_number"} <= set(declared.names) else lambda rows: rows
+    return compact_runs(spark, path, declared, finish, keys, lookups, file_rows)
+
+
 def acknowledged(outbox: DataFrame, acknowledgements: DataFrame, id_column: str) -> DataFrame:
     """Outbox rows with what their sender said of them last.
 
