@@ -175,6 +175,30 @@ def responses(spark, sf_dir) -> DataFrame:
     )
 
 
+# Attributes with two of their property ids each.
+SEALS = {"bodyseal2": (359, 958), "boxseal1": (70, 575), "boxseal2": (71, 576), "termseal1": (67, 568), "termseal2": (203, 569)}
+
+
+def sealed_responses(spark, sf_dir) -> DataFrame:
+    """Surveys whose seals are told twice, in small and in capital letters; some leave one out."""
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+
+    def told(number: int, value: Column) -> Column:
+        seal = F.to_json(F.struct(value.alias("seal_number")))
+        return F.struct(F.lit(number).cast("string").alias("categorypropertyallocationid"), seal.alias("value"))
+
+    twice = [
+        told(number, value)
+        for n, (small, capital) in enumerate(SEALS.values(), 3)
+        for number, value in (
+            (small, F.when(customer % 11 != n, text("seal ", customer % n))),
+            (capital, F.when(order % 7 != n, text("SEAL ", order % n))),
+        )
+    ]
+    document = F.to_json(F.struct(F.array(*twice).alias("propertiesBean")))
+    return given(spark, sf_dir, "orders").select(order.alias("responselogid"), document.alias("response"))
+
+
 def resurvey_flags(spark, sf_dir) -> DataFrame:
     return given(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("responseid"), F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("resurvey")

@@ -298,6 +298,18 @@ WITH wide AS (
   FROM events GROUP BY user_id)
 SELECT user_id, coalesce(v, -1) AS max_view, coalesce(b, -1) AS max_buy, coalesce(e, -1) AS max_error,
        coalesce(c, -1) AS max_click, coalesce(b, v, 0) AS best FROM wide""",
+    "install_seals": "SELECT o_orderkey AS responselogid, "
+    + ", ".join(
+        f"""(SELECT arg_max(v, (lower(v), v <> lower(v))) FROM (VALUES (CASE WHEN o_custkey % 11 <> {n} THEN 'seal ' || (o_custkey % {n}) END),
+  (CASE WHEN o_orderkey % 7 <> {n} THEN 'SEAL ' || (o_orderkey % {n}) END)) t(v) WHERE v IS NOT NULL) AS {name}"""
+        for n, name in enumerate(("bodyseal2", "boxseal1", "boxseal2", "termseal1", "termseal2"), 3)
+    )
+    + ", CAST(NULL AS VARCHAR) AS reject_reason FROM orders",
+    "install_pivot_collated": """
+WITH named AS (SELECT p_brand, p_size % 3 AS third, CASE WHEN p_partkey % 2 = 0 THEN lower(p_type) ELSE p_type END AS name FROM part)
+SELECT p_brand, arg_max(name, (lower(name), name <> lower(name))) FILTER (third = 0) AS first,
+       arg_max(name, (lower(name), name <> lower(name))) FILTER (third IN (1, 2)) AS others
+FROM named GROUP BY p_brand""",
     "install_attributes": f"""
 WITH {SURVEYS}
 SELECT id AS responselogid, CASE WHEN NOT bad AND NOT plain THEN meter END AS meternum,

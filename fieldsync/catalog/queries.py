@@ -66,6 +66,23 @@ def install_attributes(spark, sf_dir):
     return rows.drop("response")
 
 
+@query
+def install_seals(spark, sf_dir):
+    """Seals of surveys that tell them twice: the greater text by a collation, where small and capital letters are neighbours."""
+    rows = installs.install_attributes(d.sealed_responses(spark, sf_dir), installs.InstallConfig(collation="UNICODE"))
+    return rows.select("responselogid", *d.SEALS, "reject_reason")
+
+
+@query
+def install_pivot_collated(spark, sf_dir):
+    """One wide row per brand from its parts' types, small and capital, the greatest by a collation."""
+    size = F.col("p_size")
+    name = F.when(F.col("p_partkey") % 2 == 0, F.lower("p_type")).otherwise(F.col("p_type"))
+    rows = d.given(spark, sf_dir, "part").select("p_brand", (size % 3).alias("third"), name.alias("name"))
+    mapping = {"first": ("name", (0,)), "others": ("name", (1, 2))}
+    return wide_by_key(rows, ["p_brand"], "third", mapping, collation="UNICODE")
+
+
 @query
 def install_explode(spark, sf_dir):
     """Property rows of all surveys, counted per id."""

@@ -98,6 +98,8 @@ class InstallConfig:
     box_sub_category: str = "SMC Box"
     cable_sub_category: str = "Service Cable"
     properties: dict = field(default_factory=lambda: dict(INSTALL_PROPERTIES))
+    # The greatest of several texts is found by this collation of Spark, such as `UNICODE`; None compares bytes.
+    collation: str | None = None
 
 
 @dataclass(frozen=True)

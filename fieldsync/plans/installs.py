@@ -95,7 +95,7 @@ def install_attributes(responses: DataFrame, cfg: InstallConfig = InstallConfig(
         F.when(F.exists("_properties", lambda p: p["broken"]), F.lit("a property value does not parse")),
     )
     return read.select(
-        *responses.columns, *wide(F.col("_properties"), text_ids), reason.alias("reject_reason")
+        *responses.columns, *wide(F.col("_properties"), text_ids, collation=cfg.collation), reason.alias("reject_reason")
     )
 
 
@@ -280,7 +280,7 @@ def install_repush(inputs: Inputs, cfg: InstallConfig = InstallConfig()) -> dict
     attributes = stage(
         read.select(
             *_HEADER,
-            *wide(F.col("_properties"), cfg.properties),
+            *wide(F.col("_properties"), cfg.properties, collation=cfg.collation),
             meters.alias("meters"),
             reason.alias("reject_reason"),
         ),

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from fieldsync.functions import documents as doc
 from fieldsync.functions.text import concat_skip_null, date_of_text, differs, spaced_name
+from fieldsync.operators.pivot import attribute, wide_by_key
 from fieldsync.operators.quarantine import document_counts, split_documents
 
 TEXTS = {
@@ -101,3 +102,18 @@ def test_text_rules(spark):
         differs([(F.lit(None).cast("int"), F.lit(1)), (F.lit(2), F.lit(2))]).alias("unknown"),
     ).first()
     assert tuple(row) == ("A", " B", True, None)
+
+
+def test_greatest_text_by_collation(spark):
+    """Neighbours in a collation are told apart by case, equal texts by bytes, in any order; unknown ones don't count."""
+    from itertools import permutations
+
+    values = ["b", "A", "a", "B", None, "Z", "é"]
+    rows = [(i, [(v,) for v in order]) for i, order in enumerate([*permutations(values[:4]), values, values[::-1], [None], []])]
+    table = spark.createDataFrame(rows, "i int, p array<struct<v:string>>")
+    told = table.select("i", *[attribute(F.transform("p", lambda x: F.struct(F.lit(1).alias("id"), x["v"].alias("v"))), "v", (1,), collation=c).alias(n) for n, c in (("bytes", None), ("folded", "UNICODE_CI"), ("unicode", "UNICODE"))])
+    got = {r["i"]: (r["bytes"], r["folded"], r["unicode"]) for r in told.collect()}
+    assert set(list(got[i] for i in range(24))) == {("b", "b", "B")}
+    assert got[24] == got[25] == ("é", "Z", "Z") and got[26] == got[27] == (None, None, None)
+    flat = table.where("i < 26").selectExpr("1 as id", "explode(p.v) as v")
+    assert tuple(wide_by_key(flat, ["id"], "id", {"v": ("v", (1,))}, collation="UNICODE").first()) == (1, "Z")
