@@ -305,6 +305,11 @@ SELECT user_id, coalesce(v, -1) AS max_view, coalesce(b, -1) AS max_buy, coalesc
         for n, name in enumerate(("bodyseal2", "boxseal1", "boxseal2", "termseal1", "termseal2"), 3)
     )
     + ", CAST(NULL AS VARCHAR) AS reject_reason FROM orders",
+    "json_numbers": """
+SELECT l_orderkey, l_linenumber, printf('%.2f', l_extendedprice) AS price, '{"list":[' || printf('%.3f', l_quantity) || ',7]}' AS below,
+       '1' || l_orderkey || lpad(l_partkey::VARCHAR, 22, '0') AS number, printf('%.3f', l_quantity) AS cablelength,
+       printf('%.2f', l_extendedprice) AS barcode, CAST(NULL AS VARCHAR) AS reject_reason
+FROM lineitem""",
     "install_pivot_collated": """
 WITH named AS (SELECT p_brand, p_size % 3 AS third, CASE WHEN p_partkey % 2 = 0 THEN lower(p_type) ELSE p_type END AS name FROM part)
 SELECT p_brand, arg_max(name, (lower(name), name <> lower(name))) FILTER (third = 0) AS first,

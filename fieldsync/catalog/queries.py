@@ -83,6 +83,18 @@ def install_pivot_collated(spark, sf_dir):
     return wide_by_key(rows, ["p_brand"], "third", mapping, collation="UNICODE")
 
 
+@query
+def json_numbers(spark, sf_dir):
+    """Numbers of documents as they were written, in members, in what is below them, and as attributes of a survey."""
+    price, quantity = F.format_string("%.2f", "l_extendedprice"), F.format_string("%.3f", "l_quantity")
+    number = F.concat("l_orderkey", F.lpad("l_partkey", 22, "0"))
+    document = d.text('{"price": ', price, ', "below": {"list": [', quantity, ', 7]}, "number": 1', number, ', "propertiesBean":[',
+                      '{"categorypropertyallocationid":941,"value":', quantity, '},{"categorypropertyallocationid":"650","value":"{\\"value\\":', price, '}"}]}')
+    rows = d.given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", document.alias("response"))
+    told = [doc.member(F.col("response"), m).alias(m) for m in ("price", "below", "number")]
+    return installs.install_attributes(rows).select("l_orderkey", "l_linenumber", *told, "cablelength", "barcode", "reject_reason")
+
+
 @query
 def install_explode(spark, sf_dir):
     """Property rows of all surveys, counted per id."""

@@ -3,6 +3,10 @@
 Documents are read with declared structs of strings. Of a repeated member the
 last counts, numbers and objects come out as their text, and an absent member
 is NULL. A struct read never fails, so validity is a separate test.
+
+The reader would make `1.50` a `1.5`. Numbers with a fraction are therefore put in quotes with a mark before
+a document is read (`as_written`), and taken out of them in what was read (`written`). Numbers with an exponent
+stay as the reader gives them, and so does a document that holds the mark itself.
 """
 
 from __future__ import annotations
@@ -17,7 +21,34 @@ STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _START = r"^[ \t\r\n]*[\[{\"0-9tfn-]"
 
 _END = "\u241e end"
-_PROPERTY = "struct<categorypropertyallocationid:string,value:string>"
+_MARK = "\u241d"
+
+# What comes before a number with a fraction: strings, numbers that are none, anything else but a digit or a sign.
+_BEFORE = (
+    r'(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"\d-]++'
+    r"|-?(?:0|[1-9]\d*+)(?:\.\d++)?+[eE][+-]?\d++|-?(?:0|[1-9]\d*+)(?![.\deE]))*+"
+)
+# Numbers one after the other; the first thing that is no JSON ends it, so that a text which doesn't parse stays one.
+_FRACTION = rf"\G({_BEFORE})(-?(?:0|[1-9]\d*+)\.\d++)(?![.\deE]|[ \t\r\n]*+:)"
+
+
+def is_marked(text: Column) -> Column:
+    """Whether `as_written` marks the text's numbers: it may hold one with a fraction, and holds no mark itself."""
+    return text.contains(".") & text.rlike(r"\d\.\d") & ~text.rlike(rf"{_MARK}|\\[uU]241[dD]")
+
+
+def as_written(text: Column) -> Column:
+    """The document with each number that has a fraction as a marked string."""
+    return F.when(is_marked(text), F.regexp_replace(text, _FRACTION, f'$1"{_MARK}$2"')).otherwise(text)
+
+
+def written(value: Column, marked: Column) -> Column:
+    """A member of a document, which was marked or not: numbers, also those within, are themselves again."""
+    plain = F.regexp_replace(value, f'"{_MARK}([^"]*)"|^{_MARK}', "$1")
+    return F.when(marked & value.contains(_MARK), plain).otherwise(value)
+
+_PROPERTY_MEMBERS = ("categorypropertyallocationid", "value")
+_PROPERTY = f"struct<{','.join(f'{m}:string' for m in _PROPERTY_MEMBERS)}>"
 
 
 def _closed_list(text: Column) -> Column:
@@ -60,8 +91,8 @@ def json_or_null(text: Column) -> Column:
 
 def member(text: Column, name: str) -> Column:
     """One top-level member as text."""
-    parsed = F.from_json(F.when(is_object(text), text), f"struct<`{name}`:string>", STRICT)
-    return parsed[name]
+    parsed = F.from_json(F.when(is_object(text), as_written(text)), f"struct<`{name}`:string>", STRICT)
+    return written(parsed[name], is_marked(text))
 
 
 def read_documents(rows: DataFrame, column: str) -> DataFrame:
@@ -71,10 +102,14 @@ def read_documents(rows: DataFrame, column: str) -> DataFrame:
     for its validity and its list. A list with elements that are no objects
     does not fit that read; such a document is read again element by element.
     """
-    document = F.col(column)
+    document = F.col("_document")
     found, direct = F.col("_found"), F.col("_direct")
+    plain = F.transform(
+        "properties", lambda p: F.when(p.isNotNull(), F.struct(*[written(p[c], F.lit(True)).alias(c) for c in _PROPERTY_MEMBERS]))
+    )
     return (
-        rows.withColumn("_found", _closed_objects(document, f"propertiesBean:array<{_PROPERTY}>"))
+        rows.withColumn("_document", as_written(F.col(column)))
+        .withColumn("_found", _closed_objects(document, f"propertiesBean:array<{_PROPERTY}>"))
         .withColumn("_direct", _is_closed_objects(found))
         .withColumn("document_ok", F.when(direct, F.lit(True)).otherwise(is_json(document)))
         .withColumn(
@@ -82,7 +117,8 @@ def read_documents(rows: DataFrame, column: str) -> DataFrame:
             F.when(direct & F.get(found, F.lit(0))["propertiesBean"].isNotNull(), F.get(found, F.lit(0))["propertiesBean"])
             .when(F.col("document_ok"), _one_by_one(document)),
         )
-        .drop("_found", "_direct")
+        .withColumn("properties", F.when(is_marked(F.col(column)), plain).otherwise(F.col("properties")))
+        .drop("_document", "_found", "_direct")
     )
 
 
@@ -109,7 +145,8 @@ def open_value(text: Column) -> Column:
     read is kept in a field and everything else is taken from that field.
     """
     return F.struct(
-        _closed_objects(text, "meter_Id:string,value:string,seal_number:string").alias("object"),
+        _closed_objects(as_written(text), "meter_Id:string,value:string,seal_number:string").alias("object"),
+        is_marked(text).alias("marked"),
         _closed_list(F.when(~is_object(text), text)).alias("other"),
     )
 
@@ -123,7 +160,7 @@ def value_ok(opened: Column) -> Column:
 
 def value_member(opened: Column, name: str) -> Column:
     """Member of a value that was an object."""
-    return F.get(opened["object"], F.lit(0))[name]
+    return written(F.get(opened["object"], F.lit(0))[name], opened["marked"])
 
 
 def payload(columns: list[Column]) -> Column:

@@ -131,8 +131,8 @@ def attribute_columns(document: str) -> list:
     """The declared attributes of a device document; all NULL for an empty one."""
     fields = ",".join(f"`{name}`:string" for name in DEVICE_ATTRIBUTES)
     text = F.col(document)
-    parsed = F.from_json(F.when(doc.is_object(text), text), f"struct<{fields}>", doc.STRICT)
-    return [parsed[name].alias(column) for name, column in DEVICE_ATTRIBUTES.items()]
+    parsed = F.from_json(F.when(doc.is_object(text), doc.as_written(text)), f"struct<{fields}>", doc.STRICT)
+    return [doc.written(parsed[name], doc.is_marked(text)).alias(column) for name, column in DEVICE_ATTRIBUTES.items()]
 
 
 def device_attributes_replace(

@@ -117,3 +117,46 @@ def test_greatest_text_by_collation(spark):
     assert got[24] == got[25] == ("é", "Z", "Z") and got[26] == got[27] == (None, None, None)
     flat = table.where("i < 26").selectExpr("1 as id", "explode(p.v) as v")
     assert tuple(wide_by_key(flat, ["id"], "id", {"v": ("v", (1,))}, collation="UNICODE").first()) == (1, "Z")
+
+
+NUMBERS = [
+    '{"a":1.50,"b":-0.0,"c":[1.10,2,"x 1.50 \\" 2.50"],"d":1e5,"e":1.5e3,"f":123.45}',
+    '{"a":1.50}{"b":2.0}', '{"a" : 1.50 }', '{"a":"1.50"}', "1.50", '{1.5:2}', '{"a":01.50}', '{"a":1.5.2}',
+    '{"a":1.50', '["s":-]1.5', '{"a":1.0,"b":"unclosed 2.0}', '{"a":1.5e}', '[1.5"x"]', "-1.50", "--1.5", '["a"1.5]',
+    '[' + '"y",' * 20_000 + "1.50]",
+]
+
+
+def test_marks_leave_validity_alone(spark):
+    """Also of texts cut, doubled and stirred at random."""
+    import json
+    import random
+
+    rng = random.Random(4)
+    texts = [t for t in NUMBERS]
+    for _ in range(1500):
+        t = list(rng.choice(NUMBERS[:-1]))
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(len(t))
+            t[at : at + rng.randint(0, 2)] = rng.choice(['"', "1.5", "0", "-", ".", "e", "{", "}", ",", ":", " ", "\\", ""])
+        texts.append("".join(t))
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    marked = doc.as_written(F.col("t"))
+    rows = table.select("i", doc.is_json(F.col("t")).alias("before"), doc.is_json(marked).alias("after"), doc.written(marked, F.lit(True)).alias("back")).collect()
+    assert all(r["before"] == r["after"] for r in rows)
+
+    def exact(text):
+        return json.loads(text, parse_float=str, parse_int=str)
+
+    valid = [(exact(texts[r["i"]]), exact(r["back"])) for r in rows if r["before"]]
+    assert len(valid) > 20 and all(a == b for a, b in valid)
+
+
+def test_numbers_as_written(spark):
+    texts = ['{"a":1.50}', '{"a":0.10000000000000000000}', '{"a":{"b":[1.0,{"c":-2.50}]}}', '{"a":"1.50"}', '{"a":null,"b":1.50}', '{"a":12345678901234567890.0}', '{"a":"␝1.50","b":1.5}', '{"a":1e5}', '{"a":"\\u241d1.50","b":1.5}']
+    table = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in table.select(doc.member(F.col("t"), "a")).collect()]
+    assert got == ["1.50", "0.10000000000000000000", '{"b":[1.0,{"c":-2.50}]}', "1.50", None, "12345678901234567890.0", "␝1.50", "100000.0", "␝1.50"]
+    lists = ['{"propertiesBean":[{"categorypropertyallocationid":1,"value":2.50},{"value":"2.50"}]}', '{"propertiesBean":[7, {"value":{"x":2.50}}, null]}']
+    read = doc.read_documents(spark.createDataFrame([(t,) for t in lists], "t string"), "t").collect()
+    assert [[p and tuple(p) for p in r["properties"]] for r in read] == [[("1", "2.50"), (None, "2.50")], [None, (None, '{"x":2.50}'), None]]
