@@ -17,7 +17,7 @@ from fieldsync.schemas import schema
 from fieldsync.sources import runlog
 from fieldsync.sources.clustered import FILE_ROWS
 from fieldsync.sources.compaction import compact_runs, manifest, read_runs, read_segments
-from fieldsync.sources.staging import stage
+from fieldsync.sources.staging import LONG_ROWS, stage
 
 # Fixed value: longest request or response the outbox tables take.
 MAX_DOCUMENT = 500_000
@@ -68,6 +68,9 @@ class Run(NamedTuple):
     rejected: DataFrame
 
 
+# Rows are numbered in parts of 4096: what is known of a part, its first number and the refused rows in it, goes to all tasks.
+_PART_BITS = 12
+
 #: Why the outbox refuses a row.
 TOO_LONG = "request_too_long"
 
@@ -128,6 +131,7 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
     Rows whose request is too long get no id and are kept with the run; a rerun gives them back too.
     Rows lie in the order of their message type, and a job writes one type, so
     that a reader of one type skips the other files by their statistics.
+    Requests may be megabytes long: whatever is written here has small row groups (`LONG_ROWS`).
     """
     spark = rows.sparkSession
     declared = schema(table)
@@ -141,21 +145,24 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
     filled = with_defaults(rows, table, id_column)
     filled = filled.withColumn("reject_reason", reject_reason(filled.columns))
     # The delta may read the outbox: it is settled before the log is claimed.
-    everything = stage(filled, "run-rows")
-    refused = everything.where(F.col("reject_reason").isNotNull())
-    kept = everything.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    at = F.monotonically_increasing_id()
-    settled = stage(kept.withColumns({"_task": F.shiftright(at, 33), "_row": at.bitwiseAND(F.lit((1 << 33) - 1))}), "run")
-    n_refused, n_kept = refused.count(), settled.count()
+    filled = filled.withColumn("_at", F.monotonically_increasing_id())
+    everything = stage(filled, "run-rows", **LONG_ROWS).withColumn("_part", F.shiftright("_at", _PART_BITS))
+    is_refused = F.col("reject_reason").isNotNull()
+    refused, kept = everything.where(is_refused).drop("_at", "_part"), everything.where(~is_refused).drop("reject_reason")
+    n_refused, n_kept = everything.agg(F.count("reject_reason"), F.count(F.when(~is_refused, 1))).first()
     content = {"run_id": run_id, "folder": f"_runs/{attempt}", "refused": f"_rejected/{attempt}" if n_refused else None}
     if n_refused:
-        refused.write.parquet(f"{path}/{content['refused']}")
-    numbered = settled.select(*kept.columns)
+        refused.write.options(**LONG_ROWS).parquet(f"{path}/{content['refused']}")
+    numbered = kept
     if n_kept:
-        earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
-        so_far = settled.groupBy("_task").agg(F.count(F.lit(1)).alias("_n")).select("_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+        parts = everything.groupBy("_part").agg(F.count(F.when(~is_refused, 1)).alias("_n"), F.collect_list(F.when(is_refused, F.col("_at"))).alias("_left_out"))
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per part
+        parts = parts.select("_part", "_left_out", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
         first = F.lit(runlog.claim_range(spark, f"{path}/_ids", n_kept, highest(known, id_column))).cast("long")
-        numbered = settled.join(so_far, "_task").select((first + F.col("_before") + F.col("_row")).alias(id_column), *kept.columns)
+        gaps = F.size(F.filter("_left_out", lambda at: at < F.col("_at")))
+        nth = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << _PART_BITS) - 1)) - gaps
+        wanted = [c for c in kept.columns if c not in ("_at", "_part")]
+        numbered = kept.join(F.broadcast(parts), "_part").select((first + nth).alias(id_column), *wanted)
     newer, n_written = before[seen:], None
     while True:
         if n_written is None or (n_written and unique and newer):
@@ -167,7 +174,7 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
             n_written = n_kept
             if n_kept:
                 in_order = numbered.sortWithinPartitions("type_id") if "type_id" in numbered.columns else numbered
-                in_order.write.parquet(f"{path}/{content['folder']}")
+                in_order.write.options(**LONG_ROWS).parquet(f"{path}/{content['folder']}")
                 n_written = spark.read.schema(declared).parquet(f"{path}/{content['folder']}").count()
         if not n_written and not n_refused:
             return Run(spark.createDataFrame([], declared), spark.createDataFrame([], refusable))

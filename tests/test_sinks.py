@@ -61,6 +61,22 @@ def test_long_requests_come_back(spark, make, tmp_path):
     assert clean.rejected.isEmpty() and [r["id"] for r in clean.written.collect()] == [3]
 
 
+def test_long_requests_are_written_and_read_few_at_a_time(spark, make, tmp_path):
+    """No row group of a run, nor of what is staged on the way, holds more than a few long requests."""
+    import pyarrow.parquet as pq
+
+    path, limit = tmp_path / "o", outbox.MAX_DOCUMENT
+    request = F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), F.when(F.col("id") % 2 == 0, 2 * limit).otherwise(limit - 9).cast("int")))
+    rows = spark.range(160).coalesce(1).select(F.col("id").cast("int").alias("distnid"), request.alias("request"))
+    with staging.staging(spark, str(tmp_path)) as folder:
+        run = outbox.append_run(rows, "install_outbox", str(path), "r", "id", make("install_outbox"))
+        files = [f for f in tmp_path.rglob("*.parquet") if f.stat().st_size]
+        assert {folder in str(f) for f in files} == {True, False}
+        largest = max(meta.row_group(i).total_byte_size for meta in map(pq.read_metadata, files) for i in range(meta.num_row_groups))
+        assert largest < 30 << 20
+    assert run.written.count() == run.rejected.count() == 80
+
+
 def test_landings_are_runs(spark, make, tmp_path):
     """Raw payloads are written with ids; the same run again leaves them as they are."""
     pulls = spark.createDataFrame([("a", "{}"), ("b", "[]")], "name string, payload string")
