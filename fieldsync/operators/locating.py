@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fieldsync.operators.running import Blocks
 from fieldsync.sources.staging import stage
 
-_ANSWER = "cell string, _block int, seq long, stock_id long, stuck boolean, nth long"
+_ANSWER = "cell string, _block long, seq long, stock_id long, stuck boolean, nth long"
 _CORRECTION = "cell string, seq long, stock_id long"
 
 
@@ -60,7 +60,7 @@ def _first_answers(batches: Iterator) -> Iterator:
                 held.discard(answer)
             answered[answer] = answered.get(answer, 0) + 1
             out.append((cell, number, seq, answer, stuck, answered[answer]))
-        types = (pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
         names = ["cell", "_block", "seq", "stock_id", "stuck", "nth"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 

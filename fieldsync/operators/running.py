@@ -4,8 +4,10 @@ A window puts all rows of a key into one task. Keys with more rows than a block
 may have are counted first; their rows, however many such keys there are, are
 put in the order of key and order column over range partitions, whose bounds
 follow the rows themselves and not the values. Each partition's part of a key is
-a window of its own; what the earlier parts of the key add up to is worked out
-on one row per part and added. The result is that of the plain window.
+a block, or is cut into blocks by its rows' ranks, so that small blocks need no
+more partitions than their rows do. Each block is a window of its own; what the
+earlier blocks of the key add up to is worked out on one row per block and
+added. The result is that of the plain window.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from fieldsync.sources.staging import stage
 
 BLOCK_ROWS = 2_000_000
 
+#: Rows of a range partition, unless a block has more. Every partition costs tasks, and samples sent to the driver.
+PARTITION_ROWS = 250_000
+
 _AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -36,18 +41,26 @@ def _combine(how: str, carried: Column, local: Column) -> Column:
 
 @dataclass(frozen=True)
 class Blocks:
-    """Which keys are huge (none if None), and over how many range partitions their rows go."""
+    """Which keys are huge (none if None), over how many range partitions their rows go, and how many of these rows a
+    block may have (0: all that a partition has of a key)."""
 
     keys: tuple[str, ...]
     order: str
     huge: DataFrame | None
     partitions: int
+    rows: int = 0
 
     def cut(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Rows of usual keys, and those of huge keys with their block."""
         huge = rows.join(self.huge, list(self.keys), "left_semi").repartitionByRange(self.partitions, *self.keys, self.order)
+        huge = huge.withColumn("_block", F.spark_partition_id().cast("long"))
+        if self.rows:
+            # Rows of equal order have one rank, so they stay together.
+            rank = F.rank().over(Window.partitionBy(*self.keys, "_block").orderBy(self.order)).cast("long")
+            within = F.floor((rank - 1) / F.lit(self.rows)).cast("long")
+            huge = huge.withColumn("_within", within).withColumn("_block", F.shiftleft("_block", 32) + F.col("_within")).drop("_within")
         usual = rows.join(self.huge, list(self.keys), "left_anti")
-        return usual, stage(huge.withColumn("_block", F.spark_partition_id()), "blocks")
+        return usual, stage(huge, "blocks")
 
     def running(
         self,
@@ -89,11 +102,14 @@ class Blocks:
 def plan_blocks(rows: DataFrame, keys: list[str], order: str, block_rows: int = BLOCK_ROWS) -> Blocks:
     """Count the rows of each key; one number comes to the driver.
 
-    Range partitions are about half a block, as their bounds are sampled.
+    Blocks are about half of what a key may have: range partitions because their bounds are sampled, blocks within them by rank.
     """
     counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
     # No key of a table of that many rows at most can have more: its keys need not be counted.
     total = counted.agg(F.sum("_n")).first()[0] if rows.count() > block_rows else None
     if total is None:
         return Blocks(tuple(keys), order, None, 0)
-    return Blocks(tuple(keys), order, stage(counted.select(*keys), "huge-keys"), -(-2 * total // block_rows))
+    blocks = -(-2 * total // block_rows)
+    partitions = min(blocks, max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // PARTITION_ROWS)))
+    huge = stage(counted.select(*keys), "huge-keys")
+    return Blocks(tuple(keys), order, huge, partitions, max(1, block_rows // 2) if partitions < blocks else 0)

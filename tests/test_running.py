@@ -54,6 +54,20 @@ def test_many_huge_keys(spark):
     assert out.groupBy("key").agg(F.max("n").alias("n"), F.count_distinct("n").alias("d")).where("n <> d OR n NOT IN (40, 300)").isEmpty()
 
 
+def test_small_blocks_of_many_rows_share_partitions(spark):
+    """The number of range partitions follows the rows, not the blocks, and rows of equal order stay in one block."""
+    rows = spark.range(60_000).select((F.col("id") % 3).alias("key"), F.floor(F.col("id") / 12).alias("seq"))
+    blocks = plan_blocks(rows, ["key"], "seq", 100)
+    assert blocks.partitions <= spark.sparkContext.defaultParallelism
+    _, huge = blocks.cut(rows)
+    per_block = huge.groupBy("key", "_block").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first"), F.max("seq").alias("last")).collect()
+    assert len(per_block) >= 1_200 and max(r["n"] for r in per_block) <= 100
+    in_order = sorted((r["key"], r["_block"], r["first"], r["last"]) for r in per_block)
+    assert all(a[0] != b[0] or a[3] < b[2] for a, b in zip(in_order, in_order[1:]))
+    out = blocks.running(rows, {"n": Measure("sum", F.lit(1))})
+    assert out.where(F.col("n") != 4 * (F.col("seq") + 1)).isEmpty()
+
+
 @pytest.mark.parametrize("block_rows", [10**6, 4])
 def test_previous_flagged(spark, block_rows):
     rng = random.Random(3)
