@@ -5,6 +5,7 @@ import pytest
 
 from fieldsync.operators.ledger import fold_serials
 from fieldsync.operators.locating import corrections
+from fieldsync.operators.running import plan_blocks
 
 EFFECT = ["cell", "stock_id", "seq", "kind", "delta", "effective"]
 
@@ -103,6 +104,21 @@ def test_blocks_equal_one_walk(spark, seed, n_stocks, inert):
         assert got == wanted and len(got) == len([r for r in rows if r[3] != "T" or r[5]])
 
 
+def test_many_blocks_in_few_partitions(spark):
+    """Blocks of a few events each, several to a partition, equal one walk."""
+    inserts, returns = random_moves(7, 900, 5)
+    frames = (
+        spark.createDataFrame(inserts, "cell string, stock_id long, seq long, kind string"),
+        spark.createDataFrame(returns, "cell string, seq long"),
+        spark.createDataFrame([], "cell string, inert_id long, inert_seq long"),
+    )
+    named = frames[0].select("cell", "seq").unionByName(frames[1].select("cell", "seq"))
+    assert plan_blocks(named, ["cell"], "seq", 20).partitions <= spark.sparkContext.defaultParallelism
+    rows = [tuple(r) for r in fold_serials(*frames, block_rows=20).select(*EFFECT).collect()]
+    got = [r for r in rows if r[3] != "T" or r[5]]
+    assert len(got) == len(set(got)) and set(got) == plain(inserts, returns, {})
+
+
 def test_no_returns_or_no_receipts_of_a_huge_serial(spark):
     receipts = [("HOT", 1 + i % 3, i, "R") for i in range(1, 201)]
     frame = spark.createDataFrame(receipts, "cell string, stock_id long, seq long, kind string")
