@@ -91,8 +91,9 @@ def json_numbers(spark, sf_dir):
     document = d.text('{"price": ', price, ', "below": {"list": [', quantity, ', 7]}, "number": 1', number, ', "propertiesBean":[',
                       '{"categorypropertyallocationid":941,"value":', quantity, '},{"categorypropertyallocationid":"650","value":"{\\"value\\":', price, '}"}]}')
     rows = d.given(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", document.alias("response"))
-    told = [doc.member(F.col("response"), m).alias(m) for m in ("price", "below", "number")]
-    return installs.install_attributes(rows).select("l_orderkey", "l_linenumber", *told, "cablelength", "barcode", "reject_reason")
+    told = ["price", "below", "number"]
+    read = installs.install_attributes(doc.read_members(rows, "response", told))
+    return read.select("l_orderkey", "l_linenumber", *told, "cablelength", "barcode", "reject_reason")
 
 
 @query

@@ -34,12 +34,13 @@ _FRACTION = rf"\G({_BEFORE})(-?(?:0|[1-9]\d*+)\.\d++)(?![.\deE]|[ \t\r\n]*+:)"
 
 def is_marked(text: Column) -> Column:
     """Whether `as_written` marks the text's numbers: it may hold one with a fraction, and holds no mark itself."""
-    return text.contains(".") & text.rlike(r"\d\.\d") & ~text.rlike(rf"{_MARK}|\\[uU]241[dD]")
+    holds_mark = text.contains(_MARK) | (text.contains("241") & text.rlike(r"\\[uU]241[dD]"))
+    return text.contains(".") & text.rlike(r"\d\.\d") & ~holds_mark
 
 
-def as_written(text: Column) -> Column:
-    """The document with each number that has a fraction as a marked string."""
-    return F.when(is_marked(text), F.regexp_replace(text, _FRACTION, f'$1"{_MARK}$2"')).otherwise(text)
+def as_written(text: Column, marked: Column | None = None) -> Column:
+    """The document with each number that has a fraction as a marked string. `marked` is `is_marked` where it is at hand."""
+    return F.when(is_marked(text) if marked is None else marked, F.regexp_replace(text, _FRACTION, f'$1"{_MARK}$2"')).otherwise(text)
 
 
 def written(value: Column, marked: Column) -> Column:
@@ -70,8 +71,9 @@ def is_json(text: Column) -> Column:
     return _is_closed_list(_closed_list(text))
 
 
-def _closed_objects(text: Column, fields: str) -> Column:
-    closed = F.concat(F.lit("["), F.when(is_object(text), text), F.lit(f',{{"{_END}":"0"}}]'))
+def _closed_objects(text: Column, document: Column, fields: str) -> Column:
+    """Reads `document`, which is `text` as written: both are objects or none is, and the plain text tells it at less cost."""
+    closed = F.concat(F.lit("["), F.when(is_object(text), document), F.lit(f',{{"{_END}":"0"}}]'))
     return F.from_json(closed, f"array<struct<{fields},`{_END}`:string>>", STRICT)
 
 
@@ -95,6 +97,18 @@ def member(text: Column, name: str) -> Column:
     return written(parsed[name], is_marked(text))
 
 
+def read_members(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """Add top-level members as text, each under its name, as `member` gives them. The text is read once for all of them."""
+    fields = ",".join(f"`{name}`:string" for name in names)
+    found = F.from_json(F.when(is_object(F.col(column)), F.col("_document")), f"struct<{fields}>", STRICT)
+    return (
+        rows.withColumn("_marked", is_marked(F.col(column)))
+        .withColumn("_document", as_written(F.col(column), F.col("_marked")))
+        .withColumn("_found", found)
+        .select(*rows.columns, *[written(F.col("_found")[name], F.col("_marked")).alias(name) for name in names])
+    )
+
+
 def read_documents(rows: DataFrame, column: str) -> DataFrame:
     """Add `document_ok` and `properties`, the array (id text, value text) under `propertiesBean`.
 
@@ -108,8 +122,9 @@ def read_documents(rows: DataFrame, column: str) -> DataFrame:
         "properties", lambda p: F.when(p.isNotNull(), F.struct(*[written(p[c], F.lit(True)).alias(c) for c in _PROPERTY_MEMBERS]))
     )
     return (
-        rows.withColumn("_document", as_written(F.col(column)))
-        .withColumn("_found", _closed_objects(document, f"propertiesBean:array<{_PROPERTY}>"))
+        rows.withColumn("_marked", is_marked(F.col(column)))
+        .withColumn("_document", as_written(F.col(column), F.col("_marked")))
+        .withColumn("_found", _closed_objects(F.col(column), document, f"propertiesBean:array<{_PROPERTY}>"))
         .withColumn("_direct", _is_closed_objects(found))
         .withColumn("document_ok", F.when(direct, F.lit(True)).otherwise(is_json(document)))
         .withColumn(
@@ -117,8 +132,8 @@ def read_documents(rows: DataFrame, column: str) -> DataFrame:
             F.when(direct & F.get(found, F.lit(0))["propertiesBean"].isNotNull(), F.get(found, F.lit(0))["propertiesBean"])
             .when(F.col("document_ok"), _one_by_one(document)),
         )
-        .withColumn("properties", F.when(is_marked(F.col(column)), plain).otherwise(F.col("properties")))
-        .drop("_document", "_found", "_direct")
+        .withColumn("properties", F.when(F.col("_marked"), plain).otherwise(F.col("properties")))
+        .drop("_marked", "_document", "_found", "_direct")
     )
 
 
@@ -145,7 +160,7 @@ def open_value(text: Column) -> Column:
     read is kept in a field and everything else is taken from that field.
     """
     return F.struct(
-        _closed_objects(as_written(text), "meter_Id:string,value:string,seal_number:string").alias("object"),
+        _closed_objects(text, as_written(text), "meter_Id:string,value:string,seal_number:string").alias("object"),
         is_marked(text).alias("marked"),
         _closed_list(F.when(~is_object(text), text)).alias("other"),
     )

@@ -160,3 +160,13 @@ def test_numbers_as_written(spark):
     lists = ['{"propertiesBean":[{"categorypropertyallocationid":1,"value":2.50},{"value":"2.50"}]}', '{"propertiesBean":[7, {"value":{"x":2.50}}, null]}']
     read = doc.read_documents(spark.createDataFrame([(t,) for t in lists], "t string"), "t").collect()
     assert [[p and tuple(p) for p in r["properties"]] for r in read] == [[("1", "2.50"), (None, "2.50")], [None, (None, '{"x":2.50}'), None]]
+
+
+def test_members_are_read_at_once(spark):
+    """As one by one, and with one read of the text however many they are."""
+    texts = ['{"a": 1.50, "b": {"c": [2.0, 3]}, "a.b": "x"}', ' {"a": null, "b": "\\u241d1.5"}', "[1.5]", "1.5", "", None, '{"a": 1.5', '{"a": 1.0, "a": 2.0}']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    read = doc.read_members(rows, "t", ["a", "b", "a.b"])
+    single = rows.select("t", *[doc.member(F.col("t"), m).alias(m) for m in ("a", "b", "a.b")])
+    assert [tuple(r) for r in read.collect()] == [tuple(r) for r in single.collect()]
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
