@@ -98,14 +98,18 @@ def member(text: Column, name: str) -> Column:
 
 
 def read_members(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
-    """Add top-level members as text, each under its name, as `member` gives them. The text is read once for all of them."""
-    fields = ",".join(f"`{name}`:string" for name in names)
-    found = F.from_json(F.when(is_object(F.col(column)), F.col("_document")), f"struct<{fields}>", STRICT)
+    """Add top-level members as text, each under its name, as `member` gives them. The text is read once for all of them.
+
+    Of a broken document the reader gives what came before; `_END` tells that it broke, and then there are no members.
+    """
+    fields = ",".join(f"`{name}`:string" for name in (*names, _END))
+    document, found = F.when(is_object(F.col(column)), F.col("_document")), F.col("_found")
+    whole = found[_END].isNull()
     return (
         rows.withColumn("_marked", is_marked(F.col(column)))
         .withColumn("_document", as_written(F.col(column), F.col("_marked")))
-        .withColumn("_found", found)
-        .select(*rows.columns, *[written(F.col("_found")[name], F.col("_marked")).alias(name) for name in names])
+        .withColumn("_found", F.from_json(document, f"struct<{fields}>", {**STRICT, "columnNameOfCorruptRecord": _END}))
+        .select(*rows.columns, *[F.when(whole, written(found[name], F.col("_marked"))).alias(name) for name in names])
     )
 
 

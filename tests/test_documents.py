@@ -164,7 +164,7 @@ def test_numbers_as_written(spark):
 
 def test_members_are_read_at_once(spark):
     """As one by one, and with one read of the text however many they are."""
-    texts = ['{"a": 1.50, "b": {"c": [2.0, 3]}, "a.b": "x"}', ' {"a": null, "b": "\\u241d1.5"}', "[1.5]", "1.5", "", None, '{"a": 1.5', '{"a": 1.0, "a": 2.0}']
+    texts = ['{"a": 1.50, "b": {"c": [2.0, 3]}, "a.b": "x"}', ' {"a": null, "b": "\\u241d1.5"}', "[1.5]", "1.5", "", None, '{"a": 1.5', '{"a": 1.5, "b": {"c": [1.0, nulls]}}', '{"a": 1, "b": x}', '{"b": [1, 2}, "a": 1.5}', '{"a": 1.5, "d": [1}', '{"a": 1.5} x', '{"a": 1.0, "a": 2.0}']
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     read = doc.read_members(rows, "t", ["a", "b", "a.b"])
     single = rows.select("t", *[doc.member(F.col("t"), m).alias(m) for m in ("a", "b", "a.b")])
