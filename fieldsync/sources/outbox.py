@@ -68,7 +68,8 @@ class Run(NamedTuple):
     rejected: DataFrame
 
 
-# Rows are numbered in parts of 4096: what is known of a part, its first number and the refused rows in it, goes to all tasks.
+# Rows are numbered in parts of 4096: what is known of a part, its first number and the refused rows in it, is staged, so that
+# the join knows how small it is and doesn't shuffle the rows.
 _PART_BITS = 12
 
 #: Why the outbox refuses a row.
@@ -162,7 +163,7 @@ def append_run(rows: DataFrame, table: str, path: str, run_id: str, id_column: s
         gaps = F.size(F.filter("_left_out", lambda at: at < F.col("_at")))
         nth = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << _PART_BITS) - 1)) - gaps
         wanted = [c for c in kept.columns if c not in ("_at", "_part")]
-        numbered = kept.join(F.broadcast(parts), "_part").select((first + nth).alias(id_column), *wanted)
+        numbered = kept.join(stage(parts, "run-parts"), "_part").select((first + nth).alias(id_column), *wanted)
     newer, n_written = before[seen:], None
     while True:
         if n_written is None or (n_written and unique and newer):
