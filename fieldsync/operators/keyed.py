@@ -13,6 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows of a key table up to which Spark may broadcast it.
+FEW_ROWS = 100_000
+
+
+def merged_if_many(rows: DataFrame) -> DataFrame:
+    """A staged side of a join that is merged, not broadcast through the driver, if it has many rows.
+
+    Spark goes by the size of the files, and those of keys are many times smaller than their rows.
+    """
+    return rows.hint("merge") if rows.count() > FEW_ROWS else rows
+
+
 def all_known(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldsync.operators.keyed import merged_if_many
 from fieldsync.operators.locating import located_in_blocks
 from fieldsync.operators.running import BLOCK_ROWS, Blocks, Measure, plan_blocks
 from fieldsync.sources.staging import stage
@@ -83,15 +84,16 @@ def fold_serials(
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("cell")
         .agg(F.count(F.lit(1)).alias("n_stocks"), F.min("stock_id").alias("stock_id"))
-        .join(returns.select("cell").distinct(), "cell", "left_semi"),
+        .join(returns.select("cell").distinct().hint("merge"), "cell", "left_semi"),
         "serial-holders",
     )
-    asked = returns.join(inert, "cell", "left").select("cell", "seq", "inert_id", "inert_seq")
-    one = asked.join(holders.where("n_stocks = 1").select("cell", "stock_id"), "cell")
+    asked = returns.join(merged_if_many(inert), "cell", "left").select("cell", "seq", "inert_id", "inert_seq")
+    one = asked.join(merged_if_many(holders.where("n_stocks = 1").select("cell", "stock_id")), "cell")
     stuck = (F.col("inert_seq") < F.col("seq")) & (F.col("inert_id") < F.col("stock_id"))
     reaching = one.where(~F.coalesce(stuck, F.lit(False))).select("cell", "stock_id", "seq", F.lit("T").alias("kind"))
 
-    several = holders.where("n_stocks > 1").select("cell")
+    shared = holders.where("n_stocks > 1").select("cell")
+    several = merged_if_many(shared)
     added = inserts.select("cell", "stock_id", "seq", "kind")
     if several.isEmpty():
         return serial_effects(added.unionByName(reaching), blocks).select(*_EFFECT)
@@ -102,7 +104,7 @@ def fold_serials(
         rest = rest.unionByName(added.join(hot, "cell", "left_semi")).unionByName(
             given_back.withColumn("kind", F.lit("T"))
         )
-        several = several.join(hot, "cell", "left_anti")
+        several = merged_if_many(shared.join(hot, "cell", "left_anti"))
     walked = located(_to_locate(added, asked, several))
     return serial_effects(rest, blocks).select(*_EFFECT).unionByName(walked)
 

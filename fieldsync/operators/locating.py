@@ -134,12 +134,12 @@ def located_in_blocks(moves: DataFrame, n_stocks: DataFrame, blocks: Blocks) ->
     gone = answers.where(~F.col("stuck")).groupBy(*by).agg(F.max("seq").alias("gone"))
     at_end = F.col("gone").isNull() | (F.col("gone") < F.col("last"))
     no_number = F.lit(None).cast("long")
-    stocks = come.join(gone, by, "left").select(*by, "first", at_end.alias("at_end"), no_number.alias("seq"))
+    stocks = come.join(gone.hint("merge"), by, "left").select(*by, "first", at_end.alias("at_end"), no_number.alias("seq"))
     few = answers.join(n_stocks, "cell").where(F.col("nth") <= F.col("n_stocks"))
     returns = few.select(*by, no_number.alias("first"), F.lit(None).cast("boolean").alias("at_end"), "seq")
     summary = stocks.unionByName(returns).repartition("cell").sortWithinPartitions("cell", "_block")
     corrected = summary.mapInArrow(_hand_on, _CORRECTION).withColumnRenamed("stock_id", "corrected")
 
     stock = F.coalesce("corrected", F.when(~F.col("stuck"), F.col("stock_id")))
-    found = answers.join(corrected, ["cell", "seq"], "left").select("cell", stock.alias("stock_id"), "seq")
+    found = answers.join(corrected.hint("merge"), ["cell", "seq"], "left").select("cell", stock.alias("stock_id"), "seq")
     return found.where(F.col("stock_id").isNotNull())

@@ -7,7 +7,9 @@ follow the rows themselves and not the values. Each partition's part of a key is
 a block, or is cut into blocks by its rows' ranks, so that small blocks need no
 more partitions than their rows do. Each block is a window of its own; what the
 earlier blocks of the key add up to is worked out on one row per block and
-added. The result is that of the plain window.
+added. The result is that of the plain window. The rows of blocks are many where
+keys are narrowed further, so they are merged with those of the key, whose order
+they have, and never broadcast.
 """
 
 from __future__ import annotations
@@ -93,7 +95,7 @@ class Blocks:
             *by, "_block", *[_AGGREGATE[m.how](f"_{n}").over(earlier).alias(f"_{n}") for n, m in measures.items()]
         )
         kept = [F.col(c) for c in rows.columns]
-        joined = local.join(carried, [*by, "_block"], "left").select(
+        joined = local.join(carried.hint("merge"), [*by, "_block"], "left").select(
             *kept, *[_combine(m.how, F.col(f"_{n}"), F.col(n)).alias(n) for n, m in measures.items()]
         )
         return usual.select("*", *window(*by)).unionByName(joined)

@@ -258,7 +258,7 @@ def _serial_effects(
         inputs["stock_serials"]
         .where(F.col("serial_no").isNotNull())
         .select("stock_rid", F.col("serial_no").alias("cell"))
-        .join(named.distinct(), "cell", "left_semi")
+        .join(named.distinct().hint("merge"), "cell", "left_semi")
     )
     opening = on_hand.join(usable, "stock_rid", "left_semi").select(
         "cell",
@@ -274,11 +274,12 @@ def _serial_effects(
     on_their_own = received.where(F.col("alone")).select(
         F.col("upper_serial").alias("cell"), F.col("stock_id").alias("inert_id"), F.col("seq").alias("inert_seq")
     )
-    inert = (
+    inert = stage(
         fixed.unionByName(on_their_own)
         .groupBy("cell")
         .agg(F.min(F.struct("inert_id", "inert_seq")).alias("_inert"))
-        .select("cell", "_inert.*")
+        .select("cell", "_inert.*"),
+        "inert-serials",
     )
 
     # Old serials that are not in upper case: a receipt that names one exactly adds nothing.
@@ -334,7 +335,8 @@ def stock_ledger(
     shared = resolved.where(~F.col("alone"))
 
     # Serialised receipts count even if they add no serial; one without serial always adds one.
-    in_effect = effects.where((F.col("seq") > 0) & (F.col("kind") != "T")).select("seq", "delta")
+    # As many rows as receipts: merged, as their files are small enough to be broadcast long after they are not.
+    in_effect = effects.where((F.col("seq") > 0) & (F.col("kind") != "T")).select("seq", "delta").hint("merge")
     serial_in = (
         shared.where(F.col("kind") == "R")
         .join(in_effect, "seq", "left")
@@ -434,7 +436,7 @@ def _serials_change(old: DataFrame, resolved: DataFrame, effects: DataFrame) ->
     )
     received = resolved.where(F.col("kind") == "R")
     untracked = F.col("serial").isNull() | F.col("alone")
-    rows = received.join(added.withColumn("_added", F.lit(True)), "seq", "left").where(
+    rows = received.join(added.withColumn("_added", F.lit(True)).hint("merge"), "seq", "left").where(
         untracked | F.coalesce("_added", F.lit(False))
     )
     types = {field.name: field.dataType for field in old.schema.fields}

@@ -3,9 +3,11 @@ import random
 
 import pytest
 
+from fieldsync.operators import keyed, ledger, locating, running
 from fieldsync.operators.ledger import fold_serials
 from fieldsync.operators.locating import corrections
 from fieldsync.operators.running import plan_blocks
+from fieldsync.sources.staging import stage
 
 EFFECT = ["cell", "stock_id", "seq", "kind", "delta", "effective"]
 
@@ -127,3 +129,31 @@ def test_no_returns_or_no_receipts_of_a_huge_serial(spark):
     assert fold_serials(frame, none, inert, block_rows=40).where("delta = 1").count() == 3
     asked = spark.createDataFrame([("HOT", i) for i in range(1, 201)], "cell string, seq long")
     assert fold_serials(frame.limit(0), asked, inert, block_rows=40).where("effective").count() == 0
+
+
+def test_many_serials_are_not_broadcast(spark, monkeypatch):
+    """Serials, spans and blocks may be as many as events: joins with them are merged, and give the same rows."""
+    plans = []
+
+    def noted(rows, name, **options):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return stage(rows, name, **options)
+
+    for module in (ledger, locating, running):
+        monkeypatch.setattr(module, "stage", noted)
+    monkeypatch.setattr(keyed, "FEW_ROWS", 1)
+    inserts, returns = random_moves(11, 500, 6)
+    empty = [("A", 100, 50), ("B", 0, 0)]
+    frames = (
+        stage(spark.createDataFrame(inserts, "cell string, stock_id long, seq long, kind string"), "inserts"),
+        stage(spark.createDataFrame(returns, "cell string, seq long"), "returns"),
+        stage(spark.createDataFrame(empty, "cell string, inert_id long, inert_seq long"), "inert"),
+    )
+    out = fold_serials(*frames, block_rows=100)
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    joins = [line for plan in plans for line in plan.splitlines() if "BroadcastHashJoin" in line]
+    # Huge serials alone are few: they are broadcast to pick their events, or to be left out.
+    assert not [line for line in joins if "LeftOuter" in line]
+    rows = [tuple(r) for r in out.select(*EFFECT).collect()]
+    got = [r for r in rows if r[3] != "T" or r[5]]
+    assert len(got) == len(set(got)) and set(got) == plain(inserts, returns, {c: (i, s) for c, i, s in empty})

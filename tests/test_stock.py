@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldsync.plans.stock import stock_ledger
+from fieldsync.sources.staging import stage
 from tests.fold import Book
 
 MATERIALS = [dict(mm_rid=i, name=f"m{i}", code=f"c{i}") for i in (1, 2, 3)] + [dict(mm_rid=9, name="m1", code="c1")]
@@ -157,3 +158,27 @@ def test_shared_serial_takes_one_pass(spark, make, n_stocks):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert moved == [(i, i) for i in range(1, n_stocks + 1)] + [(99 + i, i) for i in range(1, n_stocks + 1)]
     assert len(tracker.getJobIdsForGroup(f"shared-{n_stocks}")) < 90
+
+
+def test_effects_are_merged_with_receipts(make, monkeypatch):
+    """As many effects as receipts, in files small enough to be broadcast: their join goes by a shuffle."""
+    rng = random.Random(6)
+    rows, serials = stocks(rng, empty=False)
+    ins, outs = random_events(rng, 60)
+    inputs = {
+        "stock": make("stock", *rows),
+        "stock_serials": make("stock_serials", *serials),
+        "materials": make("materials", *MATERIALS),
+        "contractors": make("contractors", *CONTRACTORS),
+    }
+    plans = {}
+
+    def noted(rows, name, **options):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return stage(rows, name, **options)
+
+    monkeypatch.setattr("fieldsync.plans.stock.stage", noted)
+    out = stock_ledger(inputs, make("receipt_events", *ins), make("return_events", *outs))
+    assert "SortMergeJoin" in plans["stock-changes"] and "BroadcastHashJoin" not in plans["stock-changes"]
+    joins = [line for line in out["stock_serials"]._jdf.queryExecution().executedPlan().toString().splitlines() if "HashJoin [seq" in line]
+    assert not joins
