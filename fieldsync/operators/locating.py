@@ -12,7 +12,7 @@ have is walked through in blocks, all at once:
    corrections, at most one for each stock, and what stocks hold after it. This pass goes from block to block,
    and reads a summary of the block: its stocks, and of the returns with the same answer the first ones only,
    as many as the serial has stocks.
-3. Answers and corrections are joined by event.
+3. Answers and corrections are joined by the return's place in its block, as returns may share a `seq`.
 
 No task reads all events of a serial. Stocks that hold a serial and never give it back (`inert`) end the
 search of every return that gets to them.
@@ -28,26 +28,26 @@ from pyspark.sql import functions as F
 from fieldsync.operators.running import Blocks
 from fieldsync.sources.staging import stage
 
-_ANSWER = "cell string, _block long, seq long, stock_id long, stuck boolean, nth long"
-_CORRECTION = "cell string, seq long, stock_id long"
+_ANSWER = "cell string, _block long, at long, seq long, stock_id long, stuck boolean, nth long"
+_CORRECTION = "cell string, _block long, at long, stock_id long"
 
 
 def _first_answers(batches: Iterator) -> Iterator:
     """Per block, each return with the lowest stock that holds the serial by events of this block alone.
 
-    `nth` counts the returns of the block with the same answer.
+    `at` counts the returns of the block, `nth` those with the same answer.
     """
     import heapq
 
     import pyarrow as pa
 
-    block, held, lowest, answered = None, set(), [], {}
+    block, held, lowest, answered, at = None, set(), [], {}, 0
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("cell", "_block", "seq", "stock_id", "inert_id", "inert_seq")]
         out = []
         for cell, number, seq, stock, inert_id, inert_seq in zip(*columns, strict=True):
             if (cell, number) != block:
-                block, held, lowest, answered = (cell, number), set(), [], {}
+                block, held, lowest, answered, at = (cell, number), set(), [], {}, 0
             if stock is not None:
                 if stock not in held:
                     held.add(stock)
@@ -59,9 +59,10 @@ def _first_answers(batches: Iterator) -> Iterator:
                 answer = heapq.heappop(lowest)
                 held.discard(answer)
             answered[answer] = answered.get(answer, 0) + 1
-            out.append((cell, number, seq, answer, stuck, answered[answer]))
-        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
-        names = ["cell", "_block", "seq", "stock_id", "stuck", "nth"]
+            at += 1
+            out.append((cell, number, at, seq, answer, stuck, answered[answer]))
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
+        names = ["cell", "_block", "at", "seq", "stock_id", "stuck", "nth"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
 
@@ -94,29 +95,29 @@ def _hand_on(batches: Iterator) -> Iterator:
 
     import pyarrow as pa
 
-    def settled(cell, held, stocks, returns):
+    def settled(block, held, stocks, returns):
         corrected, after = corrections(held, stocks, sorted(returns))
-        rows = [(cell, seq, stock) for seq, stock in corrected.items()]
-        types = (pa.string(), pa.int64(), pa.int64())
+        rows = [(*block, at, stock) for (_, at), stock in corrected.items()]
+        types = (pa.string(), pa.int64(), pa.int64(), pa.int64())
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)]
-        return pa.RecordBatch.from_arrays(columns, names=["cell", "seq", "stock_id"]), after
+        return pa.RecordBatch.from_arrays(columns, names=["cell", "_block", "at", "stock_id"]), after
 
     block, held, stocks, returns = None, set(), {}, []
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("cell", "_block", "stock_id", "first", "at_end", "seq")]
-        for cell, number, stock, first, at_end, seq in zip(*columns, strict=True):
+        columns = [batch.column(c).to_pylist() for c in ("cell", "_block", "stock_id", "first", "at_end", "seq", "at")]
+        for cell, number, stock, first, at_end, seq, at in zip(*columns, strict=True):
             if (cell, number) != block:
                 if block is not None:
-                    rows, held = settled(block[0], held, stocks, returns)
+                    rows, held = settled(block, held, stocks, returns)
                     yield rows
                     held = held if block[0] == cell else set()
                 block, stocks, returns = (cell, number), {}, []
             if seq is None:
-                stocks[stock] = (first, at_end)
+                stocks[stock] = ((first, math.inf), at_end)
             else:
-                returns.append((seq, math.inf if stock is None else stock))
+                returns.append(((seq, at), math.inf if stock is None else stock))
     if block is not None:
-        yield settled(block[0], held, stocks, returns)[0]
+        yield settled(block, held, stocks, returns)[0]
 
 
 def located_in_blocks(moves: DataFrame, n_stocks: DataFrame, blocks: Blocks) -> DataFrame:
@@ -134,12 +135,12 @@ def located_in_blocks(moves: DataFrame, n_stocks: DataFrame, blocks: Blocks) ->
     gone = answers.where(~F.col("stuck")).groupBy(*by).agg(F.max("seq").alias("gone"))
     at_end = F.col("gone").isNull() | (F.col("gone") < F.col("last"))
     no_number = F.lit(None).cast("long")
-    stocks = come.join(gone.hint("merge"), by, "left").select(*by, "first", at_end.alias("at_end"), no_number.alias("seq"))
+    stocks = come.join(gone.hint("merge"), by, "left").select(*by, "first", at_end.alias("at_end"), no_number.alias("seq"), no_number.alias("at"))
     few = answers.join(n_stocks, "cell").where(F.col("nth") <= F.col("n_stocks"))
-    returns = few.select(*by, no_number.alias("first"), F.lit(None).cast("boolean").alias("at_end"), "seq")
+    returns = few.select(*by, no_number.alias("first"), F.lit(None).cast("boolean").alias("at_end"), "seq", "at")
     summary = stocks.unionByName(returns).repartition("cell").sortWithinPartitions("cell", "_block")
     corrected = summary.mapInArrow(_hand_on, _CORRECTION).withColumnRenamed("stock_id", "corrected")
 
     stock = F.coalesce("corrected", F.when(~F.col("stuck"), F.col("stock_id")))
-    found = answers.join(corrected.hint("merge"), ["cell", "seq"], "left").select("cell", stock.alias("stock_id"), "seq")
+    found = answers.join(corrected.hint("merge"), ["cell", "_block", "at"], "left").select("cell", stock.alias("stock_id"), "seq")
     return found.where(F.col("stock_id").isNotNull())

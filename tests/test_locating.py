@@ -157,3 +157,18 @@ def test_many_serials_are_not_broadcast(spark, monkeypatch):
     rows = [tuple(r) for r in out.select(*EFFECT).collect()]
     got = [r for r in rows if r[3] != "T" or r[5]]
     assert len(got) == len(set(got)) and set(got) == plain(inserts, returns, {c: (i, s) for c, i, s in empty})
+
+
+def test_returns_that_share_a_seq(spark):
+    """Where blocks begin makes no difference, also if returns come twice with the same `seq`."""
+    inserts, returns = random_moves(13, 600, 9)
+    frames = (
+        spark.createDataFrame(inserts, "cell string, stock_id long, seq long, kind string"),
+        spark.createDataFrame([r for r in returns for _ in range(2)], "cell string, seq long"),
+        spark.createDataFrame([], "cell string, inert_id long, inert_seq long"),
+    )
+    taken = plain(inserts, [r for r in returns for _ in range(2)], {})
+    wanted = {(r[0], r[1], r[2]) for r in taken if r[5]}
+    for block_rows in (10**6, 60, 25):
+        out = fold_serials(*frames, block_rows=block_rows).where("effective")
+        assert {(r["cell"], r["stock_id"], r["seq"]) for r in out.collect()} == wanted
